@@ -85,11 +85,12 @@ def upsert_partitions(
     # a semi join on the partition column prunes the scan of untouched partitions at run time
     present = stored.join(concerned, part, "left_semi")
     merged = stage(_newer_side(present, newest.select(*stored.columns), key, order), "merged")
-    # a partition that lost its last row would keep it: such partitions are emptied first
+    write_by_partition(merged, path, part, only_touched=True)
+    # a partition whose rows all moved away is not overwritten and is dropped afterwards; in
+    # this order nothing is ever missing, and applying the changes again completes a failed run
     left_over = concerned.join(merged.select(part).distinct(), part, "left_anti")
     for row in left_over.toLocalIterator():
         _drop_partition(spark, path, part, row[0])
-    write_by_partition(merged, path, part, only_touched=True)
 
 
 def _drop_partition(spark: SparkSession, path: str, part: str, value: object) -> None:

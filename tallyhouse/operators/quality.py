@@ -164,10 +164,11 @@ def name_variations(silver: DataFrame, k: int = 10) -> DataFrame:
 def distribution(rows: DataFrame, *by: str) -> DataFrame:
     """Rows per value and their share of all rows in percent.
 
-    The total is a scalar subquery, so no window gathers the groups in one task.
+    The total is a scalar subquery over the same groups, so no window gathers them in one task
+    and the shuffle of the counts serves both.
     """
-    total = rows.select(count()).scalar()
     counted = rows.groupBy(*by).agg(count().alias("transaction_count"))
+    total = counted.select(F.sum("transaction_count")).scalar()
     return counted.withColumn("percentage", percent_2dp(F.col("transaction_count"), total))
 
 

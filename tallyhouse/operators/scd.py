@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.conform import audit_time
 from tallyhouse.operators.keys import extend_keys
 from tallyhouse.operators.ordered import carried_forward, with_neighbours, with_positions
+from tallyhouse.session import stage
 
 
 def latest_per_key(rows: DataFrame, key: str, *newest: str | Column) -> DataFrame:
@@ -108,10 +109,11 @@ def scd2_apply(
     known = open_now.select(
         F.col(natural_key).alias("_key"), F.col("effective_start_date").alias("_since"), *carried
     )
-    newer = (
+    newer = stage(
         arriving.join(known, arriving[natural_key] == F.col("_key"), "left")
         .filter(F.col("_since").isNull() | (F.col("_at") > F.col("_since")))
-        .drop("_key", "_since")
+        .drop("_key", "_since"),
+        "updates",
     )
     touched = newer.select(F.col(natural_key).alias("_touched")).distinct()
     is_touched = F.col("is_current") & (F.col(natural_key) == F.col("_touched"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tallyhouse.operators import (
 from tallyhouse.operators.fact import build_fact
 from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
-from tallyhouse.plans.warehouse import warehouse_of
+from tallyhouse.plans.warehouse import build_warehouse, warehouse_of
 from tallyhouse.session import scratch_path, stage
 from tallyhouse.sources import files, tables
 from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table
@@ -37,12 +38,28 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+def shared(make: Query) -> Query:
+    """A written table that several queries of an application use."""
+    made: dict[tuple[str, str], DataFrame] = {}
+
+    @wraps(make)
+    def get(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in made:
+            made[key] = make(spark, folder)
+        return made[key]
+
+    return get
+
+
+_SHOWN_AS = {"decimal": "double", "timestamp": "timestamp_ntz"}
+
+
 def shown(df: DataFrame, *without: str) -> DataFrame:
-    """Decimals as doubles, and without the named columns."""
+    """Decimals as doubles, times without zone, and without the named columns."""
     return df.select(
         *(
-            (as_double(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name))
-            .alias(f.name)
+            F.col(f.name).cast(_SHOWN_AS.get(f.dataType.typeName(), f.dataType)).alias(f.name)
             for f in df.schema
             if f.name not in without
         )
@@ -58,7 +75,7 @@ def _batches(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("bronze_summary")
 def bronze_summary(spark, folder):
-    raw = raw_transactions(spark, folder)
+    raw = raw_transactions(spark, folder, "transaction_id", "transaction_date")
     return raw.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.min("transaction_date").alias("earliest_transaction"),
@@ -68,12 +85,15 @@ def bronze_summary(spark, folder):
 
 @query("bronze_status_distribution")
 def bronze_status_distribution(spark, folder):
-    return quality.distribution(raw_transactions(spark, folder), "transaction_status")
+    raw = raw_transactions(spark, folder, "transaction_status")
+    return quality.distribution(raw, "transaction_status")
 
 
 @query("bronze_method_counts")
 def bronze_method_counts(spark, folder):
-    return quality.value_counts(raw_transactions(spark, folder), "payment_method")
+    return quality.value_counts(
+        raw_transactions(spark, folder, "payment_method"), "payment_method"
+    )
 
 
 @query("bronze_preview")
@@ -88,13 +108,13 @@ def silver_transactions(spark, folder):
 
 @query("dim_customers")
 def dim_customers(spark, folder):
-    dim = warehouse_of(spark, folder).dims.customers
+    dim = warehouse_of(spark, folder).customers
     return shown(dim, *_AUDIT)
 
 
 @query("dim_merchants")
 def dim_merchants(spark, folder):
-    return shown(warehouse_of(spark, folder).dims.merchants, *_AUDIT)
+    return shown(warehouse_of(spark, folder).merchants, *_AUDIT)
 
 
 @query("dim_merchants_latest_name")
@@ -106,17 +126,17 @@ def dim_merchants_latest_name(spark, folder):
 
 @query("dim_payment_methods")
 def dim_payment_methods(spark, folder):
-    return shown(warehouse_of(spark, folder).dims.payment_methods, *_AUDIT)
+    return shown(warehouse_of(spark, folder).payment_methods, *_AUDIT)
 
 
 @query("dim_transaction_status")
 def dim_transaction_status(spark, folder):
-    return shown(warehouse_of(spark, folder).dims.transaction_status, *_AUDIT)
+    return shown(warehouse_of(spark, folder).transaction_status, *_AUDIT)
 
 
 @query("dim_location")
 def dim_location(spark, folder):
-    return shown(warehouse_of(spark, folder).dims.location, *_AUDIT)
+    return shown(warehouse_of(spark, folder).location, *_AUDIT)
 
 
 @query("dim_date")
@@ -138,7 +158,7 @@ def fact_first_rows(spark, folder):
 
 @query("customers_first_rows")
 def customers_first_rows(spark, folder):
-    dim = warehouse_of(spark, folder).dims.customers
+    dim = warehouse_of(spark, folder).customers
     return reports.first_rows(dim, "customer_key").select("customer_key", "customer_id")
 
 
@@ -149,16 +169,10 @@ def catalog_build(spark, folder):
     back = {new: old for old, new in conform.RENAMED.items()}
     raw = batches.withColumnsRenamed(back).drop("currency", "updated_at", "batch_day")
     label = scratch_path(spark, "w").rsplit("-", 1)[1][:12]
-    built = tables_build(spark, raw, f"t{label}_")
+    built = build_warehouse(spark, raw, f"t{label}_", LOADED, scratch_path(spark, "tables"))
     return quality.row_counts(**{n: built[n] for n in sorted(built)})
 
 
-def tables_build(spark, raw, prefix):
-    from tallyhouse.plans.warehouse import build_warehouse
-
-    return build_warehouse(spark, raw, prefix, LOADED, root=scratch_path(spark, "tables"))
-
-
 # --- business reports ----------------------------------------------------------------------------
 
 
@@ -188,8 +202,8 @@ def star_rollup(spark, folder):
     return metrics.star_metrics(
         house.fact,
         {
-            "date_key": (house.dims.date, ["fiscal_year", "fiscal_quarter"]),
-            "location_key": (house.dims.location, ["location_type"]),
+            "date_key": (house.date, ["fiscal_year", "fiscal_quarter"]),
+            "location_key": (house.location, ["location_type"]),
         },
         ["fiscal_year", "fiscal_quarter", "location_type"],
         [
@@ -208,8 +222,8 @@ def star_cube(spark, folder):
     return metrics.star_metrics(
         house.fact,
         {
-            "payment_method_key": (house.dims.payment_methods, ["payment_method_name"]),
-            "status_key": (house.dims.transaction_status, ["status_name"]),
+            "payment_method_key": (house.payment_methods, ["payment_method_name"]),
+            "status_key": (house.transaction_status, ["status_name"]),
         },
         ["payment_method_name", "status_name"],
         [metrics.rows(), metrics.summed("net_customer_amount", "total_net")],
@@ -231,18 +245,18 @@ def date_fiscal_boundary(spark, folder):
 
 @query("status_by_display_order")
 def status_by_display_order(spark, folder):
-    return reports.statuses_by_display_order(warehouse_of(spark, folder).dims.transaction_status)
+    return reports.statuses_by_display_order(warehouse_of(spark, folder).transaction_status)
 
 
 @query("location_list")
 def location_list(spark, folder):
-    dim = warehouse_of(spark, folder).dims.location
+    dim = warehouse_of(spark, folder).location
     return reports.members(dim, "location_key", "location_type")
 
 
 @query("method_list")
 def method_list(spark, folder):
-    dim = warehouse_of(spark, folder).dims.payment_methods
+    dim = warehouse_of(spark, folder).payment_methods
     return reports.members(dim, "payment_method_key", "payment_method_name")
 
 
@@ -306,7 +320,7 @@ def dq_fk_nulls_partial(spark, folder):
 def dq_orphans(spark, folder):
     house = warehouse_of(spark, folder)
     return quality.orphans(
-        _batches(spark, folder), house.dims.customers, "customer_id", "customer_id"
+        _batches(spark, folder), house.customers, "customer_id", "customer_id"
     )
 
 
@@ -333,7 +347,7 @@ def dq_out_of_calendar(spark, folder):
 @query("dq_facts_outside_calendar")
 def dq_facts_outside_calendar(spark, folder):
     house = warehouse_of(spark, folder)
-    short = house.dims.date.filter(F.col("full_date") >= "2016-01-01")
+    short = house.date.filter(F.col("full_date") >= "2016-01-01")
     dated = house.silver.select(
         "transaction_id", "transaction_timestamp",
         F.to_date("transaction_timestamp").alias("_day"),
@@ -357,7 +371,7 @@ def dq_measure_rows(spark, folder):
 
 @query("dq_key_range")
 def dq_key_range(spark, folder):
-    return quality.key_range(warehouse_of(spark, folder).dims.customers, "customer_key")
+    return quality.key_range(warehouse_of(spark, folder).customers, "customer_key")
 
 
 @query("dq_name_variations")
@@ -368,7 +382,7 @@ def dq_name_variations(spark, folder):
 @query("dq_status_distribution")
 def dq_status_distribution(spark, folder):
     house = warehouse_of(spark, folder)
-    dim = house.dims.transaction_status.select("status_name", "is_terminal")
+    dim = house.transaction_status.select("status_name", "is_terminal")
     known = house.silver.join(dim, house.silver["transaction_status"] == dim["status_name"])
     return quality.distribution(known, "status_name", "is_terminal")
 
@@ -376,14 +390,14 @@ def dq_status_distribution(spark, folder):
 @query("dq_location_distribution")
 def dq_location_distribution(spark, folder):
     house = warehouse_of(spark, folder)
-    known = house.silver.join(house.dims.location.select("location_type"), "location_type")
+    known = house.silver.join(house.location.select("location_type"), "location_type")
     return quality.distribution(known, "location_type")
 
 
 @query("dq_method_distribution")
 def dq_method_distribution(spark, folder):
     house = warehouse_of(spark, folder)
-    dim = house.dims.payment_methods.select("payment_method_name")
+    dim = house.payment_methods.select("payment_method_name")
     known = house.silver.join(dim, house.silver["payment_method"] == dim["payment_method_name"])
     return quality.value_counts(known, "payment_method_name")
 
@@ -511,7 +525,7 @@ def dq_report(spark, folder):
 @query("scd1_merchants")
 def scd1_merchants(spark, folder):
     """Merchant names of the orders overwritten by the names in the daily batches."""
-    dim = warehouse_of(spark, folder).dims.merchants
+    dim = warehouse_of(spark, folder).merchants
     batches = _batches(spark, folder)
     applied = scd.scd1_apply(
         dim, batches, "merchant_id", "merchant_key", ["merchant_name"],
@@ -520,6 +534,7 @@ def scd1_merchants(spark, folder):
     return applied.select("merchant_key", "merchant_id", "merchant_name")
 
 
+@shared
 def _customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     """A customer dimension from the customer table, and a round of changes applied to it."""
     customers = read_table(spark, folder, "customer")
@@ -537,10 +552,11 @@ def _customer_versions(spark: SparkSession, folder: str) -> DataFrame:
         },
         first,
     )
-    return scd.scd2_apply(
+    versions = scd.scd2_apply(
         stage(dim, "customers_before"), _customer_updates(customers),
         "customer_id", "customer_key", ["customer_segment", "risk_score"], "changed_at", LOADED,
     )
+    return stage(versions, "customer_versions")
 
 
 def _customer_updates(customers: DataFrame) -> DataFrame:
@@ -582,7 +598,7 @@ def scd2_customers(spark, folder):
 @query("scd2_replay")
 def scd2_replay(spark, folder):
     """The same changes applied a second time: nothing moves."""
-    once = stage(_customer_versions(spark, folder), "customers_once")
+    once = _customer_versions(spark, folder)
     updates = _customer_updates(read_table(spark, folder, "customer"))
     twice = scd.scd2_apply(
         once, updates, "customer_id", "customer_key", ["customer_segment", "risk_score"],
@@ -598,7 +614,7 @@ def scd2_replay(spark, folder):
 @query("pit_lookup")
 def pit_lookup(spark, folder):
     """Sales by the segment a customer had at the time of the transaction."""
-    versions = stage(_customer_versions(spark, folder), "customer_versions")
+    versions = _customer_versions(spark, folder)
     silver = warehouse_of(spark, folder).silver.select(
         "customer_id", "transaction_timestamp", "amount"
     )
@@ -613,7 +629,7 @@ def pit_lookup(spark, folder):
 @query("pit_lookup_strict")
 def pit_lookup_strict(spark, folder):
     """Transactions per version key, without stretching the first version back."""
-    versions = stage(_customer_versions(spark, folder), "customer_versions")
+    versions = _customer_versions(spark, folder)
     silver = warehouse_of(spark, folder).silver.select(
         "transaction_id", "customer_id", "transaction_timestamp"
     )
@@ -799,7 +815,7 @@ def inc_keys(spark, folder):
     incoming = _batches(spark, folder).select("customer_id").distinct().unionByName(
         house.silver.select("customer_id").distinct()
     ).distinct()
-    existing = house.dims.customers
+    existing = house.customers
     return keys.extend_keys(existing, incoming, "customer_id", "customer_key")
 
 
@@ -832,6 +848,7 @@ def inc_rename_scd2(spark, folder):
 # --- generator: one synthetic row per event ------------------------------------------------------
 
 
+@shared
 def _generated(spark: SparkSession, folder: str) -> DataFrame:
     """Synthetic days as large as the days of the events, defects by day of month modulo 3."""
     events = read_table(spark, folder, "events").select(
@@ -841,7 +858,8 @@ def _generated(spark: SparkSession, folder: str) -> DataFrame:
     spans = placed.groupBy("day").agg(
         F.min("position").alias("_first"), F.count(F.lit(1)).alias("day_rows")
     )
-    sequenced = placed.join(spans, "day").select(
+    # one row per calendar day
+    sequenced = placed.join(F.broadcast(spans), "day").select(
         "day", (F.col("position") - F.col("_first") + 1).alias("sequence"), "day_rows"
     )
     plans = [generate.CLEAN_DAY, generate.LATE_DAY, generate.RENAME_DAY]
@@ -849,9 +867,10 @@ def _generated(spark: SparkSession, folder: str) -> DataFrame:
     segmented = [
         generate.with_segments(sequenced.filter(kind == i), plan) for i, plan in enumerate(plans)
     ]
-    return generate.fill_rows(
+    rows = generate.fill_rows(
         segmented[0].unionByName(segmented[1]).unionByName(segmented[2])
     )
+    return stage(rows, "generated")
 
 
 @query("gen_batch_profile")
@@ -1032,7 +1051,7 @@ def st_dedup(spark, folder):
 
 @query("st_lookup")
 def st_lookup(spark, folder):
-    dim = warehouse_of(spark, folder).dims.merchants
+    dim = warehouse_of(spark, folder).merchants
     keyed = drops.with_dimension(
         _event_stream(spark, folder), dim, "merchant_id", "merchant_id", "merchant_key"
     )

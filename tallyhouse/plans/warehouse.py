@@ -34,19 +34,37 @@ class Warehouse:
         return stage(conform_raw(self.raw, load_ts=self.load_ts), "silver")
 
     @cached_property
+    def customers(self) -> DataFrame:
+        return stage(dimensions.dim_customers(self.silver, self.load_ts), "dim_customers")
+
+    @cached_property
+    def merchants(self) -> DataFrame:
+        return stage(dimensions.dim_merchants(self.silver, self.load_ts), "dim_merchants")
+
+    @cached_property
+    def payment_methods(self) -> DataFrame:
+        dim = dimensions.dim_payment_methods(self.silver, self.load_ts)
+        return stage(dim, "dim_payment_methods")
+
+    @cached_property
+    def transaction_status(self) -> DataFrame:
+        dim = dimensions.dim_transaction_status(self.silver, self.load_ts)
+        return stage(dim, "dim_transaction_status")
+
+    @cached_property
+    def location(self) -> DataFrame:
+        return stage(dimensions.dim_location(self.silver, self.load_ts), "dim_location")
+
+    @cached_property
+    def date(self) -> DataFrame:
+        return stage(dimensions.dim_date(self.spark), "dim_date")
+
+    @property
     def dims(self) -> Dimensions:
-        at = self.load_ts
         return Dimensions(
-            customers=stage(dimensions.dim_customers(self.silver, at), "dim_customers"),
-            merchants=stage(dimensions.dim_merchants(self.silver, at), "dim_merchants"),
-            payment_methods=stage(
-                dimensions.dim_payment_methods(self.silver, at), "dim_payment_methods"
-            ),
-            transaction_status=stage(
-                dimensions.dim_transaction_status(self.silver, at), "dim_transaction_status"
-            ),
-            location=stage(dimensions.dim_location(self.silver, at), "dim_location"),
-            date=stage(dimensions.dim_date(self.spark), "dim_date"),
+            customers=self.customers, merchants=self.merchants,
+            payment_methods=self.payment_methods, transaction_status=self.transaction_status,
+            location=self.location, date=self.date,
         )
 
     @cached_property

@@ -24,65 +24,89 @@ def _choose(number: Column, values: list[str]) -> Column:
     return chosen.otherwise(values[-1])
 
 
-def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw-shaped transactions, one per order line.
+def raw_transactions(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
+    """Raw-shaped transactions, one per order line; all columns, or only the wanted ones.
 
-    All parents are looked up by their unique key with left joins, so no line is lost or doubled.
-    Small parents are broadcast by Spark on their measured size, large ones are shuffled with
-    skewed partitions split at run time.
+    All parents are looked up by their unique key with left joins, so no line is lost or doubled
+    and a parent that no wanted column needs can be left out: Spark cannot know that the keys are
+    unique and would keep the join. Small parents are broadcast by Spark on their measured size,
+    large ones are shuffled, with skewed partitions split at run time.
     """
-    lines = read_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+    columns = _raw_columns()
+    names = list(wanted) or list(columns)
+    parents = {parent for name in names for parent in columns[name][0]}
+
+    def table(name: str, *kept: str) -> DataFrame:
+        return read_table(spark, folder, name).select(*kept)
+
+    joined = table(
+        "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
     )
-    orders = read_table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
-    )
-    customers = read_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    parts = read_table(spark, folder, "part").select("p_partkey", "p_name", "p_type")
-    suppliers = read_table(spark, folder, "supplier").select("s_suppkey", "s_name")
-
-    # orders meet their customers before the lines: a smaller shuffle than the other way round
-    placed = orders.join(customers, orders.o_custkey == customers.c_custkey, "left")
-    joined = (
-        lines.join(placed, lines.l_orderkey == placed.o_orderkey, "left")
-        .join(parts, lines.l_partkey == parts.p_partkey, "left")
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey, "left")
-    )
-
+    if "orders" in parents or "customer" in parents:
+        placed = table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        if "customer" in parents:
+            # orders meet their customers first: a smaller shuffle than lines would be
+            people = table("customer", "c_custkey", "c_mktsegment")
+            placed = placed.join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+        joined = joined.join(placed, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    if "part" in parents:
+        parts = table("part", "p_partkey", "p_name", "p_type")
+        joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if "supplier" in parents:
+        suppliers = table("supplier", "s_suppkey", "s_name")
+        joined = joined.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return joined.select(*(columns[name][1].alias(name) for name in names))
+
+
+def _raw_columns() -> dict[str, tuple[list[str], Column]]:
+    """Raw column to the parents it needs and its expression."""
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     settled = F.col("o_orderstatus") == "O"
-    suffix = F.when(F.col("l_linenumber") == 7, " Ltd").when(
-        F.col("l_linenumber") == 6, " Pvt Ltd"
-    ).otherwise("")
+    nothing = F.lit(0).cast("decimal(18,2)")
     segment = F.col("c_mktsegment")
-    return joined.select(
-        F.concat_ws("-", F.lit("TXN"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        .alias("transaction_id"),
-        ids.customer_id(F.col("o_custkey"), 5).alias("user_id"),
-        (F.col("l_shipdate") + F.make_ym_interval(F.lit(DATE_SHIFT_YEARS)))
-        .alias("transaction_date"),
-        F.col("p_type").alias("product_category"),
-        F.col("p_name").alias("product_name"),
-        F.concat("s_name", suffix).alias("merchant_name"),
-        price.cast("decimal(18,2)").alias("product_amount"),
-        (price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(18,2)")
-        .alias("transaction_fee"),
-        F.when(settled, (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,2)"))
-        .otherwise(F.lit(0).cast("decimal(18,2)")).alias("cashback"),
-        F.when(settled, F.floor(F.col("l_extendedprice") / 100)).otherwise(0).cast("bigint")
-        .alias("loyalty_points"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.when(F.col("o_orderstatus") == "F", "Failed")
-        .when(settled, "Successful")
-        .when(F.col("o_orderstatus") == "P", "Pending").alias("transaction_status"),
-        ids.merchant_id(F.col("l_suppkey"), 4).alias("merchant_id"),
-        _choose(F.col("l_partkey"), ["Android", "iOS", "Web"]).alias("device_type"),
-        F.when(segment.isin("AUTOMOBILE", "BUILDING"), "Urban")
-        .when(segment.isin("FURNITURE", "HOUSEHOLD"), "Suburban")
-        .when(segment == "MACHINERY", "Rural").alias("location"),
+    suffix = (
+        F.when(F.col("l_linenumber") == 7, " Ltd")
+        .when(F.col("l_linenumber") == 6, " Pvt Ltd")
+        .otherwise("")
     )
 
+    def part_of_price(rate: str) -> Column:
+        return (price * F.col(rate).cast("decimal(4,2)")).cast("decimal(18,2)")
+
+    line_keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    years = F.make_ym_interval(F.lit(DATE_SHIFT_YEARS))
+    return {
+        "transaction_id": ([], F.concat_ws("-", F.lit("TXN"), *line_keys)),
+        "user_id": (["orders"], ids.customer_id(F.col("o_custkey"), 5)),
+        "transaction_date": ([], F.col("l_shipdate") + years),
+        "product_category": (["part"], F.col("p_type")),
+        "product_name": (["part"], F.col("p_name")),
+        "merchant_name": (["supplier"], F.concat("s_name", suffix)),
+        "product_amount": ([], price.cast("decimal(18,2)")),
+        "transaction_fee": ([], part_of_price("l_tax")),
+        "cashback": (["orders"], F.when(settled, part_of_price("l_discount")).otherwise(nothing)),
+        "loyalty_points": (
+            ["orders"],
+            F.when(settled, F.floor(F.col("l_extendedprice") / 100)).otherwise(0).cast("bigint"),
+        ),
+        "payment_method": (["orders"], F.col("o_orderpriority")),
+        "transaction_status": (
+            ["orders"],
+            F.when(F.col("o_orderstatus") == "F", "Failed")
+            .when(settled, "Successful")
+            .when(F.col("o_orderstatus") == "P", "Pending"),
+        ),
+        "merchant_id": ([], ids.merchant_id(F.col("l_suppkey"), 4)),
+        "device_type": ([], _choose(F.col("l_partkey"), ["Android", "iOS", "Web"])),
+        "location": (
+            ["customer"],
+            F.when(segment.isin("AUTOMOBILE", "BUILDING"), "Urban")
+            .when(segment.isin("FURNITURE", "HOUSEHOLD"), "Suburban")
+            .when(segment == "MACHINERY", "Rural"),
+        ),
+    }
+
 
 def event_batches(events: DataFrame) -> DataFrame:
     """Daily batches with one transaction per event and four kinds of defects.
