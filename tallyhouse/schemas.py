@@ -84,5 +84,5 @@ def struct(ddl: str) -> StructType:
 
 
 def column_types(ddl: str) -> dict[str, str]:
-    """Column name to simple type name, in order."""
-    return {field.name: field.dataType.simpleString() for field in struct(ddl)}
+    """Column name to simple type name, in order; needs no session."""
+    return dict(column.split(" ", 1) for column in ddl.split(", "))
