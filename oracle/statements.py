@@ -337,6 +337,17 @@ _add("dq_batch_profile", "SELECT batch_day, count(*) AS total_rows, min(transact
                  + _pct(f"count(*) FILTER (WHERE transaction_status = '{s}')", "count(*)", f"{s.lower()}_pct")
                  for s in ("Successful", "Failed", "Pending"))
      + " FROM batches GROUP BY batch_day", _BATCHES)
+_DAY_COUNTS = (f"SELECT batch_day, count(*) AS total_rows, count(*) FILTER (WHERE {_IS_LATE}) AS late_rows, "
+               "count(*) FILTER (WHERE updated_at IS NULL) AS null_updated_rows, "
+               f"count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows FROM batches GROUP BY batch_day")
+_COUNTED = {"total_rows": "total_rows", "late_rows": "late_rows", "null_updated_rows": "null_updated_rows",
+            "renamed_rows": "renamed_rows", "zone_shifted_rows": "late_rows"}
+_add("dq_batch_report", " UNION ALL ".join(
+    [f"SELECT batch_day, '{c}' AS \"check\", {e} AS value FROM days" for c, e in _COUNTED.items()]
+    + ["SELECT batch_day, 'clean_rows', total_rows - late_rows - null_updated_rows - renamed_rows FROM days"]
+    + [f"SELECT CAST(NULL AS DATE), '{c}', CAST(sum({e}) AS BIGINT) FROM days" for c, e in _COUNTED.items()]
+    + ["SELECT CAST(NULL AS DATE), 'issue_rows', CAST(sum(2 * late_rows + null_updated_rows + renamed_rows) AS BIGINT) FROM days"]),
+    _BATCHES + f", days AS ({_DAY_COUNTS})")
 _SURPLUS = " UNION ALL ".join(
     f"SELECT '{d}' AS subject, CAST(count(*) - count(DISTINCT coalesce(CAST({k} AS VARCHAR), '?')) AS BIGINT) AS surplus FROM {d}"
     for d, k in (("dim_customers", "customer_id"), ("dim_merchants", "merchant_id"),

@@ -144,20 +144,20 @@ def key_range(dim: DataFrame, key: str) -> DataFrame:
 def name_variations(silver: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` merchants with most distinct names, and the names.
 
-    Pairs are made distinct first, and names are listed for the chosen merchants only.
+    Names are listed for the chosen merchants only, and made distinct within the tasks first, so
+    a merchant with very many rows is no burden.
     """
-    pairs = silver.select("merchant_id", "merchant_name").distinct()
     counted = (
-        pairs.groupBy("merchant_id")
-        .agg(F.count("merchant_name").alias("name_variations"))
+        silver.groupBy("merchant_id")
+        .agg(F.countDistinct("merchant_name").alias("name_variations"))
         .filter(F.col("name_variations") > 1)
     )
     chosen = counted.orderBy(F.desc("name_variations"), "merchant_id").limit(k)
-    names = pairs.join(F.broadcast(chosen), "merchant_id").groupBy(
-        "merchant_id", "name_variations"
+    # k rows
+    named = silver.select("merchant_id", "merchant_name").join(F.broadcast(chosen), "merchant_id")
+    listed = named.groupBy("merchant_id", "name_variations").agg(
+        F.array_join(F.array_sort(F.collect_set("merchant_name")), ", ").alias("all_names")
     )
-    listed = names.agg(F.array_join(F.array_sort(F.collect_set("merchant_name")), ", ")
-                       .alias("all_names"))
     return listed.orderBy(F.desc("name_variations"), "merchant_id")
 
 
@@ -294,6 +294,22 @@ def batch_profile(batches: DataFrame) -> DataFrame:
     return joined.withColumns(shares)
 
 
+def batch_report(batches: DataFrame, zone_mode: str = "day_border") -> DataFrame:
+    """Counts per batch in long form, and the issues of all batches on lines without a batch."""
+    defects = batch_defects(batches, zone_mode)
+    kinds = ["late_rows", "null_updated_rows", "renamed_rows", "zone_shifted_rows"]
+    lines = defects.unpivot(
+        ["batch_day"], ["total_rows", *kinds, "clean_rows"], "check", "value"
+    )
+    totals = defects.agg(*(F.sum(c).alias(c) for c in ("total_rows", *kinds))).withColumn(
+        "issue_rows", sum((F.col(c) for c in kinds[1:]), F.col(kinds[0]))
+    )
+    overall = totals.unpivot([], totals.columns, "check", "value").select(
+        F.lit(None).cast("date").alias("batch_day"), "check", "value"
+    )
+    return lines.unionByName(overall)
+
+
 def repeated_ids(batches: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Across all batches: rows, distinct ids, surplus occurrences, and whether ids are unique.
 

@@ -22,8 +22,9 @@ def latest_per_key(rows: DataFrame, key: str, *newest: str | Column) -> DataFram
     order = [F.col(c) if isinstance(c, str) else c for c in newest]
     ranked = F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order)),
                       F.struct(*rows.columns).alias("row"))
-    top = rows.groupBy(F.col(key).alias("_key")).agg(F.max(ranked).alias("top"))
-    return top.select("top.row.*")
+    top = rows.groupBy(key).agg(F.max(ranked).alias("top"))
+    # the key itself is kept, not its copy in the row: a join on it then needs no new shuffle
+    return top.select(*(F.col(c) if c == key else F.col(f"top.row.{c}") for c in rows.columns))
 
 
 def scd1_apply(

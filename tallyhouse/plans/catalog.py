@@ -168,8 +168,7 @@ def catalog_build(spark, folder):
     batches = _batches(spark, folder)
     back = {new: old for old, new in conform.RENAMED.items()}
     raw = batches.withColumnsRenamed(back).drop("currency", "updated_at", "batch_day")
-    label = scratch_path(spark, "w").rsplit("-", 1)[1][:12]
-    built = build_warehouse(spark, raw, f"t{label}_", LOADED, scratch_path(spark, "tables"))
+    built = build_warehouse(spark, raw, "tallyhouse_", LOADED, scratch_path(spark, "tables"))
     return quality.row_counts(**{n: built[n] for n in sorted(built)})
 
 
@@ -469,6 +468,11 @@ def dq_batch_profile(spark, folder):
     return quality.batch_profile(_batches(spark, folder))
 
 
+@query("dq_batch_report")
+def dq_batch_report(spark, folder):
+    return quality.batch_report(_batches(spark, folder))
+
+
 @query("dq_fanout")
 def dq_fanout(spark, folder):
     house = warehouse_of(spark, folder)
@@ -998,9 +1002,8 @@ def snk_report(spark, folder):
 @query("snk_table")
 def snk_table(spark, folder):
     """A catalog table created, then replaced by a query on itself."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS tally_demo")
-    label = scratch_path(spark, "t").rsplit("-", 1)[1]
-    name, root = f"tally_demo.methods_{label}", scratch_path(spark, "replaced")
+    name, root = "tallyhouse_reports.method_counts", scratch_path(spark, "replaced")
+    tables.create_database(spark, "tallyhouse_reports", root)
     counts = quality.value_counts(warehouse_of(spark, folder).fact, "payment_method_key")
     tables.replace_table(counts, name, root=root)
     doubled = spark.table(name).withColumn("transaction_count", F.col("transaction_count") * 2)

@@ -113,9 +113,12 @@ def status_by_location(fact: DataFrame, dims: Dimensions) -> DataFrame:
     )
     # the window sees aggregated rows only: statuses of a location
     within = F.sum("transaction_count").over(Window.partitionBy("location_type"))
-    share = percent_2dp(F.col("transaction_count"), within)
-    return measured.withColumn("pct_within_location", share).orderBy(
-        "location_type", F.desc("transaction_count"), "status_name"
+    share = percent_2dp(F.col("transaction_count"), F.col("_within"))
+    return (
+        measured.withColumn("_within", within)
+        .withColumn("pct_within_location", share)
+        .drop("_within")
+        .orderBy("location_type", F.desc("transaction_count"), "status_name")
     )
 
 
@@ -146,9 +149,10 @@ def device_usage(fact: DataFrame, dims: Dimensions) -> DataFrame:
     # all devices: a window over one row per device
     total = F.sum("transaction_count").over(Window.partitionBy())
     return (
-        measured.withColumn("percentage", percent_2dp(F.col("transaction_count"), total))
+        measured.withColumn("_total", total)
+        .withColumn("percentage", percent_2dp(F.col("transaction_count"), F.col("_total")))
         .withColumn("success_rate_pct", percent_2dp(F.col("_successes"), F.col("transaction_count")))
-        .drop("_successes")
+        .drop("_successes", "_total")
         .orderBy(F.desc("transaction_count"), "device_type")
     )
 
@@ -159,10 +163,10 @@ def day_of_week_pattern(fact: DataFrame, dims: Dimensions) -> DataFrame:
     measured = joined.groupBy(*attributes).agg(rows(), summed("amount", "total_revenue"))
     kind = Window.partitionBy("is_weekend")
     n = F.col("transaction_count")
-    average = average_2dp(F.sum(n).over(kind), F.count(n).over(kind))
     return (
-        measured.withColumn("avg_for_day_type", average)
-        .drop("is_weekend")
+        measured.withColumns({"_sum": F.sum(n).over(kind), "_days": F.count(n).over(kind)})
+        .withColumn("avg_for_day_type", average_2dp(F.col("_sum"), F.col("_days")))
+        .drop("is_weekend", "_sum", "_days")
         .orderBy("day_of_week_number")
     )
 
@@ -182,7 +186,9 @@ def failure_analysis(fact: DataFrame, dims: Dimensions, k: int = 20) -> DataFram
     )
     total = F.sum("failed_count").over(Window.partitionBy())
     return (
-        measured.withColumn("pct_of_failures", percent_2dp(F.col("failed_count"), total))
+        measured.withColumn("_total", total)
+        .withColumn("pct_of_failures", percent_2dp(F.col("failed_count"), F.col("_total")))
+        .drop("_total")
         .orderBy(F.desc("failed_count"), "payment_method_name", "location_type")
         .limit(k)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import cached_property
 
@@ -11,7 +12,7 @@ from tallyhouse.operators import dimensions
 from tallyhouse.operators.conform import conform_raw
 from tallyhouse.operators.fact import Dimensions, build_fact
 from tallyhouse.session import stage
-from tallyhouse.sources import tables, testtables
+from tallyhouse.sources import files, tables, testtables
 
 
 class Warehouse:
@@ -61,6 +62,14 @@ class Warehouse:
 
     @property
     def dims(self) -> Dimensions:
+        """All dimensions; those still missing are built by concurrent Spark jobs."""
+        builds = ["customers", "merchants", "payment_methods", "transaction_status", "location",
+                  "date"]
+        missing = [name for name in builds if name not in self.__dict__]
+        if missing:
+            _ = self.silver  # all of them read it
+            with ThreadPoolExecutor(len(missing)) as pool:
+                list(pool.map(lambda name: getattr(self, name), missing))
         return Dimensions(
             customers=self.customers, merchants=self.merchants,
             payment_methods=self.payment_methods, transaction_status=self.transaction_status,
@@ -84,6 +93,24 @@ def warehouse_of(spark: SparkSession, folder: str) -> Warehouse:
     return _warehouses[key]
 
 
+def load_bronze(
+    spark: SparkSession, paths: str | list[str], prefix: str = "", root: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Raw CSV into the bronze table; lines that do not fit go to a table of their own.
+
+    Returns the two tables, good rows first.
+    """
+    layer = tables.create_layers(spark, prefix, root)
+    raw = files.read_raw_csv(spark, paths)
+    good = tables.replace_table(
+        files.good_rows(raw), f"{layer['bronze']}.raw_transactions", root=root
+    )
+    broken = tables.replace_table(
+        files.broken_rows(raw), f"{layer['bronze']}.broken_lines", root=root
+    )
+    return good, broken
+
+
 def build_warehouse(
     spark: SparkSession, raw: DataFrame, prefix: str = "", load_ts: datetime | None = None,
     root: str | None = None,
@@ -92,7 +119,7 @@ def build_warehouse(
 
     Each table is replaced as a whole and read back before the next one is built on it.
     """
-    layer = tables.create_layers(spark, prefix)
+    layer = tables.create_layers(spark, prefix, root)
     built: dict[str, DataFrame] = {}
 
     def put(level: str, name: str, df: DataFrame) -> DataFrame:

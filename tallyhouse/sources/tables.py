@@ -12,11 +12,19 @@ from tallyhouse.session import shared_folder
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
-def create_layers(spark: SparkSession, prefix: str = "") -> dict[str, str]:
+def create_database(spark: SparkSession, name: str, root: str | None = None) -> None:
+    """Create a database if missing; ``root`` places it in a given folder."""
+    place = f" LOCATION '{root}/{name}.db'" if root else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
+
+
+def create_layers(
+    spark: SparkSession, prefix: str = "", root: str | None = None
+) -> dict[str, str]:
     """Create the three layer databases if missing; returns layer to database name."""
     names = {layer: f"{prefix}{layer}" for layer in (BRONZE, SILVER, GOLD)}
     for name in names.values():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+        create_database(spark, name, root)
     return names
 
 
@@ -50,6 +58,20 @@ def replace_table(
     return spark.table(table)
 
 
+def remove_old_versions(spark: SparkSession, table: str, root: str | None = None) -> int:
+    """Delete the folders of replaced versions once no query reads them; returns how many."""
+    base = root or f"{shared_folder(spark)}/tables"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{base}/{table.replace('.', '/')}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    details = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+    current = details.head()["data_type"].rsplit("/", 1)[1]
+    old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() != current]
+    for path in old:
+        files.delete(path, True)
+    return len(old)
+
+
 def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(f"{layer}.{name}")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.operators import conform, dimensions
 from tallyhouse.operators.fact import Dimensions, build_fact
-from tallyhouse.plans.warehouse import build_warehouse
+from tallyhouse.plans.warehouse import build_warehouse, load_bronze
 from tallyhouse.sources import files, tables
 
 HEADER = ",".join(schemas.column_types(schemas.RAW_TRANSACTIONS))
@@ -34,6 +34,12 @@ def test_declared_schema_keeps_broken_lines_apart(spark, csv_file):
     assert sorted(r["line"] for r in files.broken_rows(raw).collect()) == [BAD_DATE, BAD_NUMBER]
 
 
+def test_bronze_load_quarantines_broken_lines(spark, csv_file, tmp_path):
+    good, broken = load_bronze(spark, csv_file, "load_", str(tmp_path / "t"))
+    assert (good.count(), broken.count()) == (1, 2)
+    assert dict(spark.table("load_bronze.raw_transactions").dtypes) == schemas.column_types(schemas.RAW_TRANSACTIONS)
+
+
 def test_detection_falls_back_on_mixed_types(spark, csv_file):
     got = files.read_raw_csv_detected(spark, csv_file)
     assert [r["transaction_id"] for r in got.collect()] == ["a-1"]
@@ -157,11 +163,13 @@ def test_catalog_build_is_repeatable(spark, tmp_path):
 
 
 def test_a_table_can_be_replaced_by_a_query_on_itself(spark, tmp_path):
-    tables.create_layers(spark, "self_")
     name, root = "self_gold.t", str(tmp_path / "t")
+    tables.create_layers(spark, "self_", root)
     tables.replace_table(spark.range(5), name, root=root)
     tables.replace_table(spark.table(name).withColumn("id", F.col("id") * 2), name, root=root)
     assert [r[0] for r in spark.table(name).orderBy("id").collect()] == [0, 2, 4, 6, 8]
+    assert tables.remove_old_versions(spark, name, root) == 1
+    assert spark.table(name).count() == 5
     tables.replace_table(spark.range(2).withColumn("more", F.lit(1)), name, root=root)
     assert spark.table(name).columns == ["id", "more"]
     parted = spark.range(6).withColumn("p", F.col("id") % 2)
