@@ -59,13 +59,11 @@ def carried_forward(
 ) -> DataFrame:
     """For every row the latest non-NULL ``payload`` of the same key at or before it.
 
-    ``payload`` is a column (may be a struct) that is NULL on rows to be filled. The value kept
-    from earlier chunks is one row per chunk.
+    ``payload`` is a column (may be a struct) that is NULL on rows to be filled; the result has
+    ``into`` in its place. The value kept from earlier chunks is one row per chunk.
     """
-    tagged = rows.withColumn(
-        "_tagged", F.when(F.col(payload).isNotNull(), F.struct(F.col(key).alias("k"),
-                                                               F.col(payload).alias("v")))
-    )
+    pair = F.struct(F.col(key).alias("k"), F.col(payload).alias("v"))
+    tagged = rows.withColumn("_tagged", F.when(F.col(payload).isNotNull(), pair)).drop(payload)
     chunked = in_chunks(tagged, key, *order, name="carried")
     within = Window.partitionBy(CHUNK).orderBy(OFFSET)
     local = F.last("_tagged", ignorenulls=True).over(

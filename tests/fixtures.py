@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from decimal import Decimal
 
 from tallyhouse import schemas
+from tallyhouse.operators import dimensions
+from tallyhouse.operators.fact import Dimensions, build_fact
+from tallyhouse.session import stage
 
 AT = datetime(2024, 12, 1)
 
@@ -53,3 +57,14 @@ def batches(spark, rows):
         filled.append(tuple(full[c] for c in base))
     schema = schemas.DAILY_BATCH.replace("double", "decimal(18,2)") + ", batch_day date"
     return spark.createDataFrame(filled, schema)
+
+
+def star(spark, rows):
+    """Written conformed table, dimensions and fact of the given rows."""
+    table = stage(silver(spark, rows), "silver")
+    builds = [dimensions.dim_customers, dimensions.dim_merchants, dimensions.dim_payment_methods,
+              dimensions.dim_transaction_status, dimensions.dim_location]
+    with ThreadPoolExecutor(len(builds)) as pool:
+        built = list(pool.map(lambda build: stage(build(table, AT), build.__name__), builds))
+    dims = Dimensions(*built, dimensions.dim_date(spark))
+    return table, dims, stage(build_fact(table, dims, AT), "fact")

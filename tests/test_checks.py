@@ -3,23 +3,14 @@ from decimal import Decimal
 
 import pytest
 from conftest import tuples
-from fixtures import AT, batches, silver, ts
+from fixtures import AT, batches, silver, star, ts
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import dimensions, quality
+from tallyhouse.operators import quality
 from tallyhouse.operators.fact import Dimensions, build_fact
 from tallyhouse.plans import reports
 
 
-def star(spark, rows):
-    table = silver(spark, rows)
-    dims = Dimensions(
-        dimensions.dim_customers(table, AT), dimensions.dim_merchants(table, AT),
-        dimensions.dim_payment_methods(table, AT), dimensions.dim_transaction_status(table, AT),
-        dimensions.dim_location(table, AT), dimensions.dim_date(spark))
-    return table, dims, build_fact(table, dims, AT)
-
-
 def test_fan_out_names_the_dimension(spark):
     table, dims, _ = star(spark, [{"merchant_id": "M1"}, {"merchant_id": "M1"}, {"merchant_id": "M2"}])
     twice = Dimensions(dims.customers, dims.merchants.unionByName(dims.merchants.filter("merchant_id = 'M1'")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 from tallyhouse.operators.dimensions import build_dimension
+from tallyhouse.session import stage
 from tallyhouse.operators.scd import latest_per_key, point_in_time_lookup, scd1_apply, scd2_apply
 
 START = datetime(2024, 1, 1)
@@ -15,9 +16,10 @@ START = datetime(2024, 1, 1)
 
 def customers(spark, rows):
     members = spark.createDataFrame(rows, "customer_id string, customer_segment string, email string")
-    return build_dimension(
+    dim = build_dimension(
         members, "customer_id", "customer_key", schemas.DIM_CUSTOMERS,
         {"effective_start_date": F.lit(START), "is_current": F.lit(True)}, START)
+    return stage(dim, "before")
 
 
 def updates(spark, rows):
@@ -31,7 +33,8 @@ def versions(dim):
 
 
 def apply(dim, changes):
-    return scd2_apply(dim, changes, "customer_id", "customer_key", ["customer_segment"], "at", AT)
+    applied = scd2_apply(dim, changes, "customer_id", "customer_key", ["customer_segment"], "at", AT)
+    return stage(applied, "applied")
 
 
 def test_versions_chain_and_replay_changes_nothing(spark, many_chunks):

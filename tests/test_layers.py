@@ -3,12 +3,11 @@ from decimal import Decimal
 
 import pytest
 from conftest import tuples
-from fixtures import AT, batches, silver, ts
+from fixtures import AT, batches, silver, star, ts
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 from tallyhouse.operators import conform, dimensions
-from tallyhouse.operators.fact import Dimensions, build_fact
 from tallyhouse.plans.warehouse import build_warehouse, load_bronze
 from tallyhouse.sources import files, tables
 
@@ -78,17 +77,8 @@ def test_conform_keeps_every_row_and_parses_text(spark):
     assert (first["currency"], first["source_system"]) == ("INR", "kaggle_csv")
 
 
-def build(spark, rows):
-    table = silver(spark, rows)
-    dims = Dimensions(
-        dimensions.dim_customers(table, AT), dimensions.dim_merchants(table, AT),
-        dimensions.dim_payment_methods(table, AT), dimensions.dim_transaction_status(table, AT),
-        dimensions.dim_location(table, AT), dimensions.dim_date(spark))
-    return table, dims, build_fact(table, dims, AT)
-
-
 def test_dimension_schemas(spark):
-    _, dims, fact = build(spark, [{}])
+    _, dims, fact = star(spark, [{}])
     for dim, ddl in ((dims.customers, schemas.DIM_CUSTOMERS), (dims.merchants, schemas.DIM_MERCHANTS),
                      (dims.payment_methods, schemas.DIM_PAYMENT_METHODS),
                      (dims.transaction_status, schemas.DIM_TRANSACTION_STATUS),
@@ -98,14 +88,14 @@ def test_dimension_schemas(spark):
 
 
 def test_null_keys_get_a_member_but_no_match(spark):
-    _, dims, fact = build(spark, [{"customer_id": None}, {"merchant_id": None}, {}])
+    _, dims, fact = star(spark, [{"customer_id": None}, {"merchant_id": None}, {}])
     assert tuples(dims.customers.select("customer_key", "customer_id")) == [(1, None), (2, "USER_0001")]
     got = tuples(fact.select("transaction_id", "customer_key", "merchant_key"))
     assert got == [("T0", None, 2), ("T1", 2, None), ("T2", 2, 2)]
 
 
 def test_unknown_status(spark):
-    _, dims, _ = build(spark, [{"transaction_status": s} for s in ("Reversed", "Failed", "Pending", "Successful", None)])
+    _, dims, _ = star(spark, [{"transaction_status": s} for s in ("Reversed", "Failed", "Pending", "Successful", None)])
     got = {r[0]: tuple(r)[1:] for r in dims.transaction_status.select(
         "status_name", "status_category", "is_terminal", "display_order").collect()}
     assert got == {None: (None, False, None), "Failed": ("Failed", True, 3), "Pending": ("Pending", False, 1),
@@ -134,14 +124,14 @@ def test_calendar(spark):
 
 def test_dates_outside_the_calendar(spark):
     moments = ["2014-12-31 23:59:59", "2015-01-01 00:00:00", "2030-12-31 23:59:59", "2031-01-01 00:00:00"]
-    table, _, fact = build(spark, [{"transaction_timestamp": ts(m)} for m in moments])
+    table, _, fact = star(spark, [{"transaction_timestamp": ts(m)} for m in moments])
     assert tuples(fact.select("transaction_id", "date_key")) == [
         ("T0", None), ("T1", 20150101), ("T2", 20301231), ("T3", None)]
     assert dimensions.dim_date_covering(table).count() == 5844 + 2
 
 
 def test_derived_measures_and_flags(spark):
-    _, _, fact = build(spark, [{"amount": "100.10", "fee_amount": "0.20", "cashback_amount": "0.30"}])
+    _, _, fact = star(spark, [{"amount": "100.10", "fee_amount": "0.20", "cashback_amount": "0.30"}])
     row = fact.head()
     assert (row["net_customer_amount"], row["merchant_net_amount"], row["gateway_revenue"]) == (
         Decimal("99.80"), Decimal("99.90"), Decimal("-0.10"))
