@@ -459,9 +459,9 @@ _add("inc_tz_fix", f"SELECT transaction_id, CASE WHEN {_IS_SHIFTED} THEN transac
 _add("inc_lineage", f"SELECT strftime(batch_day, '%Y%m%d') AS batch_id, 'daily_batch' AS source_system, {_N}, "
      f"{_sum('amount', 'total_amount')} FROM batches GROUP BY 1, 2", _BATCHES)
 _add("inc_month_partitions", f"SELECT strftime(transaction_timestamp, '%Y-%m') AS txn_month, {_N}, {_sum('amount', 'total_amount')} "
-     "FROM silver WHERE year(transaction_timestamp) IN (2017, 2018) GROUP BY 1", _SILVER)
+     "FROM silver GROUP BY 1", _SILVER)
 _add("inc_clustered", f"SELECT date_key, status_key, {_N}, {_sum('amount', 'total_amount')} FROM fact "
-     "WHERE date_key BETWEEN 20170101 AND 20170331 GROUP BY date_key, status_key", _FACT)
+     "GROUP BY date_key, status_key", _FACT)
 _BITS = [("late", f"({_IS_LATE}) AND NOT {_IS_SHIFTED}"), ("missing_update", "updated_at IS NULL"),
          ("renamed", _IS_RENAMED), ("zone_shifted", _IS_SHIFTED)]
 _MASK = " + ".join(f"CASE WHEN {test} THEN {1 << i} ELSE 0 END" for i, (_, test) in enumerate(_BITS))

@@ -53,3 +53,13 @@ def instant(moment: Column) -> Column:
 def utc_date(moment: Column) -> Column:
     """The UTC date of an instant, whatever the session's zone."""
     return F.date_from_unix_date(F.floor(F.unix_seconds(moment) / 86400).cast("int"))
+
+
+def parsed(text: Column, text_format: str) -> Column:
+    """Text as a zone-less time, NULL if unreadable.
+
+    Parsed as UTC and counted from the epoch, so an hour that the session's zone skips survives.
+    """
+    moment = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{text_format} X"))
+    seconds = (F.unix_micros(moment) / 1000000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)

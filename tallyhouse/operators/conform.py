@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.fixed_values import CURRENCY, RAW_TIMESTAMP_FORMAT, SOURCE_SYSTEM
+from tallyhouse.functions import dates
 from tallyhouse.functions.money import money
 
 RENAMED = {
@@ -28,16 +29,20 @@ MONEY_COLUMNS = ["amount", "fee_amount", "cashback_amount"]
 
 
 def audit_time(load_ts: datetime | None) -> Column:
-    """The load time of a run: given, or the start time of the query."""
-    moment = F.current_timestamp() if load_ts is None else F.lit(load_ts)
-    return moment.cast("timestamp")
+    """The load time of a run: given, or the start time of the query.
+
+    A time without zone is read in the session's zone, not in that of the driver's machine.
+    """
+    if load_ts is None:
+        return F.current_timestamp()
+    text = load_ts.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp")
 
 
 def parsed_time(df: DataFrame, column: str, text_format: str = RAW_TIMESTAMP_FORMAT) -> Column:
     """The column as a zone-less timestamp; text is parsed, anything unreadable becomes NULL."""
     if df.schema[column].dataType.typeName() == "string":
-        parsed = F.try_to_timestamp(F.col(column), F.lit(text_format))
-        return parsed.cast("timestamp_ntz")
+        return dates.parsed(F.col(column), text_format)
     return F.col(column).cast("timestamp_ntz")
 
 

@@ -37,8 +37,12 @@ def high_water_mark(batches: DataFrame) -> DataFrame:
 
 
 def _newer_side(old: DataFrame, new: DataFrame, key: str, newest_by: Column) -> DataFrame:
-    """Full outer join of two tables that are unique on ``key``; the newer row wins whole."""
-    left = old.select(
+    """Full outer join of two tables that are unique on ``key``; the newer row wins whole.
+
+    Old rows without a key match nothing and would all meet in one task of the join, so they
+    pass by it; file statistics make the second scan that finds them cheap.
+    """
+    left = old.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_old_key"), newest_by.alias("_old_at"),
         F.struct(*old.columns).alias("_old"),
     )
@@ -50,9 +54,13 @@ def _newer_side(old: DataFrame, new: DataFrame, key: str, newest_by: Column) ->
     stale = F.col("_old").isNotNull() & (
         F.col("_new").isNull() | F.coalesce(F.col("_new_at") < F.col("_old_at"), F.lit(False))
     )
-    return both.select(F.when(stale, F.col("_old")).otherwise(F.col("_new")).alias("row")).select(
-        "row.*"
-    )
+    chosen = F.when(stale, F.col("_old")).otherwise(F.col("_new"))
+    merged = both.select(chosen.alias("row")).select("row.*")
+    return merged.unionByName(old.filter(F.col(key).isNull()))
+
+
+def _newest_changes(changes: DataFrame, key: str, newest_by: Column) -> DataFrame:
+    return latest_per_key(changes.filter(F.col(key).isNotNull()), key, newest_by)
 
 
 def upsert(
@@ -61,41 +69,55 @@ def upsert(
     """Insert or replace by key; the newest change wins, and never loses to an older one.
 
     ``newest_by`` is an expression over columns of both tables, by default the change time.
+    Changes without a key are ignored: they could not be applied twice without doubling.
     """
     order = change_time() if newest_by is None else newest_by
-    newest = latest_per_key(changes.select(*target.columns), key, order)
+    newest = _newest_changes(changes.select(*target.columns), key, order)
     return _newer_side(target, newest, key, order)
 
 
 def upsert_partitions(
     spark: SparkSession, path: str, changes: DataFrame, key: str, part: str,
-    newest_by: Column | None = None,
+    newest_by: Column | None = None, keys_stay: bool = False,
 ) -> None:
     """Upsert into a partitioned dataset, rewriting only the partitions concerned.
 
-    These are the partitions the changes belong to and those that hold a changed key now. The
-    new content is complete in the shared folder before a partition is replaced, because a
-    dataset cannot be overwritten while it is read.
+    These are the partitions the changes belong to and those that hold a changed key now. With
+    ``keys_stay`` a key is known never to change its partition, which saves looking for it in the
+    key column of the whole dataset. The new content is complete in the shared folder before a
+    partition is replaced, because a dataset cannot be overwritten while it is read.
     """
     stored = spark.read.schema(changes.schema).parquet(path)
     order = change_time() if newest_by is None else newest_by
-    newest = stage(latest_per_key(changes, key, order), "changes")
-    holding = stored.join(newest.select(key).distinct(), key, "left_semi").select(part)
-    concerned = stage(holding.union(newest.select(part)).distinct(), "concerned")
-    # a semi join on the partition column prunes the scan of untouched partitions at run time
-    present = stored.join(concerned, part, "left_semi")
+    newest = stage(_newest_changes(changes, key, order), "changes")
+    parts = newest.select(part)
+    if not keys_stay:
+        parts = parts.union(stored.join(newest.select(key), key, "left_semi").select(part))
+    # names of folders: at most as many as the dataset has partitions. As literals they prune
+    # the scan, while a join with them would read every partition.
+    concerned = [row[0] for row in parts.distinct().collect()]
+    present = stored.filter(_one_of(part, concerned))
     merged = stage(_newer_side(present, newest.select(*stored.columns), key, order), "merged")
     write_by_partition(merged, path, part, only_touched=True)
     # a partition whose rows all moved away is not overwritten and is dropped afterwards; in
     # this order nothing is ever missing, and applying the changes again completes a failed run
-    left_over = concerned.join(merged.select(part).distinct(), part, "left_anti")
-    for row in left_over.toLocalIterator():
-        _drop_partition(spark, path, part, row[0])
+    filled = {row[0] for row in merged.select(part).distinct().collect()}
+    for value in set(concerned) - filled:
+        _drop_partition(spark, path, part, value)
+
+
+def _one_of(column: str, values: list) -> Column:
+    """Membership in a list that may hold NULL."""
+    known = [v for v in values if v is not None]
+    test = F.col(column).isin(known) if known else F.lit(False)
+    return test | F.col(column).isNull() if len(known) < len(values) else test
 
 
 def _drop_partition(spark: SparkSession, path: str, part: str, value: object) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = hadoop.Path(f"{path}/{part}={value}")
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    name = names.getPartitionPathString(part, None if value is None else str(value))
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
@@ -106,15 +128,17 @@ def apply_changes(
     """Apply a feed of inserts (I), updates (U) and deletes (D).
 
     Only the change with the highest sequence per key counts. Deleting an absent key does
-    nothing. With ``soft_delete`` deleted rows stay, marked by ``is_deleted``.
+    nothing, and changes without a key are ignored. With ``soft_delete`` deleted rows stay, marked by ``is_deleted``.
     """
     values = [c for c in target.columns if c != "is_deleted"]
-    newest = latest_per_key(feed.select(*values, sequence, operation), key, sequence)
+    keyed = feed.filter(F.col(key).isNotNull()).select(*values, sequence, operation)
+    newest = latest_per_key(keyed, key, sequence)
     arriving = newest.select(
         F.col(key).alias("_key"), F.col(operation).alias("_op"), F.struct(*values).alias("_new")
     )
     flag = F.col("is_deleted") if "is_deleted" in target.columns else F.lit(False)
-    present = target.select(
+    # rows without a key match nothing; they pass by the join, where they would share one task
+    present = target.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_old_key"), F.struct(*values).alias("_old"), flag.alias("_gone")
     )
     both = present.join(arriving, F.col("_old_key") == F.col("_key"), "full_outer")
@@ -126,6 +150,8 @@ def apply_changes(
         F.when(F.col("_op").isNull(), F.coalesce("_gone", F.lit(False))).otherwise(deleted)
         .alias("is_deleted"),
     ).select("row.*", "is_deleted")
+    keyless = target.filter(F.col(key).isNull()).select(*values, flag.alias("is_deleted"))
+    rows = rows.unionByName(keyless)
     return rows if soft_delete else rows.filter(~F.col("is_deleted")).drop("is_deleted")
 
 

@@ -66,3 +66,13 @@ def test_draws_follow_their_weights(spark):
     assert 0 <= low < 0.001 and 0.999 < high < 1
     shares = {r[0]: r[1] / 20000 for r in df.groupBy("w").count().collect()}
     assert abs(shares["a"] - 0.6) < 0.02 and abs(shares["b"] - 0.3) < 0.02 and abs(shares["c"] - 0.1) < 0.02
+
+
+def test_text_times_survive_a_skipped_hour(spark):
+    df = spark.createDataFrame([("10-03-2024 02:30",), ("31-12-1969 23:59",), ("soon",), (None,)], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in df.select(dates.parsed(F.col("t"), "dd-MM-yyyy HH:mm")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [datetime(2024, 3, 10, 2, 30), datetime(1969, 12, 31, 23, 59), None, None]

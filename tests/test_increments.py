@@ -28,7 +28,7 @@ def test_upsert_keeps_the_newest(spark):
         {"transaction_id": "newer", "amount": 3, "updated_at": ts("2024-11-04")},
         {"transaction_id": "stale", "amount": 9, "updated_at": ts("2024-10-01")},
         {"transaction_id": "nulls", "amount": 5, "updated_at": None, "transaction_timestamp": ts("2024-11-05")},
-        {"transaction_id": "fresh", "amount": 4},
+        {"transaction_id": "fresh", "amount": 4}, {"transaction_id": None, "amount": 8},
     ])
     want = [(None, Decimal("7.00")), ("fresh", Decimal("4.00")), ("newer", Decimal("3.00")), ("nulls", Decimal("5.00")),
             ("same", Decimal("1.00")), ("stale", Decimal("1.00"))]
@@ -39,16 +39,16 @@ def test_upsert_keeps_the_newest(spark):
     assert once.columns == target.columns
 
 
-FEED = [("a", 10, 1, "U"), ("a", 11, 2, "U"), ("b", 0, 1, "D"), ("gone", 0, 1, "D"), ("c", 1, 1, "D"), ("c", 30, 2, "I"), ("n", 5, 1, "I")]
+FEED = [(None, 3, 9, "I"), ("a", 10, 1, "U"), ("a", 11, 2, "U"), ("b", 0, 1, "D"), ("gone", 0, 1, "D"), ("c", 1, 1, "D"), ("c", 30, 2, "I"), ("n", 5, 1, "I")]
 
 
 def test_change_feed(spark):
-    target = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "id string, v int")
+    target = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4), (None, 6)], "id string, v int")
     feed = spark.createDataFrame(FEED, "id string, v int, seq int, op string")
-    assert tuples(incremental.apply_changes(target, feed, "id", "seq")) == [("a", 11), ("c", 30), ("d", 4), ("n", 5)]
+    assert tuples(incremental.apply_changes(target, feed, "id", "seq")) == [(None, 6), ("a", 11), ("c", 30), ("d", 4), ("n", 5)]
     soft = incremental.apply_changes(target, feed, "id", "seq", soft_delete=True)
-    assert tuples(soft) == [("a", 11, False), ("b", 2, True), ("c", 30, False), ("d", 4, False), ("n", 5, False)]
-    assert incremental.not_deleted(soft).count() == 4
+    assert tuples(soft) == [(None, 6, False), ("a", 11, False), ("b", 2, True), ("c", 30, False), ("d", 4, False), ("n", 5, False)]
+    assert incremental.not_deleted(soft).count() == 5
     again = incremental.apply_changes(soft, spark.createDataFrame([("b", 9, 5, "U")], feed.schema), "id", "seq", soft_delete=True)
     assert ("b", 9, False) in tuples(again)
 
@@ -86,6 +86,38 @@ def test_a_row_that_moves_leaves_its_old_partition(spark, tmp_path):
     assert [(r[0], r[2]) for r in stored(spark, path, rows.schema)] == [("x", date(2024, 11, 5)), ("y", date(2024, 11, 5))]
 
 
+def test_rows_without_a_partition_value_are_kept(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = incremental.with_event_date(batches(spark, [
+        {"transaction_id": t, "transaction_timestamp": None} for t in ("x", "y")] + [{"transaction_id": "z"}]))
+    tables.write_by_partition(rows, path, "event_date")
+    new = incremental.with_event_date(batches(spark, [
+        {"transaction_id": "n", "transaction_timestamp": None},
+        {"transaction_id": "x", "transaction_timestamp": ts("2024-11-05"), "updated_at": ts("2024-11-06")}]))
+    incremental.upsert_partitions(spark, path, new, "transaction_id", "event_date")
+    two, five = date(2024, 11, 2), date(2024, 11, 5)
+    assert sorted((r[0], r[2] or date.min) for r in stored(spark, path, rows.schema)) == [
+        ("n", date.min), ("x", five), ("y", date.min), ("z", two)]
+    last = incremental.with_event_date(batches(spark, [
+        {"transaction_id": t, "transaction_timestamp": ts("2024-11-05"), "updated_at": ts("2024-11-07")} for t in ("n", "y")]))
+    incremental.upsert_partitions(spark, path, last, "transaction_id", "event_date")
+    assert sorted((r[0], r[2]) for r in stored(spark, path, rows.schema)) == [("n", five), ("x", five), ("y", five), ("z", two)]
+
+
+def test_concerned_partitions_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = incremental.with_event_date(batches(spark, [
+        {"transaction_timestamp": ts(f"2024-11-0{d} 10:00:00")} for d in (1, 2, 3)]))
+    tables.write_by_partition(rows, path, "event_date")
+    read = spark.read.schema(rows.schema).parquet(path).filter(incremental._one_of("event_date", [date(2024, 11, 2), None]))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and read.count() == 1
+    only = incremental.with_event_date(batches(spark, [
+        {"transaction_id": "T1", "amount": 3, "transaction_timestamp": ts("2024-11-02 10:00:00"), "updated_at": ts("2024-11-09")}]))
+    incremental.upsert_partitions(spark, path, only, "transaction_id", "event_date", keys_stay=True)
+    assert [str(r[1]) for r in stored(spark, path, rows.schema)] == ["10.00", "3.00", "10.00"]
+
+
 def test_shifted_times_are_moved_back(spark):
     rows = batches(spark, [{}, {"transaction_timestamp": ts("2024-11-01 22:00:00"), "updated_at": ts("2024-11-02 08:30:00")}])
     got = tuples(incremental.normalise_time_zone(rows).select("transaction_id", "transaction_timestamp", "zone_fixed"))
