@@ -7,6 +7,7 @@ any number of partitions and any executor can recompute its part.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,8 +176,7 @@ def three_days(
     spark: SparkSession, start: str = "2024-11-01", n: int = 15000, seed: int = 42, **sizes: int
 ) -> DataFrame:
     """A clean day, a day with late and unstamped rows, a day with renames and shifted rows."""
-    first = spark.sql(f"SELECT date'{start}' AS d, date'{start}' + 1 AS e, date'{start}' + 2 AS f")
-    days = [str(d) for d in first.head()]
+    days = [str(date.fromisoformat(start) + timedelta(days=i)) for i in range(3)]
     plans = [CLEAN_DAY, LATE_DAY, RENAME_DAY]
     batches = [
         generate_batch(spark, day, n, plan, seed=seed, **sizes) for day, plan in zip(days, plans)

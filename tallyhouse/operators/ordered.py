@@ -14,6 +14,7 @@ from tallyhouse.session import stage
 
 CHUNK = "_chunk"
 OFFSET = "_offset"
+_SPREAD = "_spread"
 _ROW_BITS = 33
 
 
@@ -64,7 +65,9 @@ def carried_forward(
     """
     pair = F.struct(F.col(key).alias("k"), F.col(payload).alias("v"))
     tagged = rows.withColumn("_tagged", F.when(F.col(payload).isNotNull(), pair)).drop(payload)
-    chunked = in_chunks(tagged, key, *order, name="carried")
+    # rows of one key and one moment may come in any order: a hash lets even those be divided
+    spread = tagged.withColumn(_SPREAD, F.xxhash64(*tagged.columns))
+    chunked = in_chunks(spread, key, *order, _SPREAD, name="carried").drop(_SPREAD)
     within = Window.partitionBy(CHUNK).orderBy(OFFSET)
     local = F.last("_tagged", ignorenulls=True).over(
         within.rowsBetween(Window.unboundedPreceding, 0)
@@ -108,10 +111,10 @@ def with_neighbours(
     )
     before = F.coalesce("_lag", "_from_before")
     after = F.coalesce("_lead", "_from_after")
-    inner = lambda s: F.struct(*(s[c].alias(c) for c in payload))
-    return joined.withColumns(
-        {
-            previous: F.when(before["_key"] == F.col(key), inner(before)),
-            following: F.when(after["_key"] == F.col(key), inner(after)),
-        }
-    ).drop(CHUNK, OFFSET, "_lag", "_lead", "_from_before", "_from_after")
+
+    def content_of(neighbour: Column) -> Column:
+        same_key = neighbour["_key"] == F.col(key)
+        return F.when(same_key, F.struct(*(neighbour[c].alias(c) for c in payload)))
+
+    widened = joined.withColumns({previous: content_of(before), following: content_of(after)})
+    return widened.drop(CHUNK, OFFSET, "_lag", "_lead", "_from_before", "_from_after")

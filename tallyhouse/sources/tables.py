@@ -34,7 +34,8 @@ def replace_table(
     """Create or replace a Parquet table from a query.
 
     The new version is written to a folder of its own and the table is pointed at it afterwards,
-    so readers never see half a table and the query may read the table it replaces.
+    so readers never see half a table and the query may read the table it replaces. A table with
+    partitions or a new schema is registered anew.
     """
     spark = df.sparkSession
     base = root or f"{shared_folder(spark)}/tables"

@@ -43,6 +43,17 @@ def test_carried_forward_equals_brute_force(spark):
     assert got == want
 
 
+def test_rows_of_one_moment_are_divided_too(spark):
+    data = [("hot", 5, None, i) for i in range(3000)] + [("hot", 4, 1, -1), ("a", 1, 2, -1), ("z", 9, None, -1)]
+    df = spark.createDataFrame(data, "k string, t bigint, v bigint, n bigint")
+    filled = carried_forward(df, "k", ["t"], "v", "f")
+    assert {r[0]: r[1] for r in filled.groupBy("k").agg(F.min("f")).collect()} == {"hot": 1, "a": 2, "z": None}
+    assert filled.filter("k = 'hot' and f = 1").count() == 3001
+    written = filled.inputFiles()
+    sizes = spark.read.parquet(*written).groupBy(CHUNK).count().collect()
+    assert max(r[1] for r in sizes) < 1500
+
+
 def test_neighbours_equal_brute_force(spark):
     df = spark.createDataFrame(rows(), "k string, t bigint, v bigint")
     got = {(r["k"], r["t"]): (r["previous"] and tuple(r["previous"]), r["following"] and tuple(r["following"]))
