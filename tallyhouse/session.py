@@ -15,6 +15,7 @@ def build_session(app: str = "tallyhouse", **conf: object) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64MB")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # stream state on local disk with snapshots in the checkpoint, not on the heap
         .config(
