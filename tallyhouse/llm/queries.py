@@ -6,18 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import exact_dedup, mixing, url_filter
+from tallyhouse.llm import exact_dedup, jaccard_join, mixing, token_files, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, written and read back, as position, count and checksum."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_digests(_table(spark, folder, "documents"), vocabulary, 49_408, 1)
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every page's URL under the given rules."""
     return url_filter.judge_urls(_table(spark, folder, "pages"), url_filter.given_rules(spark))
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose four-word shingles are 85 % the same."""
+    return jaccard_join.near_duplicates(_table(spark, folder, "documents"), width=4, percent=85)
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that are equal but for white space."""
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
@@ -30,13 +43,16 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": op1_token_files,
     "op2_url_filter": op2_url_filter,
+    "op3_jaccard_join": op3_jaccard_join,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
 }
 
 STATEMENTS: dict[str, str] = {
     "op2_url_filter": url_filter.ORACLE,
+    "op3_jaccard_join": jaccard_join.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
