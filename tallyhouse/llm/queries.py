@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import exact_dedup, jaccard_join, mixing, token_files, url_filter
+from tallyhouse.llm import exact_dedup, jaccard_join, mixing, quality, token_files, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, folder, "documents"), width=4, percent=85)
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade of every document, and whether it is kept."""
+    return quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that are equal but for white space."""
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
@@ -42,12 +47,19 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "passes", "taken")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, with its worst sentence."""
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_url_filter": op2_url_filter,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_quality": op4_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 STATEMENTS: dict[str, str] = {
