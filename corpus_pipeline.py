@@ -1,12 +1,58 @@
-"""From documents to packed training sequences, in stages that are each written and read again."""
+"""From documents to packed training sequences, in stages that are each written and read again.
+
+A stage takes (spark, docs, sf_dir), decides on the documents that the stage before it kept, and returns those
+that stay, with the columns of ``documents``; the last one returns the packing.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
+from tallyhouse.llm.common import Scratch, without_ids
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model trained on the labels does not hold for toxic."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that is equal but for white space."""
+    groups = exact_dedup.exact_duplicates(docs)
+    return without_ids(docs, groups.filter(~F.col("kept")).select("doc_id"), "doc_id")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each component of near copies: five-word shingles, similarity 0.8 or more."""
+    found = jaccard_join.near_duplicates(docs, width=5, percent=80)
+    return without_ids(docs, found.filter("component_id <> doc_id").select("doc_id"), "doc_id")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per pass that the mix makes over a document, in order of training position."""
+    mixed = mixing.mix(docs).filter("passes > 0").groupBy("doc_id").agg(F.max("positions").alias("positions"))
+    named = mixed.withColumnRenamed("doc_id", "_id")
+    taken = docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return mixing.training_order(taken, "doc_id").select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each piece of a document with its sequence."""
+    return packing.pack(docs)
 
-from tallyhouse.llm.common import Scratch
 
-STAGES: list = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 
 #: Toxicity is a trained score, which SQL cannot express; tests hold the stages against brute force.
 ORACLE_SQL = None

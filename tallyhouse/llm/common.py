@@ -30,6 +30,21 @@ def without_white_space(text: str | Column) -> Column:
     return result
 
 
+#: Ids that may be sent to every task: 16 MB.
+MOST_IDS = 2_000_000
+
+
+def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the ids in the one column of ``dropped``, which is written first.
+
+    Up to ``MOST_IDS`` ids go to the tasks that read the documents, so that texts stay where they are; more are
+    joined by shuffle.
+    """
+    ids = Scratch(docs.sparkSession, "dropped").write(dropped.distinct(), "ids")
+    few = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, id_col, "left_anti")
+
+
 class Scratch:
     """Tables written to the shared folder on behalf of one run of an operator.
 

@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tallyhouse.llm import exact_dedup, jaccard_join, mixing, quality, token_files, toxicity, url_filter
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import (
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    token_files,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,17 +48,32 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return neighbours.nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents that are equal but for white space."""
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document that the mix takes."""
     mixed = mixing.mix(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "passes", "taken")
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequence and place of every piece of a document."""
+    return packing.pack(_table(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, with its worst sentence."""
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
@@ -57,14 +84,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality": op4_quality,
+    "op5_neighbours": op5_neighbours,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_html_text": op7_html_text,
     "op8_mixing": op8_mixing,
+    "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
 
 STATEMENTS: dict[str, str] = {
     "op2_url_filter": url_filter.ORACLE,
     "op3_jaccard_join": jaccard_join.ORACLE,
+    "op5_neighbours": neighbours.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }

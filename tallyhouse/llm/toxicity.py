@@ -132,39 +132,46 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 SCORED = "doc_id long, score double, worst_start int, worst_end int, worst_score double"
 
 
+class Scorer:
+    """Scores texts in a task; words' scores are remembered."""
+
+    def __init__(self, model: Model) -> None:
+        self._model = model
+        self._known: dict[str, float] = {}
+
+    def _of_word(self, word: str) -> float:
+        value = self._known.get(word)
+        if value is None:
+            if len(self._known) >= CACHE_WORDS:
+                self._known.clear()
+            value = self._known[word] = float(self._model.weights[features(word)].sum())
+        return value
+
+    def __call__(self, text: str) -> tuple[float, int | None, int | None, float | None]:
+        """Noisy-or of the sentences, and start, end and probability of the worst one."""
+        places, z = [], []
+        for start, end, words in sentences(text):
+            places.append((start, end))
+            # sorted: the sum must not depend on the order of a set
+            z.append(sum(sorted(filter(None, map(self._of_word, words)))))
+        if not z:
+            return 0.0, None, None, None
+        p = sigmoid(np.array(z) + self._model.bias)
+        worst = int(p.argmax())
+        total = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
+        return float(min(max(total, 0.0), 1.0)), *places[worst], float(p[worst])
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Noisy-or score of each whole text, and place and score of its worst sentence (code points)."""
+    """Score of each whole text, and place (code points) and score of its worst sentence."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value.weights, shared.value.bias
-        known: dict[str, float] = {}
-
-        def of_word(word: str) -> float:
-            value = known.get(word)
-            if value is None:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                value = known[word] = float(weights[features(word)].sum())
-            return value
-
+        scorer = Scorer(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
-                found = []
-                for text in rows.column(1).to_pylist():
-                    places, z = [], []
-                    for start, end, words in sentences(text):
-                        places.append((start, end))
-                        # sorted: the sum must not depend on the order of a set
-                        z.append(sum(map(of_word, sorted(words))))
-                    if not z:
-                        found.append((0.0, None, None, None))
-                        continue
-                    p = sigmoid(np.array(z) + bias)
-                    worst = int(p.argmax())
-                    total = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
-                    found.append((float(min(max(total, 0.0), 1.0)), *places[worst], float(p[worst])))
+                found = [scorer(text) for text in rows.column(1).to_pylist()]
                 kinds = [pa.float64(), pa.int32(), pa.int32(), pa.float64()]
                 cells = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(
@@ -175,6 +182,22 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return texts.mapInArrow(run, SCORED)
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """``docs`` with all their columns, less those that score ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                rows = batch.slice(at, 500)
+                keep = [scorer(text or "")[0] < threshold for text in rows.column(text_at).to_pylist()]
+                yield rows.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, most_per_class: int = MOST_PER_CLASS) -> DataFrame:
     """Train and score: doc_id, held_out, score, predicted, and the worst sentence."""
     model = train(docs, labels, most_per_class=most_per_class)
