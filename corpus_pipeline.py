@@ -1,7 +1,8 @@
 """From documents to packed training sequences, in stages that are each written and read again.
 
 A stage takes (spark, docs, sf_dir), decides on the documents that the stage before it kept, and returns those
-that stay, with the columns of ``documents``; the last one returns the packing.
+that stay, with the columns of ``documents``; the last one returns the packing. A doc_id names one document;
+rows without one are scored, mixed and packed, but never dropped as copies.
 """
 
 from __future__ import annotations
@@ -36,9 +37,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per pass that the mix makes over a document, in order of training position."""
     mixed = mixing.mix(docs).filter("passes > 0").groupBy("doc_id").agg(F.max("positions").alias("positions"))
-    named = mixed.withColumnRenamed("doc_id", "_id")
-    taken = docs.join(named, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    return mixing.training_order(taken, "doc_id").select(*docs.columns)
+    # columns of the documents stay inside a struct, whatever their names
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("of"))
+    taken = rows.join(mixed, F.col("of").eqNullSafe(F.col("doc_id"))).select("row", "of", "positions")
+    return mixing.training_order(taken, "of").select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the ids in the one column of ``dropped``, which is written first.
 
     Up to ``MOST_IDS`` ids go to the tasks that read the documents, so that texts stay where they are; more are
-    joined by shuffle.
+    joined by shuffle. Rows without an id stay.
     """
     ids = Scratch(docs.sparkSession, "dropped").write(dropped.distinct(), "ids")
     few = ids.limit(MOST_IDS + 1).count() <= MOST_IDS

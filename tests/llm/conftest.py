@@ -1,0 +1,26 @@
+"""Small tables for the training-data operators."""
+
+from __future__ import annotations
+
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars int"
+
+
+def table(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (id, text) or (id, text, source), with columns that clash with internal names."""
+
+    def make(*rows):
+        full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "a", None) for r in rows]
+        made = table(spark, full, DOCUMENTS)
+        extra = ("class", "size", "hash", "salt", "row", "positions", "score", "part", "n", "_id", "bucket")
+        for name in extra:
+            made = made.selectExpr("*", f"'x' AS `{name}`")
+        return made.repartition(3)
+
+    return make
