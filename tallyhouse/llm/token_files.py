@@ -22,7 +22,6 @@ result. Other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -43,58 +42,73 @@ from tallyhouse.session import scratch_path
 #: Words a worker remembers before it forgets them all.
 CACHE_WORDS = 1_000_000
 BLOCK_IDS = 1 << 20
-#: A letter, one mark and white space: the mark is a token of its own, as letters end there.
-_MARKED = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+
+
+def _kind(vocabulary_size: int) -> str:
+    """Number type of ids between the tasks."""
+    return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
 
 
 class WordEncoder:
-    """Texts in UTF-8 to ids as little-endian 32-bit numbers, equal to encoding each text whole.
+    """Texts in UTF-8 to packed ids, equal to encoding each text whole.
 
     The tokenizer drops white space and lower-cases, so words can be encoded one by one. Words of letters
-    alone have one token that ends a word, their last; they are encoded in one go and split there. A text
-    that may spell a special token is left to the tokenizer as it is.
+    alone have one token that ends a word, their last; they are encoded many at a time and split there. A
+    comma or full stop after letters is a token of its own. A text that may spell a special token is left to
+    the tokenizer as it is.
     """
 
     def __init__(self, path: str, most_words: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self._tokenizer = Tokenizer.from_file(path)
         self._most_words = most_words
+        size = self._tokenizer.get_vocab_size()
+        self._kind = np.dtype(_kind(size))
         self._known: dict[bytes, bytes] = {}
-        self._ends = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        self._ends = np.zeros(size, bool)
         self._ends[[i for token, i in self._tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self._marks = dict(zip((b",", b"."), self._each([",", "."]), strict=True))
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, self._kind).tobytes() for x in found]
 
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        letters = [x.isalpha() and (x.isascii() or x.lower().isalpha() and is_normalized("NFC", x)) for x in texts]
-        simple = [(w, x) for w, x, ok in zip(words, texts, letters, strict=True) if ok]
-        other = [(w, x) for w, x, ok in zip(words, texts, letters, strict=True) if not ok]
+    def _learn(self, words: set[bytes]) -> None:
+        known = self._known
+        marked = {w: w[:-1] for w in words if w[-1:] in self._marks and w[:-1].isalpha()}
+        plain = {w for w in words if w not in marked} | {w for w in marked.values() if w not in known}
+        simple, other = [], []
+        for word in plain:
+            text = word.decode()
+            letters = text.isalpha() and (text.isascii() or text.lower().isalpha() and is_normalized("NFC", text))
+            (simple if letters else other).append((word, text))
         if simple:
             lines = [" ".join([x for _, x in simple[i : i + 100]]) for i in range(0, len(simple), 100)]
-            ids = np.frombuffer(b"".join(self._each(lines)), "<u4")
-            ends = (np.flatnonzero(self._ends[ids]) + 1) * 4
+            raw = b"".join(self._each(lines))
+            ends = ((np.flatnonzero(self._ends[np.frombuffer(raw, self._kind)]) + 1) * self._kind.itemsize).tolist()
             if len(ends) == len(simple):
-                raw, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
-                self._known.update((w, raw[a:b]) for (w, _), a, b in zip(simple, starts, ends.tolist(), strict=True))
+                known.update((w, raw[a:b]) for (w, _), a, b in zip(simple, [0, *ends], ends, strict=False))
             else:
                 other += simple
-        self._known.update(zip([w for w, _ in other], self._each([x for _, x in other]), strict=True))
+        known.update(zip([w for w, _ in other], self._each([x for _, x in other]), strict=True))
+        known.update((w, known[base] + self._marks[w[-1:]]) for w, base in marked.items())
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        known = self._known
-        parts = [None if b"<|" in t else _MARKED.sub(rb" \1", t.lower()).split() for t in texts]
-        met = set().union(*[words for words in parts if words])
-        missing = [w for w in met if w not in known]
-        if len(known) + len(missing) > self._most_words:
-            known.clear()
-            missing = list(met)
-        self._learn(missing)
+        get = self._known.get
+        parts = [[] if b"<|" in t else t.lower().split() for t in texts]
+        found = [list(map(get, words)) for words in parts]
+        open_texts = [i for i, ids in enumerate(found) if None in ids]
+        if open_texts:
+            missing = {w for i in open_texts for w, ids in zip(parts[i], found[i], strict=True) if ids is None}
+            if len(self._known) + len(missing) > self._most_words:
+                self._known.clear()
+                missing = set().union(*[parts[i] for i in open_texts])
+            self._learn(missing)
+            for i in open_texts:
+                found[i] = list(map(get, parts[i]))
         return [
-            self._each([text.decode()])[0] if words is None else b"".join([known[w] for w in words])
-            for text, words in zip(texts, parts, strict=True)
+            self._each([text.decode()])[0] if b"<|" in text else b"".join(ids)
+            for text, ids in zip(texts, found, strict=True)
         ]
 
 
@@ -104,9 +118,9 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids as little-endian 32-bit numbers with the end id)."""
-    end = np.array([end_id], "<u4").tobytes()
+def encoded(docs: DataFrame, vocabulary: str, vocabulary_size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, packed ids with the end id)."""
+    end = np.array([end_id], _kind(vocabulary_size)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(vocabulary)
@@ -124,11 +138,11 @@ def id_counts(ids: DataFrame, size: int) -> DataFrame:
     """(id, n) over all documents; each task sends one row per id it has met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, np.int64)
+        counts, kind = np.zeros(size, np.int64), _kind(size)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 row = b"".join(batch.column(0).slice(at, 500).to_pylist())
-                counts += np.bincount(np.frombuffer(row, "<u4"), minlength=size)
+                counts += np.bincount(np.frombuffer(row, kind), minlength=size)
         met = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], ["id", "n"])
 
@@ -170,6 +184,7 @@ BLOCKS = "part int, first long, doc_ids array<long>, lengths array<long>, contro
 def _blocks(ids: DataFrame, ranks: np.ndarray, block_ids: int) -> DataFrame:
     """Packs sorted documents; a block closes once it holds ``block_ids`` ids."""
     shared = ids.sparkSession.sparkContext.broadcast(ranks)  # one number per id of the vocabulary
+    kind = np.dtype(_kind(len(ranks)))
     schema = pa.schema(
         [("part", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
          ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())]
@@ -181,15 +196,15 @@ def _blocks(ids: DataFrame, ranks: np.ndarray, block_ids: int) -> DataFrame:
         held: list[bytes] = []
 
         def block() -> pa.RecordBatch:
-            control, data = pack(shared.value[np.frombuffer(b"".join(held), "<u4")])
-            row = [part, first, names, [len(x) // 4 for x in held], control, data]
+            control, data = pack(shared.value[np.frombuffer(b"".join(held), kind)])
+            row = [part, first, names, [len(x) // kind.itemsize for x in held], control, data]
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True))], schema=schema)
 
         for batch in batches:
             for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 names.append(name)
                 held.append(row)
-                size += len(row) // 4
+                size += len(row) // kind.itemsize
                 if size >= block_ids:
                     yield block()
                     first, size = first + size, 0
@@ -207,7 +222,7 @@ def write_token_files(
     """Encode all documents and write ``path``/ranks, ``path``/blocks and ``path``/parts."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
-    ids = scratch.write(encoded(docs, vocabulary, end_id, id_col, text_col), "ids")
+    ids = scratch.write(encoded(docs, vocabulary, vocabulary_size, end_id, id_col, text_col), "ids")
     counts = id_counts(ids, vocabulary_size).toPandas()  # at most a row per id of the vocabulary
     frequency = np.zeros(vocabulary_size, np.int64)
     frequency[counts["id"].to_numpy()] = counts["n"].to_numpy()
