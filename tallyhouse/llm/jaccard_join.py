@@ -43,6 +43,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,11 +52,11 @@ from tallyhouse.llm.common import Scratch, whole_text
 from tallyhouse.llm.components import components
 
 #: Distinct words whose hashes a worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 #: Shingles a task gathers before it sends them off.
-BATCH_SHINGLES = 2_000_000
+BATCH_SHINGLES = 1_000_000
 #: Classes of a block in the full search.
-BLOCK = 256
+BLOCK = 128
 SALTS = 64
 #: Weight of the longest list in DivideSkip's choice of how many lists to probe.
 DIVIDE = 0.0085
@@ -172,7 +173,8 @@ def _described(docs: DataFrame, id_col: str, text_col: str, width: int, parts: i
     return rows.mapInArrow(run, _ROWS)
 
 
-_SHARED = "bucket int, classes binary, sizes binary, hashes binary, lists binary"
+_SHARED = "doc_id long, class long, n long, bucket int, classes binary, sizes binary, hashes binary, lists binary"
+_SHARED_NAMES = ["doc_id", "class", "n", "bucket", "classes", "sizes", "hashes", "lists"]
 
 
 def _starts(values: np.ndarray) -> np.ndarray:
@@ -182,8 +184,11 @@ def _starts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
 
 
-def _shared(packed: DataFrame, buckets: int) -> DataFrame:
-    """The shingles that two classes or more have, with the lengths of their lists, by bucket of classes."""
+def _shared(described: DataFrame, buckets: int) -> DataFrame:
+    """The shingles that two classes or more have, with the lengths of their lists, by bucket of classes.
+
+    Rows that describe documents pass through, so that the shingles need not be written for a second use.
+    """
 
     def counted(pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
         owner, size, every = (np.concatenate(x) for x in zip(*pieces, strict=True))
@@ -196,23 +201,29 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         lists = np.repeat(length, length).astype(np.uint32)
         keep = lists > 1
         owner, size, every, lists = owner[keep], size[keep], every[keep], lists[keep]
+        if not len(owner):
+            return
         bucket = (owner.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         starts = _starts(bucket[order])
         for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
             rows = order[a:b]
-            cells = [[bucket[rows[0]]]] + [[x[rows].tobytes()] for x in (owner, size, every, lists)]
-            kinds = [pa.int32()] + [pa.binary()] * 4
+            cells = [[None]] * 3 + [[bucket[rows[0]]]] + [[x[rows].tobytes()] for x in (owner, size, every, lists)]
+            kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.binary()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(cells, kinds, strict=True)],
-                ["bucket", "classes", "sizes", "hashes", "lists"],
+                [pa.array(x, kind) for x, kind in zip(cells, kinds, strict=True)], _SHARED_NAMES
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, pieces = None, []
         for batch in batches:
+            documents = pc.is_null(batch.column(3))
+            texts = batch.filter(documents)
+            if texts.num_rows:
+                yield pa.RecordBatch.from_arrays(texts.columns, _SHARED_NAMES)
+            batch = batch.filter(pc.invert(documents))
             for i in range(batch.num_rows):
-                p, names, sizes, counts, raw = (c[i].as_py() for c in batch.columns)
+                p, names, sizes, counts, raw = (c[i].as_py() for c in batch.columns[3:])
                 if part is not None and p != part:
                     yield from counted(pieces)
                     pieces = []
@@ -225,8 +236,8 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         if pieces:
             yield from counted(pieces)
 
-    by_part = packed.select("part", "classes", "sizes", "counts", "hashes").repartition("part")
-    return by_part.sortWithinPartitions("part").mapInArrow(run, _SHARED)
+    spread = F.coalesce("part", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    return described.repartition(spread).sortWithinPartitions("part").mapInArrow(run, _SHARED)
 
 
 def _index(shared: DataFrame, percent: int) -> DataFrame:
@@ -268,7 +279,7 @@ def _index(shared: DataFrame, percent: int) -> DataFrame:
         if pieces:
             yield from gathered(pieces)
 
-    by_bucket = shared.repartition("bucket").sortWithinPartitions("bucket")
+    by_bucket = shared.select("bucket", "classes", "sizes", "hashes", "lists").repartition("bucket").sortWithinPartitions("bucket")
     return by_bucket.mapInArrow(run, "class long, n long, by_value binary, short binary")
 
 
@@ -473,11 +484,10 @@ def near_duplicates(
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     parts = _parts_of(spark)
-    described = scratch.write(_described(docs, id_col, text_col, width, parts), "described")
-    texts = described.filter("part IS NULL").select("doc_id", "class", "n")
-    index = scratch.write(_index(_shared(described.filter("part IS NOT NULL"), parts), percent), "index")
-    documents = scratch.write(texts, "documents")
-    scratch.release(described)
+    shared = scratch.write(_shared(_described(docs, id_col, text_col, width, parts), parts), "shared")
+    documents = scratch.write(shared.filter("bucket IS NULL").select("doc_id", "class", "n"), "documents")
+    index = scratch.write(_index(shared.filter("bucket IS NOT NULL"), percent), "index")
+    scratch.release(shared)
     postings = scratch.write(_postings(index), "postings")
     links = scratch.write(_first_links(index, postings, percent), "first")
     roots = components(links, scratch)
