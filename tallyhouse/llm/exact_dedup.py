@@ -113,7 +113,7 @@ def _told_apart(recipes: DataFrame, cut: DataFrame, later: DataFrame, digest_bit
     numbers = (
         placed.join(later, ["digest", "chunk"])
         .groupBy("doc_id", "text_sha256")
-        .agg(F.sort_array(F.collect_set(F.struct(F.col("place").cast("long"), F.col("number").cast("long")))).alias("numbers"))
+        .agg(F.sort_array(F.collect_set(F.struct(F.col("place").cast("long").alias("place"), F.col("number").cast("long").alias("number")))).alias("numbers"))
     )
     n = numbers.withColumnsRenamed({"doc_id": "_id", "text_sha256": "_sha"})
     found = recipes.join(n, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha")), "left")

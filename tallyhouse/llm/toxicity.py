@@ -2,7 +2,8 @@
 
 A document is a bag of sentences; its label says that some sentence is toxic, not which. Each sentence has
 a probability from hashed words and word beginnings, and the document's is their noisy-or,
-1 - product(1 - p). Training moves the sentences' scores through that product, so it finds by itself which
+1 - product(1 - p). A sentence without evidence has probability 0 exactly, so that a long document does not
+become toxic by its length. Training moves the sentences' scores through that product, so it finds by itself which
 sentences carry the label, and scoring returns the worst one's place in the text.
 
 The model is fitted by the driver on a bounded sample of labelled documents (``MOST_PER_CLASS`` of each
@@ -31,6 +32,8 @@ from tallyhouse.llm.common import whole_text
 from tallyhouse.llm.training import BUCKETS, MOST_PER_CLASS, Adam, associated, held_out, labelled_sample, place, sigmoid
 
 MOST_WORDS = 40
+#: Log-odds of a sentence without evidence; what is above them counts.
+REST = -4.0
 CACHE_WORDS = 500_000
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*")
 _WORD = re.compile(r"\S+")
@@ -59,17 +62,22 @@ def features(word: str) -> list[int]:
     return [place("=" + letters)] + [place(letters[:n]) for n in range(3, min(8, len(letters)) + 1)]
 
 
+def probability(z: np.ndarray) -> np.ndarray:
+    """Of sentences whose evidence adds up to ``z``: 0 for none, rising to 1."""
+    rest = sigmoid(np.float64(REST))
+    return np.clip((sigmoid(z + REST) - rest) / (1 - rest), 0.0, 1 - 1e-12)
+
+
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
-    bias: float
 
 
-def fit(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = 200, decay: float = 1e-5) -> Model:
+def fit(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = 200, decay: float = 1e-4) -> Model:
     """Noisy-or logistic model of documents given as the features of their sentences."""
     bags, labels = [b for b in bags if b], labels[[bool(b) for b in bags]]
     if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(BUCKETS, np.float32), -np.inf)
+        return Model(np.zeros(BUCKETS, np.float32))
     every = [s for b in bags for s in b]
     flat = np.concatenate(every)
     of_sentence = np.repeat(np.arange(len(every)), [len(s) for s in every])
@@ -81,27 +89,20 @@ def fit(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = 200, dec
     of_sentence = of_sentence[keep]
     used, flat = np.unique(flat[keep], return_inverse=True)
     if not len(used):
-        return Model(np.zeros(BUCKETS, np.float32), -np.inf)
-    values = {"w": np.zeros(len(used)), "b": np.array([-6.0])}
+        return Model(np.zeros(BUCKETS, np.float32))
+    values = {"w": np.zeros(len(used))}
     adam = Adam()
     share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (labels == 0).sum())
     for _ in range(rounds):
-        z = values["b"] + np.bincount(of_sentence, values["w"][flat], len(every))
-        clean = np.add.reduceat(np.log1p(-np.minimum(sigmoid(z), 1 - 1e-9)), first)  # log of the product
-        p = sigmoid(z)
-        toxic = np.maximum(-np.expm1(clean), 1e-9)
-        pull = np.where(labels == 1, -(1 - toxic) / toxic, 1.0) * share
-        slope = p * pull[of_document]
-        adam.update(
-            values,
-            {
-                "w": np.bincount(flat, slope[of_sentence], len(used)) + decay * values["w"],
-                "b": np.array([slope.sum()]),
-            },
-        )
+        z = np.bincount(of_sentence, values["w"][flat], len(every))
+        clean = np.exp(np.add.reduceat(np.log1p(-probability(z)), first))  # product of 1 - p
+        pull = np.where(labels == 1, -clean / np.maximum(1 - clean, 0.05), 1.0) * share
+        # slope of the loss in z: the factor 1 / (1 - p) of the product cancels one of the sigmoid's
+        slope = np.where(z >= 0, sigmoid(z + REST), 0.0) * pull[of_document]
+        adam.update(values, {"w": np.bincount(flat, slope[of_sentence], len(used)) + decay * values["w"]})
     weights = np.zeros(BUCKETS, np.float32)
     weights[used] = values["w"]
-    return Model(weights, float(values["b"][0]))
+    return Model(weights)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_per_class: int = MOST_PER_CLASS) -> Model:
@@ -156,9 +157,9 @@ class Scorer:
             z.append(sum(sorted(filter(None, map(self._of_word, words)))))
         if not z:
             return 0.0, None, None, None
-        p = sigmoid(np.array(z) + self._model.bias)
+        p = probability(np.array(z, float))
         worst = int(p.argmax())
-        total = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
+        total = -np.expm1(np.log1p(-p).sum())
         return float(min(max(total, 0.0), 1.0)), *places[worst], float(p[worst])
 
 

@@ -49,10 +49,12 @@ def labelled_sample(
 
 #: Least strength of a feature's correlation with the label, in standard deviations of chance.
 LEAST_Z = 4.0
+#: Documents of the sample in which a feature occurs at least.
+LEAST_DOCUMENTS = 8
 
 
 def associated(owner: np.ndarray, feature: np.ndarray, value: np.ndarray, target: np.ndarray, size: int) -> np.ndarray:
-    """Which of ``size`` features correlate with ``target`` beyond chance.
+    """Which of ``size`` features correlate with ``target`` beyond chance, each document naming a feature once.
 
     Invented and rare words would let a model learn documents by heart; this leaves what recurs.
     """
@@ -61,7 +63,7 @@ def associated(owner: np.ndarray, feature: np.ndarray, value: np.ndarray, target
     total, square = np.bincount(feature, value, size), np.bincount(feature, value * value, size)
     spread = np.sqrt(np.maximum(square / n - (total / n) ** 2, 1e-12) * (t * t).mean())
     r = np.bincount(feature, value * t[owner], size) / n / np.maximum(spread, 1e-12)
-    return np.abs(r) * np.sqrt(n) >= LEAST_Z
+    return (np.abs(r) * np.sqrt(n) >= LEAST_Z) & (np.bincount(feature, minlength=size) >= LEAST_DOCUMENTS)
 
 
 class Adam:
@@ -74,8 +76,8 @@ class Adam:
         self._step += 1
         for name, slope in slopes.items():
             m = self._m[name] = 0.9 * self._m.get(name, 0.0) + 0.1 * slope
-            v = self._v[name] = 0.999 * self._v.get(name, 0.0) + 0.001 * slope * slope
-            m, v = m / (1 - 0.9**self._step), v / (1 - 0.999**self._step)
+            v = self._v[name] = 0.99 * self._v.get(name, 0.0) + 0.01 * slope * slope
+            m, v = m / (1 - 0.9**self._step), v / (1 - 0.99**self._step)
             values[name] -= self._rate * m / (np.sqrt(v) + 1e-8)
 
 

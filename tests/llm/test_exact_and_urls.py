@@ -6,6 +6,8 @@ import hashlib
 import random
 import re
 
+from texts import documents  # noqa: F401
+
 from tallyhouse.llm import exact_dedup, url_filter
 
 WHITE = re.compile(r"[\x20\x09-\x0D]+")
@@ -93,7 +95,7 @@ def test_urls(spark):
 def test_precedence_of_equal_rules(spark):
     rules = spark.createDataFrame([("a.b", "/", "allow"), ("b", "/xy", "block"), ("a.b", "/", "block")], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "http://a.b/xyz")], "page_id long, url string")
-    assert url_filter.judge_urls(pages, rules).head()["rule"] == "b/xy"
+    assert url_filter.judge_urls(pages, rules).head()["rule"] == "a.b/"
     assert url_filter.judge_urls(pages.selectExpr("page_id", "'http://a.b/q' AS url"), rules).head()["verdict"] == "block"
 
 

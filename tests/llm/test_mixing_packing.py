@@ -8,7 +8,7 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
-from texts import words
+from texts import documents, words  # noqa: F401
 
 from tallyhouse.llm import mixing, packing
 

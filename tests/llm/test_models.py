@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from texts import words
+from texts import documents, words  # noqa: F401
 
 from tallyhouse.llm import quality, toxicity, training
 

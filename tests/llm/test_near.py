@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 import pytest
-from texts import words
+from texts import documents, words  # noqa: F401
 
 from tallyhouse.llm import jaccard_join
 from tallyhouse.llm.common import Scratch

@@ -9,6 +9,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from texts import documents  # noqa: F401
+
 from tallyhouse.llm import token_files
 
 public_tokenizers = pytest.importorskip("public_tokenizers")

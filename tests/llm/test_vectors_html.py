@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.llm import html_text, neighbours
 
@@ -41,7 +42,7 @@ def vectors():
 def test_neighbours(spark, blocks):
     rows = vectors()
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, label int, size string").repartition(4)
-    got = neighbours.nearest(df, df["vec_id"] % 5 == 0, query_block=blocks[0], candidate_block=blocks[1])
+    got = neighbours.nearest(df, F.col("vec_id") % 5 == 0, query_block=blocks[0], candidate_block=blocks[1])
     assert sorted(map(tuple, got.collect())) == brute_force(rows, 5, lambda i: i % 5 == 0)
 
 
@@ -51,15 +52,15 @@ def test_small_steps_and_large_numbers(spark, monkeypatch):
     draw = random.Random(5)
     rows = [(i, [draw.choice([1.0, 2.0, -1.0]) * 2.0**300 for _ in range(3)]) for i in range(60)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = neighbours.nearest(df, df["vec_id"] % 20 == 0, k=3)
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=3)
     assert sorted(map(tuple, got.collect())) == brute_force([(i, [x / 2.0**300 for x in v]) for i, v in rows], 3, lambda i: i % 20 == 0)
 
 
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
-    assert neighbours.nearest(df, df["vec_id"] % 5 == 0).collect() == []
+    assert neighbours.nearest(df, F.col("vec_id") % 5 == 0).collect() == []
     one = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")
-    assert neighbours.nearest(one, one["vec_id"] % 5 == 0).collect() == []
+    assert neighbours.nearest(one, F.col("vec_id") % 5 == 0).collect() == []
 
 
 def test_bounds_hold():
