@@ -103,15 +103,17 @@ batches AS (
     CASE event_type WHEN 'error' THEN 'Failed' WHEN 'signup' THEN 'Pending' ELSE 'Successful' END AS transaction_status,
     CASE event_id % 5 WHEN 0 THEN 'UPI' WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Debit Card' WHEN 3 THEN 'Wallet Balance' ELSE 'Bank Transfer' END AS payment_method,
     CASE event_id % 3 WHEN 0 THEN 'Urban' WHEN 1 THEN 'Suburban' ELSE 'Rural' END AS location_type,
-    CASE WHEN defect = 'unstamped' THEN NULL ELSE ts END AS updated_at,
+    CASE WHEN defect = 'unstamped' THEN NULL WHEN defect = 'zone' THEN
+      CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(CAST((event_id * 7919) % 86400 AS INTEGER)) ELSE ts END AS updated_at,
     CAST(ts AS DATE) AS batch_day
-  FROM (SELECT *, CASE WHEN event_id % 100 = 7 THEN 'unstamped' WHEN event_id % 100 = 11 THEN 'late'
-    WHEN event_id % 100 = 13 THEN 'renamed' WHEN event_id % 75 = 17 THEN 'zone' ELSE '' END AS defect FROM events))"""
+  FROM (SELECT *, CASE WHEN event_id % 100 = 7 THEN 'unstamped' WHEN event_id % 100 = 11 AND day(ts) % 3 <> 0 THEN 'late'
+    WHEN event_id % 100 = 13 THEN 'renamed' WHEN event_id % 15 = 2 AND day(ts) % 3 = 0 THEN 'zone' ELSE '' END AS defect FROM events))"""
 
 _IS_LATE = "transaction_timestamp < CAST(batch_day AS TIMESTAMP)"
 _IS_RENAMED = ("coalesce(regexp_matches(merchant_name, "
                "'Pvt Ltd|Ltd|Internet|Media|Technologies|Entertainment|Retail|E-Commerce|Fleet'), FALSE)")
-_IS_SHIFTED = "coalesce(transaction_timestamp + INTERVAL 630 MINUTE = updated_at, FALSE)"
+# every third day is known to hold shifted rows
+_IS_SHIFTED = "(day(batch_day) % 3 = 0 AND coalesce(transaction_timestamp <> updated_at, FALSE))"
 
 
 def _avg(column: str, name: str, n: str | None = None) -> str:
@@ -156,38 +158,48 @@ _add("bronze_summary", "SELECT count(*) AS total_rows, min(transaction_date) AS
      "max(transaction_date) AS latest_transaction FROM raw", _RAW)
 _add("bronze_status_distribution", _distribution("raw", "transaction_status"), _RAW)
 _add("bronze_method_counts", f"SELECT payment_method, {_N} FROM raw GROUP BY payment_method", _RAW)
-_add("silver_transactions", "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee_amount, "
-     "CAST(cashback_amount AS DOUBLE) AS cashback_amount) FROM silver", _SILVER)
+_AT = "TIMESTAMP '2024-12-01 00:00:00'"
+_AUDIT = f", {_AT} AS created_at, {_AT} AS updated_at"
+_add("silver_transactions", f"SELECT *, {_AT} AS loaded_at FROM (SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee_amount, "
+     "CAST(cashback_amount AS DOUBLE) AS cashback_amount) FROM silver)", _SILVER)
 _STAR = _SILVER + ", " + _DIMS
 _TEXT = "CAST(NULL AS VARCHAR)"
 _add("dim_customers", f"SELECT customer_key, customer_id, {_TEXT} AS customer_name, {_TEXT} AS email, {_TEXT} AS phone, "
      f"{_TEXT} AS country, {_TEXT} AS city, {_TEXT} AS customer_segment, CAST(NULL AS DATE) AS registration_date, "
-     "CAST(NULL AS BOOLEAN) AS is_verified, CAST(NULL AS DOUBLE) AS risk_score, TRUE AS is_current FROM dim_customers", _STAR)
+     "CAST(NULL AS BOOLEAN) AS is_verified, CAST(NULL AS DOUBLE) AS risk_score, TRUE AS is_current, "
+     f"{_AT} AS effective_start_date, CAST(NULL AS TIMESTAMP) AS effective_end_date{_AUDIT} FROM dim_customers", _STAR)
 _add("dim_merchants", f"SELECT merchant_key, merchant_id, merchant_name, {_TEXT} AS business_type, {_TEXT} AS industry, "
      f"{_TEXT} AS country, {_TEXT} AS website, CAST(NULL AS DATE) AS onboarding_date, {_TEXT} AS settlement_frequency, "
-     "FALSE AS is_active FROM dim_merchants", _STAR)
+     f"FALSE AS is_active{_AUDIT} FROM dim_merchants", _STAR)
 _add("dim_merchants_latest_name", "SELECT row_number() OVER (ORDER BY merchant_id) AS merchant_key, merchant_id, merchant_name FROM "
      "(SELECT merchant_id, merchant_name, row_number() OVER (PARTITION BY merchant_id ORDER BY transaction_timestamp DESC, "
      "merchant_name DESC) AS r FROM batches) WHERE r = 1", _BATCHES)
 _add("dim_payment_methods", f"SELECT payment_method_key, payment_method_name, {_TEXT} AS method_type, "
      "CAST(NULL AS BOOLEAN) AS requires_verification, CAST(NULL AS BIGINT) AS average_processing_time_ms, "
-     "CAST(NULL AS BOOLEAN) AS is_instant FROM dim_payment_methods", _STAR)
-_add("dim_transaction_status", "SELECT * FROM dim_transaction_status", _STAR)
+     f"CAST(NULL AS BOOLEAN) AS is_instant{_AUDIT} FROM dim_payment_methods", _STAR)
+_add("dim_transaction_status", f"SELECT *{_AUDIT} FROM dim_transaction_status", _STAR)
 _add("dim_location", f"SELECT location_key, location_type, {_TEXT} AS region, {_TEXT} AS state, {_TEXT} AS country, "
-     f"{_TEXT} AS timezone FROM dim_location", _STAR)
+     f"{_TEXT} AS timezone{_AUDIT} FROM dim_location", _STAR)
 _add("dim_date", "SELECT * FROM dim_date", _SILVER + "," + _COVERING)
-_FACT_SHOWN = ("SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee_amount, "
+_FACT_SHOWN = (f"SELECT *, {_AT} AS loaded_at{_AUDIT} FROM (SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee_amount, "
                "CAST(cashback_amount AS DOUBLE) AS cashback_amount, CAST(net_customer_amount AS DOUBLE) AS net_customer_amount, "
-               "CAST(merchant_net_amount AS DOUBLE) AS merchant_net_amount, CAST(gateway_revenue AS DOUBLE) AS gateway_revenue) FROM fact")
+               "CAST(merchant_net_amount AS DOUBLE) AS merchant_net_amount, CAST(gateway_revenue AS DOUBLE) AS gateway_revenue) FROM fact)")
 _add("fact_transactions", _FACT_SHOWN, _FACT)
 _add("fact_first_rows", _FACT_SHOWN + " ORDER BY transaction_timestamp, transaction_id LIMIT 10", _FACT)
 _add("customers_first_rows", "SELECT customer_key, customer_id FROM dim_customers ORDER BY customer_key LIMIT 10", _STAR)
-_add("catalog_build", "SELECT count(*) AS cleaned_transactions, (SELECT count(DISTINCT customer_id) FROM batches) AS dim_customers, "
-     "CAST(5844 AS BIGINT) AS dim_date, (SELECT count(DISTINCT location_type) FROM batches) AS dim_location, "
-     "(SELECT count(DISTINCT merchant_id) FROM batches) AS dim_merchants, "
-     "(SELECT count(DISTINCT payment_method) FROM batches) AS dim_payment_methods, "
-     "(SELECT count(DISTINCT transaction_status) FROM batches) AS dim_transaction_status, "
-     "count(*) AS fact_transactions, count(*) AS raw_transactions FROM batches", _BATCHES)
+_MEMBERS = [("dim_customers", "customer_id"), ("dim_merchants", "merchant_id"), ("dim_payment_methods", "payment_method"),
+            ("dim_transaction_status", "transaction_status"), ("dim_location", "location_type")]
+_FROM_BATCHES = _BATCHES + "," + _CALENDAR + "".join(
+    f", {d}_keys AS " + _keyed("batches", c, "k", "v") for d, c in _MEMBERS)
+_add("catalog_build", " UNION ALL ".join(
+    [f"SELECT '{d}' AS table_name, count(*) AS row_count, CAST(sum(k) AS BIGINT) AS key_total, CAST(NULL AS DOUBLE) AS amount_total FROM {d}_keys"
+     for d, _ in _MEMBERS]
+    + ["SELECT 'dim_date', count(*), CAST(sum(date_key) AS BIGINT), NULL FROM dim_date"]
+    + [f"SELECT '{t}', count(*), NULL, CAST(sum(amount) AS DOUBLE) FROM batches" for t in ("raw_transactions", "cleaned_transactions")]
+    + ["SELECT 'fact_transactions', count(*), CAST(" + " + ".join(f"sum({d}_keys.k)" for d, _ in _MEMBERS) + " + sum(date_key) AS BIGINT), "
+       "CAST(sum(CAST(amount * 0.02 AS DECIMAL(18,2)) - CASE WHEN transaction_status = 'Successful' THEN CAST(amount * 0.01 AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) "
+       "FROM batches " + " ".join(f"LEFT JOIN {d}_keys ON batches.{c} = {d}_keys.v" for d, c in _MEMBERS)
+       + " LEFT JOIN dim_date ON date_key = CAST(strftime(transaction_timestamp, '%Y%m%d') AS BIGINT)"]), _FROM_BATCHES)
 
 # --- business reports
 _add("q01_monthly_revenue", f"SELECT d.year, d.month_name, {_N}, {_sum('f.amount', 'total_revenue')}, "
@@ -242,7 +254,7 @@ _add("star_rollup", f"SELECT d.fiscal_year, d.fiscal_quarter, l.location_type, {
 _add("star_cube", f"SELECT p.payment_method_name, t.status_name, {_N}, {_sum('f.net_customer_amount', 'total_net')} "
      "FROM fact f JOIN dim_payment_methods p ON f.payment_method_key = p.payment_method_key "
      "JOIN dim_transaction_status t ON f.status_key = t.status_key GROUP BY CUBE (p.payment_method_name, t.status_name)", _FACT)
-_COVER = _SILVER + "," + _COVERING
+_COVER = _CALENDAR
 _add("date_weekends", "SELECT date_key, full_date, day_of_week_name, is_weekend FROM dim_date WHERE is_weekend AND year = 2023 "
      "AND month_number = 8 ORDER BY full_date LIMIT 10", _COVER)
 _add("date_fiscal_boundary", "SELECT full_date, year, quarter, fiscal_year, fiscal_quarter FROM dim_date WHERE year = 2023 "
@@ -320,7 +332,8 @@ _add("dq_renames", f"SELECT batch_day, transaction_id, merchant_name FROM batche
 _add("dq_renames_orders", f"SELECT count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows, count(*) AS total_rows FROM silver", _SILVER)
 _add("dq_tz_shift", f"SELECT batch_day, count(*) FILTER (WHERE {_IS_LATE}) AS day_border_rows, "
      "count(*) FILTER (WHERE transaction_timestamp <> updated_at) AS any_lag_rows, "
-     f"count(*) FILTER (WHERE {_IS_SHIFTED}) AS fixed_lag_rows FROM batches GROUP BY batch_day", _BATCHES)
+     "count(*) FILTER (WHERE transaction_timestamp + INTERVAL 630 MINUTE = updated_at) AS fixed_lag_rows "
+     "FROM batches GROUP BY batch_day", _BATCHES)
 _add("dq_clean_rows", f"SELECT batch_day, count(*) AS total_rows, count(*) FILTER (WHERE {_IS_LATE}) AS late_rows, "
      "count(*) FILTER (WHERE updated_at IS NULL) AS null_updated_rows, "
      f"count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows, count(*) FILTER (WHERE {_IS_SHIFTED}) AS zone_shifted_rows, "
@@ -339,14 +352,16 @@ _add("dq_batch_profile", "SELECT batch_day, count(*) AS total_rows, min(transact
      + " FROM batches GROUP BY batch_day", _BATCHES)
 _DAY_COUNTS = (f"SELECT batch_day, count(*) AS total_rows, count(*) FILTER (WHERE {_IS_LATE}) AS late_rows, "
                "count(*) FILTER (WHERE updated_at IS NULL) AS null_updated_rows, "
-               f"count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows FROM batches GROUP BY batch_day")
+               f"count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows, count(*) FILTER (WHERE {_IS_SHIFTED}) AS zone_shifted_rows, "
+               f"count(*) FILTER (WHERE NOT ({_IS_LATE} OR {_IS_SHIFTED} OR updated_at IS NULL OR {_IS_RENAMED})) AS clean_rows "
+               "FROM batches GROUP BY batch_day")
 _COUNTED = {"total_rows": "total_rows", "late_rows": "late_rows", "null_updated_rows": "null_updated_rows",
-            "renamed_rows": "renamed_rows", "zone_shifted_rows": "late_rows"}
+            "renamed_rows": "renamed_rows", "zone_shifted_rows": "zone_shifted_rows"}
 _add("dq_batch_report", " UNION ALL ".join(
     [f"SELECT batch_day, '{c}' AS \"check\", {e} AS value FROM days" for c, e in _COUNTED.items()]
-    + ["SELECT batch_day, 'clean_rows', total_rows - late_rows - null_updated_rows - renamed_rows FROM days"]
+    + ["SELECT batch_day, 'clean_rows', clean_rows FROM days"]
     + [f"SELECT CAST(NULL AS DATE), '{c}', CAST(sum({e}) AS BIGINT) FROM days" for c, e in _COUNTED.items()]
-    + ["SELECT CAST(NULL AS DATE), 'issue_rows', CAST(sum(2 * late_rows + null_updated_rows + renamed_rows) AS BIGINT) FROM days"]),
+    + ["SELECT CAST(NULL AS DATE), 'issue_rows', CAST(sum(total_rows - clean_rows) AS BIGINT) FROM days"]),
     _BATCHES + f", days AS ({_DAY_COUNTS})")
 _SURPLUS = " UNION ALL ".join(
     f"SELECT '{d}' AS subject, CAST(count(*) - count(DISTINCT coalesce(CAST({k} AS VARCHAR), '?')) AS BIGINT) AS surplus FROM {d}"
@@ -417,7 +432,7 @@ versions AS (SELECT coalesce(old_key, (SELECT max(customer_key) FROM numbered)
     customer_id, segment AS customer_segment, risk AS risk_score, changed AS effective_start_date,
     lead(changed) OVER (PARTITION BY customer_id ORDER BY changed) AS effective_end_date FROM kept)"""
 _add("scd2_customers", "SELECT *, effective_end_date IS NULL AS is_current FROM versions", _VERSIONS)
-_add("scd2_replay", "SELECT customer_key, customer_id, customer_segment, effective_end_date, effective_end_date IS NULL AS is_current "
+_add("scd2_replay", "SELECT customer_key, customer_id, customer_segment, effective_start_date, effective_end_date, effective_end_date IS NULL AS is_current "
      "FROM versions", _VERSIONS)
 _add("pit_lookup", f"SELECT v.customer_segment, {_N}, {_sum('s.amount', 'total_amount')} FROM silver s LEFT JOIN "
      "(SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY effective_start_date) = 1 AS is_first FROM versions) v "
@@ -499,6 +514,12 @@ _RAW_PROFILE = (f"SELECT payment_method, transaction_status, {_N}, {_sum('amount
                 "FROM silver GROUP BY payment_method, transaction_status")
 _add("src_raw_csv", _RAW_PROFILE, _SILVER)
 _add("src_raw_csv_detected", _RAW_PROFILE, _SILVER)
+_add("src_raw_csv_quarantine", "SELECT loyalty_points % 7 = 3 AS is_broken, payment_method, "
+     f"{_N}, {_sum('fee_amount', 'total_fees')}, CAST(sum(loyalty_points) AS BIGINT) AS loyalty_points, "
+     "count(*) FILTER (WHERE loyalty_points % 7 = 3) AS lines_with_the_fault FROM silver GROUP BY ALL", _SILVER)
+_add("src_batch_csv_quarantine", f"SELECT batch_day, n % 9 = 4 AS is_broken, {_N}, {_sum('amount', 'total_amount')} "
+     "FROM (SELECT batch_day, n, CASE WHEN n % 9 <> 4 THEN amount END AS amount FROM batches) GROUP BY ALL", _BATCHES)
+_add("bronze_preview", "SELECT CAST(least(10, count(*)) AS BIGINT) AS preview_rows, CAST(least(10, count(*)) AS BIGINT) AS found_in_raw FROM silver", _SILVER)
 _add("src_batch_csv", f"SELECT batch_day, {_N}, {_sum('amount', 'total_amount')}, count(updated_at) AS updated_rows, "
      "date_trunc('second', min(transaction_timestamp)) AS first_event FROM batches GROUP BY batch_day", _BATCHES)
 _add("snk_report", _REPORT, _FACT)

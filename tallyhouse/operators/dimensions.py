@@ -54,12 +54,21 @@ def dim_customers(silver: DataFrame, load_ts: datetime | None = None) -> DataFra
     )
 
 
+def merchant_names(silver: DataFrame) -> DataFrame:
+    """Rows ``n`` per merchant id and name.
+
+    Counting by both hashes in one pass; the smallest name per id of the raw rows would sort them.
+    """
+    return silver.groupBy("merchant_id", "merchant_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def dim_merchants(
     silver: DataFrame, load_ts: datetime | None = None, newest_by: str | None = None
 ) -> DataFrame:
     """One row per merchant id, however many names it carries.
 
-    The name is the smallest one, or the latest one when ``newest_by`` names a time column.
+    The name is the smallest one, or the latest one when ``newest_by`` names a time column. For the
+    smallest name, pass :func:`merchant_names` rather than the rows themselves.
     """
     if newest_by:
         # the name breaks ties, so that the choice does not depend on row order

@@ -51,15 +51,29 @@ FOREIGN_KEYS = [
 ]
 
 
-def lookup(rows: DataFrame, dim: DataFrame, on: str, natural_key: str, take: str) -> DataFrame:
+#: Tasks over which rows without a natural key are spread when a lookup shuffles.
+SPREAD = 256
+
+
+def lookup(
+    rows: DataFrame, dim: DataFrame, on: str, natural_key: str, take: str,
+    spread_by: str | None = None,
+) -> DataFrame:
     """Left lookup of a surrogate key; rows without a match keep a NULL key.
 
     Spark broadcasts the dimension when its measured size is below the session's threshold and
-    otherwise shuffles, splitting skewed partitions of the transaction side at run time.
+    otherwise shuffles, splitting skewed partitions of the transaction side at run time. Rows
+    without a natural key match nothing; with ``spread_by``, a column with many values, they do not
+    all meet in one task either.
     """
     found = dim.select(F.col(natural_key).alias("_natural"), F.col(take).alias("_taken"))
-    joined = rows.join(found, rows[on] == F.col("_natural"), "left")
-    return joined.withColumn(take, F.col("_taken")).drop("_natural", "_taken")
+    match = rows[on] == F.col("_natural")
+    if spread_by:
+        found = found.withColumn("_place", F.lit(0))
+        apart = F.pmod(F.xxhash64(rows[spread_by]), F.lit(SPREAD)).cast("int")
+        match = match & (F.when(rows[on].isNull(), apart).otherwise(0) == F.col("_place"))
+    joined = rows.join(found, match, "left")
+    return joined.withColumn(take, F.col("_taken")).drop("_natural", "_taken", "_place")
 
 
 def with_measures(rows: DataFrame) -> DataFrame:
@@ -81,7 +95,7 @@ def build_fact(silver: DataFrame, dims: Dimensions, load_ts: datetime | None = N
             # a calendar of some decades: a few thousand rows whatever the data size
             rows = lookup(rows, F.broadcast(dim), "_day", natural, key)
         else:
-            rows = lookup(rows, dim, SILVER_KEYS[name], natural, key)
+            rows = lookup(rows, dim, SILVER_KEYS[name], natural, key, "transaction_id")
     computed = {
         "is_refunded": F.lit(False),
         "attempt_number": F.lit(1),

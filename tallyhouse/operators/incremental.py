@@ -166,9 +166,13 @@ def with_event_date(rows: DataFrame) -> DataFrame:
 
 
 def normalise_time_zone(
-    batches: DataFrame, mode: str = "fixed_lag", minutes: int = EST_SHIFT_MINUTES
+    batches: DataFrame, mode: str | Column = "any_lag", minutes: int = EST_SHIFT_MINUTES
 ) -> DataFrame:
-    """Event times of shifted rows moved back; ``zone_fixed`` marks them."""
+    """Event times of shifted rows moved back; ``zone_fixed`` marks them.
+
+    The default is for the batch that is known to be shifted. For several batches, pass the
+    column of :func:`quality.with_zone_mode`, so that late rows of other batches stay as they are.
+    """
     shifted = quality.is_zone_shifted(mode)
     return batches.withColumn("zone_fixed", shifted).withColumn(
         "transaction_timestamp",
@@ -199,8 +203,11 @@ def dim_data_quality(spark: SparkSession, load_ts: datetime | None = None) -> Da
     )
 
 
-def with_quality_key(rows: DataFrame, zone_mode: str = "fixed_lag") -> DataFrame:
-    """Adds ``dq_key``; NULL for rows without a defect."""
+def with_quality_key(rows: DataFrame, zone_mode: str | Column = "day_border") -> DataFrame:
+    """Adds ``dq_key``; NULL for rows without a defect.
+
+    For shifts inside a day, pass the column of :func:`quality.with_zone_mode`.
+    """
     mask = reduce(
         lambda a, b: a + b,
         [

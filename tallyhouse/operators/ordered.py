@@ -16,17 +16,23 @@ CHUNK = "_chunk"
 OFFSET = "_offset"
 _SPREAD = "_spread"
 _ROW_BITS = 33
+#: Rows of a chunk, which one task sorts and one window partition holds.
+ROWS_PER_CHUNK = 2_000_000
 
 
 def in_chunks(df: DataFrame, *order: str | Column, name: str = "chunks") -> DataFrame:
     """Range-partition and sort ``df``; adds the chunk number and the offset within the chunk.
 
-    The result is written to the shared folder, because range borders are sampled and a chunk
-    number must not change between uses. Chunk numbers follow the order.
+    The number of chunks follows the number of rows, whatever the session's shuffle partitions are.
+    The input is written first: counting it is then free, and the sampling of range borders does not
+    evaluate it once more. The result is written too, because a chunk number must not change
+    between uses. Chunk numbers follow the order.
     """
+    held = stage(df, f"{name}_input")
+    chunks = -(-held.count() // ROWS_PER_CHUNK)
+    ranged = held.repartitionByRange(chunks, *order) if chunks > 1 else held.coalesce(1)
     number = F.monotonically_increasing_id()
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(OFFSET, number)
-    split = ranged.withColumns(
+    split = ranged.sortWithinPartitions(*order).withColumn(OFFSET, number).withColumns(
         {
             CHUNK: F.shiftright(F.col(OFFSET), _ROW_BITS),
             OFFSET: F.col(OFFSET).bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),

@@ -112,21 +112,28 @@ def out_of_calendar(rows: DataFrame, calendar: DataFrame, moment: str) -> DataFr
     return per_day.join(days, per_day["transaction_date"] == days["full_date"], "left_anti")
 
 
-def measure_check(fact: DataFrame) -> DataFrame:
-    """Every derived measure recomputed: OK or ERROR per row."""
+def with_measure_checks(fact: DataFrame) -> DataFrame:
+    """Every derived measure recomputed: OK or ERROR per row, beside the fact's columns."""
 
     def verdict(stored: str, computed: Column) -> Column:
         return F.when(F.col(stored) == computed, "OK").otherwise("ERROR")
 
     amount, fee, cashback = (F.col(c) for c in ("amount", "fee_amount", "cashback_amount"))
-    return fact.select(
-        "transaction_id",
-        verdict("net_customer_amount", amount - cashback).alias("net_customer_check"),
-        verdict("merchant_net_amount", amount - fee).alias("merchant_net_check"),
-        verdict("gateway_revenue", fee - cashback).alias("gateway_revenue_check"),
+    return fact.withColumns(
+        {
+            "net_customer_check": verdict("net_customer_amount", amount - cashback),
+            "merchant_net_check": verdict("merchant_net_amount", amount - fee),
+            "gateway_revenue_check": verdict("gateway_revenue", fee - cashback),
+        }
     )
 
 
+def measure_check(fact: DataFrame) -> DataFrame:
+    """The verdicts per transaction."""
+    checks = ("net_customer_check", "merchant_net_check", "gateway_revenue_check")
+    return with_measure_checks(fact).select("transaction_id", *checks)
+
+
 def measure_summary(fact: DataFrame) -> DataFrame:
     """Rows per combination of verdicts."""
     checks = ["net_customer_check", "merchant_net_check", "gateway_revenue_check"]
@@ -213,23 +220,42 @@ def is_renamed() -> Column:
     return F.coalesce(F.col("merchant_name").rlike(RENAME_PATTERN), F.lit(False))
 
 
-def is_zone_shifted(mode: str = "day_border") -> Column:
+ZONE_MODES = ("none", "day_border", "any_lag", "fixed_lag")
+
+
+def is_zone_shifted(mode: str | Column = "day_border") -> Column:
     """Event time in another zone than the update time.
 
     ``day_border`` sees only rows moved across midnight. ``any_lag`` takes every row whose two
-    times differ, for batches without late rows. ``fixed_lag`` takes exactly the known shift.
+    times differ, for batches without late rows. ``fixed_lag`` takes exactly the known shift, for
+    feeds that stamp the update at the time of the event. ``none`` is for batches known to have no
+    shift. A column gives the mode of each row, see :func:`with_zone_mode`.
     """
     event, update = F.col("transaction_timestamp"), F.col("updated_at")
-    if mode == "day_border":
-        return is_late()
-    if mode == "any_lag":
-        return F.coalesce(event != update, F.lit(False))
-    if mode == "fixed_lag":
-        return F.coalesce(shift_minutes(event, EST_SHIFT_MINUTES) == update, F.lit(False))
-    raise ValueError(f"unknown mode: {mode}")
+    tests = {
+        "none": F.lit(False),
+        "day_border": is_late(),
+        "any_lag": F.coalesce(event != update, F.lit(False)),
+        "fixed_lag": F.coalesce(shift_minutes(event, EST_SHIFT_MINUTES) == update, F.lit(False)),
+    }
+    if isinstance(mode, str):
+        if mode not in tests:
+            raise ValueError(f"unknown mode: {mode}")
+        return tests[mode]
+    return F.coalesce(*(F.when(mode == name, test) for name, test in tests.items()), F.lit(False))
+
+
+def with_zone_mode(batches: DataFrame, plan: DataFrame) -> DataFrame:
+    """Adds ``zone_mode`` from a plan with ``batch_day`` and ``zone_mode``; days not in it have none.
+
+    Late rows and shifted rows look alike, so which of them a batch holds must be known.
+    """
+    days = plan.select(F.col("batch_day").alias("_day"), "zone_mode")
+    # one row per day
+    return batches.join(F.broadcast(days), F.col("batch_day") == F.col("_day"), "left").drop("_day")
 
 
-def batch_defects(batches: DataFrame, zone_mode: str = "day_border") -> DataFrame:
+def batch_defects(batches: DataFrame, zone_mode: str | Column = "day_border") -> DataFrame:
     """Rows and defects per batch in one aggregation.
 
     ``clean_rows`` is the total minus the issues; a shifted row that is also late by date is
@@ -294,15 +320,19 @@ def batch_profile(batches: DataFrame) -> DataFrame:
     return joined.withColumns(shares)
 
 
-def batch_report(batches: DataFrame, zone_mode: str = "day_border") -> DataFrame:
-    """Counts per batch in long form, and the issues of all batches on lines without a batch."""
+def batch_report(batches: DataFrame, zone_mode: str | Column = "day_border") -> DataFrame:
+    """Counts per batch in long form, and the totals of all batches on lines without a batch.
+
+    ``issue_rows`` is what is not clean: a row that shows as late and as shifted counts once.
+    """
     defects = batch_defects(batches, zone_mode)
     kinds = ["late_rows", "null_updated_rows", "renamed_rows", "zone_shifted_rows"]
     lines = defects.unpivot(
         ["batch_day"], ["total_rows", *kinds, "clean_rows"], "check", "value"
     )
-    totals = defects.agg(*(F.sum(c).alias(c) for c in ("total_rows", *kinds))).withColumn(
-        "issue_rows", sum((F.col(c) for c in kinds[1:]), F.col(kinds[0]))
+    totals = defects.agg(
+        *(F.sum(c).alias(c) for c in ("total_rows", *kinds)),
+        F.sum(F.col("total_rows") - F.col("clean_rows")).alias("issue_rows"),
     )
     overall = totals.unpivot([], totals.columns, "check", "value").select(
         F.lit(None).cast("date").alias("batch_day"), "check", "value"
@@ -374,23 +404,35 @@ def schema_conformance(table: DataFrame, expected: dict[str, str]) -> DataFrame:
 
 def quality_report(silver: DataFrame, fact: DataFrame, dims: Dimensions) -> DataFrame:
     """The main checks of a build in long form."""
-    counted = row_reconciliation(silver, fact)
+    measures = ("net_customer_check", "merchant_net_check", "gateway_revenue_check")
+    checked = with_measure_checks(fact)
+    # NULL keys, measures and the number of rows in one pass over the fact
+    once = checked.agg(
+        count().alias("fact_count"),
+        *(F.count_if(F.col(k).isNull()).alias(k) for k in FOREIGN_KEYS),
+        *(F.count_if(F.col(c) == "ERROR").alias(c) for c in measures),
+    ).withColumn("_silver_count", silver.select(count()).scalar())
+    lines = [("row_count", "fact_count", F.col("_silver_count"))]
+    lines += [("null_foreign_key", k, F.lit(0)) for k in FOREIGN_KEYS]
+    lines += [("derived_measure", c, F.lit(0)) for c in measures]
+    long = once.select(
+        F.explode(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(check).alias("check"), F.lit(subject).alias("subject"),
+                        F.col(subject).cast("bigint").alias("value"),
+                        expected.cast("bigint").alias("expected"),
+                    )
+                    for check, subject, expected in lines
+                )
+            )
+        ).alias("line")
+    ).select("line.*").withColumn("passed", F.col("value") == F.col("expected"))
     reports = [
-        long_form(counted.select("fact_count"), "row_count",
-                  {"fact_count": silver.select(count()).scalar()}),
-        long_form(fact.agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in FOREIGN_KEYS)),
-                  "null_foreign_key", 0),
+        long,
         long_form(repeated_ids(fact).select(F.col("extra_rows").alias("transaction_id")),
                   "duplicate_id", 0),
-        long_form(
-            measure_check(fact).agg(
-                *(
-                    F.count_if(F.col(c) == "ERROR").alias(c)
-                    for c in ("net_customer_check", "merchant_net_check", "gateway_revenue_check")
-                )
-            ),
-            "derived_measure", 0,
-        ),
         fan_out(silver, fact, dims).filter(F.col("subject") != "fact_transactions").select(
             F.lit("duplicate_natural_key").alias("check"), "subject",
             F.col("surplus").cast("bigint").alias("value"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.conform import audit_time
@@ -156,6 +156,10 @@ def scd2_apply(
     return untouched.unionByName(_shaped(closed, dim)).unionByName(_shaped(numbered, dim))
 
 
+#: Versions that may be sent to every task of a point-in-time lookup.
+MOST_BROADCAST = 200_000
+
+
 def point_in_time_lookup(
     facts: DataFrame,
     versions: DataFrame,
@@ -166,9 +170,10 @@ def point_in_time_lookup(
 ) -> DataFrame:
     """Attributes of the version that was valid when the fact happened; NULL if there is none.
 
-    Facts and versions are sorted together once and the version is carried forward, so neither a
-    busy key nor a key with many versions multiplies rows. With ``first_version_open`` the first
-    version of a key also covers the time before it.
+    A history of at most ``MOST_BROADCAST`` versions is sent to the facts, which stay where they are.
+    For a longer one, facts and versions are sorted together once and the version is carried
+    forward, so neither a busy key nor a key with many versions multiplies rows. With ``first_version_open`` the first
+    version of a key also covers the time before it. A fact without a time has no version.
     """
     first = versions.groupBy(F.col(natural_key).alias("_key")).agg(
         F.min("effective_start_date").alias("_first")
@@ -186,6 +191,8 @@ def point_in_time_lookup(
             F.col("effective_end_date").cast("timestamp_ntz").alias("until"), *take
         ).alias("_version"),
     )
+    if marks.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        return _sent_to_facts(facts, marks, natural_key, at, take)
     events = facts.select(
         F.col(natural_key).alias("_k"),
         F.col(at).cast("timestamp_ntz").alias("_t"),
@@ -195,7 +202,26 @@ def point_in_time_lookup(
     together = marks.unionByName(events, allowMissingColumns=True)
     filled = carried_forward(together, "_k", ["_t", "_kind"], "_version", "_valid")
     valid = F.col("_valid")
-    holds = valid["until"].isNull() | (F.col("_t") < valid["until"])
+    holds = F.col("_t").isNotNull() & (valid["until"].isNull() | (F.col("_t") < valid["until"]))
     return filled.filter(F.col("_kind") == 1).select(
         "_fact.*", *(F.when(holds, valid[c]).alias(c) for c in take)
     )
+
+
+def _sent_to_facts(
+    facts: DataFrame, marks: DataFrame, natural_key: str, at: str, take: list[str]
+) -> DataFrame:
+    """The lookup with a short history; a version ends where the next one starts at the latest."""
+    ordered = Window.partitionBy("_k").orderBy(F.col("_t").asc_nulls_first())
+    spans = marks.select("_k", "_t", "_version", F.lead("_t").over(ordered).alias("_next"))
+    moment = F.col(at).cast("timestamp_ntz")
+    until = F.col("_version")["until"]
+    holds = (
+        (F.col(natural_key) == F.col("_k"))
+        & moment.isNotNull()
+        & (F.col("_t").isNull() | (F.col("_t") <= moment))
+        & (F.col("_next").isNull() | (moment < F.col("_next")))
+        & (until.isNull() | (moment < until))
+    )
+    found = facts.join(F.broadcast(spans), holds, "left")  # bounded by MOST_BROADCAST
+    return found.select(*(facts[c] for c in facts.columns), *(F.col("_version")[c].alias(c) for c in take))

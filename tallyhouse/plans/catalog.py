@@ -4,29 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import wraps
+from functools import reduce, wraps
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
-from tallyhouse.functions import ids
+from tallyhouse.fixed_values import EST_SHIFT_MINUTES
+from tallyhouse.functions import draws, ids
+from tallyhouse.functions.dates import shift_minutes
 from tallyhouse.functions.money import as_double, average_2dp, percent_2dp
 from tallyhouse.operators import (
     conform, dimensions, generate, incremental, keys, metrics, quality, scd,
 )
-from tallyhouse.operators.fact import build_fact
+from tallyhouse.operators.fact import FOREIGN_KEYS, build_fact
 from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
 from tallyhouse.plans.warehouse import build_warehouse, warehouse_of
 from tallyhouse.session import scratch_path, stage
 from tallyhouse.sources import files, tables
-from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table
+from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table, zone_plan
 from tallyhouse.streaming import drops
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOADED = datetime(2024, 12, 1)
-_AUDIT = {"loaded_at", "created_at", "updated_at", "effective_start_date", "effective_end_date"}
 QUERIES: dict[str, Query] = {}
 
 
@@ -55,13 +57,12 @@ def shared(make: Query) -> Query:
 _SHOWN_AS = {"decimal": "double", "timestamp": "timestamp_ntz"}
 
 
-def shown(df: DataFrame, *without: str) -> DataFrame:
-    """Decimals as doubles, times without zone, and without the named columns."""
+def shown(df: DataFrame) -> DataFrame:
+    """Decimals as doubles and times without zone."""
     return df.select(
         *(
             F.col(f.name).cast(_SHOWN_AS.get(f.dataType.typeName(), f.dataType)).alias(f.name)
             for f in df.schema
-            if f.name not in without
         )
     )
 
@@ -70,6 +71,12 @@ def _batches(spark: SparkSession, folder: str) -> DataFrame:
     return event_batches(read_table(spark, folder, "events"))
 
 
+def _planned(spark: SparkSession, folder: str) -> DataFrame:
+    """The batches with the mode in which each day is searched for shifted rows."""
+    batches = _batches(spark, folder)
+    return quality.with_zone_mode(batches, zone_plan(batches))
+
+
 # --- layers --------------------------------------------------------------------------------------
 
 
@@ -98,23 +105,29 @@ def bronze_method_counts(spark, folder):
 
 @query("bronze_preview")
 def bronze_preview(spark, folder):
-    return shown(reports.preview(raw_transactions(spark, folder)))
+    """How many rows a preview shows, and how many of them are in the raw table."""
+    raw = raw_transactions(spark, folder, "transaction_id")
+    preview = stage(reports.preview(raw), "preview")
+    found = preview.join(raw.select("transaction_id").distinct(), "transaction_id", "left_semi")
+    return preview.agg(F.count(F.lit(1)).alias("preview_rows")).withColumn(
+        "found_in_raw", found.select(F.count(F.lit(1))).scalar()
+    )
 
 
 @query("silver_transactions")
 def silver_transactions(spark, folder):
-    return shown(warehouse_of(spark, folder).silver, "loaded_at")
+    return shown(warehouse_of(spark, folder).silver)
 
 
 @query("dim_customers")
 def dim_customers(spark, folder):
     dim = warehouse_of(spark, folder).customers
-    return shown(dim, *_AUDIT)
+    return shown(dim)
 
 
 @query("dim_merchants")
 def dim_merchants(spark, folder):
-    return shown(warehouse_of(spark, folder).merchants, *_AUDIT)
+    return shown(warehouse_of(spark, folder).merchants)
 
 
 @query("dim_merchants_latest_name")
@@ -126,17 +139,17 @@ def dim_merchants_latest_name(spark, folder):
 
 @query("dim_payment_methods")
 def dim_payment_methods(spark, folder):
-    return shown(warehouse_of(spark, folder).payment_methods, *_AUDIT)
+    return shown(warehouse_of(spark, folder).payment_methods)
 
 
 @query("dim_transaction_status")
 def dim_transaction_status(spark, folder):
-    return shown(warehouse_of(spark, folder).transaction_status, *_AUDIT)
+    return shown(warehouse_of(spark, folder).transaction_status)
 
 
 @query("dim_location")
 def dim_location(spark, folder):
-    return shown(warehouse_of(spark, folder).location, *_AUDIT)
+    return shown(warehouse_of(spark, folder).location)
 
 
 @query("dim_date")
@@ -146,14 +159,14 @@ def dim_date(spark, folder):
 
 @query("fact_transactions")
 def fact_transactions(spark, folder):
-    return shown(warehouse_of(spark, folder).fact, *_AUDIT)
+    return shown(warehouse_of(spark, folder).fact)
 
 
 @query("fact_first_rows")
 def fact_first_rows(spark, folder):
     fact = warehouse_of(spark, folder).fact
     first = reports.first_rows(fact, "transaction_timestamp", "transaction_id")
-    return shown(first, *_AUDIT)
+    return shown(first)
 
 
 @query("customers_first_rows")
@@ -169,7 +182,28 @@ def catalog_build(spark, folder):
     back = {new: old for old, new in conform.RENAMED.items()}
     raw = batches.withColumnsRenamed(back).drop("currency", "updated_at", "batch_day")
     built = build_warehouse(spark, raw, "tallyhouse_", LOADED, scratch_path(spark, "tables"))
-    return quality.row_counts(**{n: built[n] for n in sorted(built)})
+    keys = {
+        "dim_customers": ["customer_key"], "dim_merchants": ["merchant_key"],
+        "dim_payment_methods": ["payment_method_key"], "dim_transaction_status": ["status_key"],
+        "dim_location": ["location_key"], "dim_date": ["date_key"],
+        "fact_transactions": FOREIGN_KEYS,
+    }
+    amounts = {
+        "raw_transactions": "product_amount", "cleaned_transactions": "amount",
+        "fact_transactions": "gateway_revenue",
+    }
+    lines = []
+    for name, table in built.items():
+        total = [F.sum(k) for k in keys.get(name, [])]
+        amount = F.sum(amounts[name]).cast("double") if name in amounts else F.lit(None).cast("double")
+        lines.append(
+            table.agg(
+                F.count(F.lit(1)).alias("row_count"),
+                (reduce(add, total) if total else F.lit(None)).cast("bigint").alias("key_total"),
+                amount.alias("amount_total"),
+            ).withColumn("table_name", F.lit(name))
+        )
+    return reduce(DataFrame.unionByName, lines)
 
 
 # --- business reports ----------------------------------------------------------------------------
@@ -232,13 +266,15 @@ def star_cube(spark, folder):
 
 @query("date_weekends")
 def date_weekends(spark, folder):
-    days = dimensions.dim_date_covering(warehouse_of(spark, folder).silver)
+    """A reading of the built calendar, which is small whatever the data."""
+    days = warehouse_of(spark, folder).date
     return reports.weekend_dates(days, 2023, 8)
 
 
 @query("date_fiscal_boundary")
 def date_fiscal_boundary(spark, folder):
-    days = dimensions.dim_date_covering(warehouse_of(spark, folder).silver)
+    """A reading of the built calendar, which is small whatever the data."""
+    days = warehouse_of(spark, folder).date
     return reports.fiscal_boundary(days, 2023)
 
 
@@ -272,8 +308,7 @@ def dq_row_reconcile(spark, folder):
 def dq_dim_duplicates(spark, folder):
     """The dimensions as they would be without the collapse: merchants by id and name."""
     house = warehouse_of(spark, folder)
-    pairs = house.silver.select("merchant_id", "merchant_name").distinct()
-    return quality.duplicates(pairs, "merchant_id")
+    return quality.duplicates(house.merchant_names, "merchant_id")
 
 
 @query("dq_dim_duplicates_built")
@@ -375,7 +410,7 @@ def dq_key_range(spark, folder):
 
 @query("dq_name_variations")
 def dq_name_variations(spark, folder):
-    return quality.name_variations(warehouse_of(spark, folder).silver)
+    return quality.name_variations(warehouse_of(spark, folder).merchant_names)
 
 
 @query("dq_status_distribution")
@@ -453,7 +488,7 @@ def dq_tz_shift(spark, folder):
 
 @query("dq_clean_rows")
 def dq_clean_rows(spark, folder):
-    return quality.batch_defects(_batches(spark, folder), "fixed_lag")
+    return quality.batch_defects(_planned(spark, folder), F.col("zone_mode"))
 
 
 @query("dq_cross_batch_dups")
@@ -470,7 +505,7 @@ def dq_batch_profile(spark, folder):
 
 @query("dq_batch_report")
 def dq_batch_report(spark, folder):
-    return quality.batch_report(_batches(spark, folder))
+    return quality.batch_report(_planned(spark, folder), F.col("zone_mode"))
 
 
 @query("dq_fanout")
@@ -485,9 +520,7 @@ def dq_fanout_uncollapsed(spark, folder):
 
     Computed from counts per merchant; the multiplied rows are never produced.
     """
-    silver = warehouse_of(spark, folder).silver
-    per_name = silver.groupBy("merchant_id", "merchant_name").agg(F.count(F.lit(1)).alias("n"))
-    per_id = per_name.groupBy("merchant_id").agg(
+    per_id = warehouse_of(spark, folder).merchant_names.groupBy("merchant_id").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("names")
     )
     matches = F.when(F.col("merchant_id").isNull(), 1).otherwise(F.col("names"))
@@ -610,6 +643,7 @@ def scd2_replay(spark, folder):
     )
     return twice.select(
         "customer_key", "customer_id", "customer_segment",
+        F.col("effective_start_date").cast("timestamp_ntz").alias("effective_start_date"),
         F.col("effective_end_date").cast("timestamp_ntz").alias("effective_end_date"),
         "is_current",
     )
@@ -762,7 +796,7 @@ def inc_late_route(spark, folder):
 
 @query("inc_tz_fix")
 def inc_tz_fix(spark, folder):
-    fixed = incremental.normalise_time_zone(_batches(spark, folder))
+    fixed = incremental.normalise_time_zone(_planned(spark, folder), F.col("zone_mode"))
     return fixed.select("transaction_id", "transaction_timestamp", "zone_fixed")
 
 
@@ -802,7 +836,7 @@ def inc_clustered(spark, folder):
 
 @query("inc_dq_dim")
 def inc_dq_dim(spark, folder):
-    keyed = incremental.with_quality_key(_batches(spark, folder))
+    keyed = incremental.with_quality_key(_planned(spark, folder), F.col("zone_mode"))
     dim = incremental.dim_data_quality(spark, LOADED).select("dq_key", "dq_issue")
     # sixteen combinations of four defects, whatever the data size
     labelled = keyed.join(F.broadcast(dim), "dq_key", "left")
@@ -873,6 +907,13 @@ def _generated(spark: SparkSession, folder: str) -> DataFrame:
     return stage(rows, "generated")
 
 
+def _is_moved() -> Column:
+    """The event time is the drawn moment of the day less the shift; drawn again to compare."""
+    drawn = draws.uniform(42, "time", F.col("batch_day"), F.substring("transaction_id", 14, 20).cast("bigint"))
+    moment = F.col("batch_day").cast("timestamp_ntz") + draws.second_of_day(drawn)
+    return shift_minutes(F.col("transaction_timestamp"), EST_SHIFT_MINUTES) == moment
+
+
 @query("gen_batch_profile")
 def gen_batch_profile(spark, folder):
     return _generated(spark, folder).groupBy("batch_day").agg(
@@ -882,8 +923,8 @@ def gen_batch_profile(spark, folder):
         F.max("transaction_id").alias("last_id"),
         F.count_if(quality.is_update_missing()).alias("null_updated_rows"),
         F.count_if(quality.is_renamed()).alias("renamed_rows"),
-        F.count_if(F.col("segment") == "late").alias("late_rows"),
-        F.count_if(F.col("segment") == "zone_shifted").alias("zone_shifted_rows"),
+        F.count_if(quality.is_late() & (F.col("segment") != "zone_shifted")).alias("late_rows"),
+        F.count_if(_is_moved()).alias("zone_shifted_rows"),
     )
 
 
@@ -959,7 +1000,45 @@ def src_raw_csv(spark, folder):
 
 @query("src_raw_csv_detected")
 def src_raw_csv_detected(spark, folder):
-    return _raw_profile(files.read_raw_csv_detected(spark, _raw_files(spark, folder)))
+    detected = files.read_raw_csv_detected(spark, _raw_files(spark, folder))
+    return _raw_profile(files.good_rows(detected))
+
+
+@query("src_raw_csv_quarantine")
+def src_raw_csv_quarantine(spark, folder):
+    """Good and broken lines of files in which every seventh number of points breaks its amount."""
+    text = spark.read.option("header", True).csv(_raw_files(spark, folder))
+    fault = F.pmod(F.col("loyalty_points").cast("bigint"), F.lit(7)) == 3
+    amount = F.when(fault, F.lit("n/a")).otherwise(F.col("product_amount"))
+    path = scratch_path(spark, "raw_csv_faults")
+    text.withColumn("product_amount", amount).write.option("header", True).csv(path)
+    lines = files.read_raw_csv(spark, path)
+    good = files.good_rows(lines).withColumns({"is_broken": F.lit(False), "line": F.lit("")})
+    broken = files.broken_rows(lines).select("parsed.*", F.lit(True).alias("is_broken"), "line")
+    both = good.unionByName(broken)
+    return both.groupBy("is_broken", "payment_method").agg(
+        metrics.rows(),
+        as_double(F.sum(F.col("transaction_fee").cast("decimal(18,2)"))).alias("total_fees"),
+        F.sum("loyalty_points").alias("loyalty_points"),
+        F.count_if(F.contains("line", F.lit("n/a"))).alias("lines_with_the_fault"),
+    )
+
+
+@query("src_batch_csv_quarantine")
+def src_batch_csv_quarantine(spark, folder):
+    """Good and broken lines of daily batches in which every ninth event breaks its amount."""
+    batches = _batches(spark, folder).withColumn("day", F.col("batch_day"))
+    n = F.substring("transaction_id", 5, 20).cast("bigint")
+    amount = F.when(F.pmod(n, F.lit(9)) == 4, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    rows = batches.select(*schemas.column_types(schemas.DAILY_BATCH), "day").withColumn("amount", amount)
+    path = scratch_path(spark, "batch_csv_faults")
+    files.write_csv(rows.hint("rebalance", "day"), path, ["day"])
+    lines = files.read_batch_csv(spark, path, DAY_FOLDER)
+    broken = files.broken_rows(lines).select("parsed.batch_day", "parsed.amount", F.lit(True).alias("is_broken"))
+    good = files.good_rows(lines).select("batch_day", "amount", F.lit(False).alias("is_broken"))
+    return good.unionByName(broken).groupBy("batch_day", "is_broken").agg(
+        metrics.rows(), as_double(F.sum(F.col("amount").cast("decimal(18,2)"))).alias("total_amount")
+    )
 
 
 def _batch_files(spark: SparkSession, folder: str) -> str:
@@ -976,7 +1055,7 @@ DAY_FOLDER = r"day=(\d{4}-\d{2}-\d{2})"
 @query("src_batch_csv")
 def src_batch_csv(spark, folder):
     path = _batch_files(spark, folder)
-    batches = files.read_batch_csv(spark, path, DAY_FOLDER)
+    batches = files.good_rows(files.read_batch_csv(spark, path, DAY_FOLDER))
     return batches.groupBy("batch_day").agg(
         metrics.rows(),
         as_double(F.sum(F.col("amount").cast("decimal(18,2)"))).alias("total_amount"),
@@ -1009,17 +1088,38 @@ def snk_table(spark, folder):
 # --- streams over the events ---------------------------------------------------------------------
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    # the file source wants a folder or a glob; this glob matches a file and a folder alike
-    return event_batches(spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet"))
+SPANS, FILES = 4, 2
+
+
+def _in_spans(batches: DataFrame) -> list[DataFrame]:
+    """The batches of four spans of days, in order."""
+    lo, hi = batches.agg(F.min("batch_day"), F.max("batch_day")).head()
+    span = F.floor(F.datediff("batch_day", F.lit(lo)) * SPANS / (F.datediff(F.lit(hi), F.lit(lo)) + 1))
+    return [batches.filter(span == i) for i in range(SPANS)]
+
+
+def _delivered(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """A stream that takes one part per trigger."""
+    path = scratch_path(spark, "delivered")
+    for part in parts:
+        part.repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", FILES)
+    return stream.parquet(path)
+
+
+def _too_late(first: DataFrame) -> DataFrame:
+    """Rows of the first day under new ids; at the end of the stream the watermark drops them."""
+    day = first.select(F.min("batch_day")).scalar()
+    name = F.concat(F.lit("TOO-LATE-"), F.col("transaction_id"))
+    return first.filter(F.col("batch_day") == day).withColumn("transaction_id", name)
 
 
 @query("st_ingest")
 def st_ingest(spark, folder):
     """CSV drops ingested as a stream, conformed and written as files."""
     source = _batch_files(spark, folder)
-    stream = conform.conform_batch(drops.read_drops(spark, source, DAY_FOLDER), load_ts=LOADED)
+    lines = drops.read_drops(spark, source, DAY_FOLDER, files_per_trigger=8)
+    stream = conform.conform_batch(files.good_rows(lines), load_ts=LOADED)
     path, mark = scratch_path(spark, "ingested"), scratch_path(spark, "mark")
     drops.append_to_files(stream, path, mark)
     return spark.read.parquet(path).groupBy("batch_day", "batch_id").agg(
@@ -1029,7 +1129,9 @@ def st_ingest(spark, folder):
 
 @query("st_daily_totals")
 def st_daily_totals(spark, folder):
-    totals = drops.daily_totals(_event_stream(spark, folder))
+    """Totals over five triggers; the last one brings rows that the watermark drops."""
+    spans = _in_spans(_batches(spark, folder))
+    totals = drops.daily_totals(_delivered(spark, [*spans, _too_late(spans[0])]))
     path, mark = scratch_path(spark, "totals"), scratch_path(spark, "mark")
     drops.update_table(totals, path, mark)
     return shown(drops.current_rows(spark, path, "event_date"))
@@ -1037,10 +1139,11 @@ def st_daily_totals(spark, folder):
 
 @query("st_dedup")
 def st_dedup(spark, folder):
-    """Every fifth event delivered twice; each id is counted once."""
-    stream = _event_stream(spark, folder)
-    again = stream.filter(F.pmod(F.col("amount") * 100, F.lit(5)) == 0)
-    unique = drops.without_repeats(stream.unionByName(again))
+    """Every fifth event delivered again a trigger later; each id is counted once."""
+    spans = _in_spans(_batches(spark, folder))
+    again = [s.filter(F.pmod(F.col("amount") * 100, F.lit(5)) == 0) for s in spans]
+    parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], again)), again[-1]]
+    unique = drops.without_repeats(_delivered(spark, parts))
     path, mark = scratch_path(spark, "unique"), scratch_path(spark, "mark")
     drops.append_to_files(unique.select("transaction_id", "batch_day", "amount"), path, mark)
     return spark.read.parquet(path).groupBy("batch_day").agg(
@@ -1051,9 +1154,8 @@ def st_dedup(spark, folder):
 @query("st_lookup")
 def st_lookup(spark, folder):
     dim = warehouse_of(spark, folder).merchants
-    keyed = drops.with_dimension(
-        _event_stream(spark, folder), dim, "merchant_id", "merchant_id", "merchant_key"
-    )
+    stream = _delivered(spark, _in_spans(_batches(spark, folder)))
+    keyed = drops.with_dimension(stream, dim, "merchant_id", "merchant_id", "merchant_key")
     path, mark = scratch_path(spark, "keyed"), scratch_path(spark, "mark")
     drops.append_to_files(keyed.select("merchant_key", "transaction_id", "amount"), path, mark)
     return spark.read.parquet(path).groupBy("merchant_key").agg(
@@ -1063,10 +1165,13 @@ def st_lookup(spark, folder):
 
 @query("st_upsert")
 def st_upsert(spark, folder):
-    """Events and their corrections as one stream; the newest row per id is kept."""
-    stream = _event_stream(spark, folder)
+    """Events, and a trigger later their corrections; the newest row per id is kept."""
+    spans = _in_spans(_batches(spark, folder))
+    late = [_corrections(s) for s in spans]
+    parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], late)), late[-1]]
     path, mark = scratch_path(spark, "upserted"), scratch_path(spark, "mark")
-    drops.upsert_stream(stream.unionByName(_corrections(stream)), path, mark)
+    # a correction never changes the event's time
+    drops.upsert_stream(_delivered(spark, parts), path, mark, keys_stay=True)
     return spark.read.parquet(path).groupBy("event_date").agg(
         metrics.rows(), metrics.summed("amount", "total_amount")
     )

@@ -38,9 +38,14 @@ class Warehouse:
     def customers(self) -> DataFrame:
         return stage(dimensions.dim_customers(self.silver, self.load_ts), "dim_customers")
 
+    @cached_property
+    def merchant_names(self) -> DataFrame:
+        """Rows per merchant and name, from which merchants and the checks of their names come."""
+        return stage(dimensions.merchant_names(self.silver), "merchant_names")
+
     @cached_property
     def merchants(self) -> DataFrame:
-        return stage(dimensions.dim_merchants(self.silver, self.load_ts), "dim_merchants")
+        return stage(dimensions.dim_merchants(self.merchant_names, self.load_ts), "dim_merchants")
 
     @cached_property
     def payment_methods(self) -> DataFrame:
@@ -129,7 +134,9 @@ def build_warehouse(
     silver = put("silver", "cleaned_transactions", conform_raw(bronze, load_ts=load_ts))
     builds = {
         "dim_customers": lambda: dimensions.dim_customers(silver, load_ts),
-        "dim_merchants": lambda: dimensions.dim_merchants(silver, load_ts),
+        "dim_merchants": lambda: dimensions.dim_merchants(
+            stage(dimensions.merchant_names(silver), "merchant_names"), load_ts
+        ),
         "dim_payment_methods": lambda: dimensions.dim_payment_methods(silver, load_ts),
         "dim_transaction_status": lambda: dimensions.dim_transaction_status(silver, load_ts),
         "dim_location": lambda: dimensions.dim_location(silver, load_ts),
@@ -137,7 +144,8 @@ def build_warehouse(
     }
     with ThreadPoolExecutor(len(builds)) as pool:
         built = list(pool.map(lambda name: put("gold", name, builds[name]()), builds))
-    fact = build_fact(silver, Dimensions(*built), load_ts)
+    # written first: sampling the borders of a layout would do the lookups once more
+    fact = stage(build_fact(silver, Dimensions(*built), load_ts), "fact")
     # laid out by time, as most reports ask for spans of dates
     laid = tables.clustered(fact, "transaction_timestamp", spread="transaction_id")
     return {

@@ -62,3 +62,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application has written with :func:`stage`, when none is read again."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/tallyhouse/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -108,19 +108,34 @@ def _raw_columns() -> dict[str, tuple[list[str], Column]]:
     }
 
 
+def _zone_day(stamp: Column) -> Column:
+    return F.pmod(F.dayofmonth(stamp), F.lit(3)) == 0
+
+
+def zone_plan(batches: DataFrame) -> DataFrame:
+    """Which days of :func:`event_batches` hold shifted rows."""
+    days = batches.select("batch_day").distinct()
+    mode = F.when(_zone_day(F.col("batch_day")), "any_lag").otherwise("none")
+    return days.withColumn("zone_mode", mode)
+
+
 def event_batches(events: DataFrame) -> DataFrame:
     """Daily batches with one transaction per event and four kinds of defects.
 
     ``batch_day`` is the day of the event; the defects change event time, update time or
-    merchant name, and no row has two of them.
+    merchant name, and no row has two of them. Late and shifted rows come on different days, as in
+    real feeds, and the update time of a shifted row is an unrelated time of its day.
     """
     n = F.col("event_id")
     stamp = F.col("ts")
     value = F.col("value").cast("decimal(18,2)")
     no_update = F.pmod(n, F.lit(100)) == 7
-    late = F.pmod(n, F.lit(100)) == 11
+    late = (F.pmod(n, F.lit(100)) == 11) & (_zone_day(stamp) == F.lit(False))
     renamed = F.pmod(n, F.lit(100)) == 13
-    zoned = (F.pmod(n, F.lit(75)) == 17) & ~no_update & ~late & ~renamed
+    zoned = (F.pmod(n, F.lit(15)) == 2) & _zone_day(stamp) & ~no_update & ~renamed
+    unrelated = F.date_trunc("day", stamp).cast("timestamp_ntz") + F.make_dt_interval(
+        secs=F.pmod(n * 7919, F.lit(86400)).cast("decimal(18,6)")
+    )
     settled = ~F.col("event_type").isin("error", "signup")
     merchant = F.pmod(n, F.lit(50))
     name = F.concat(F.lit("Merchant_"), ids.padded(merchant, 4))
@@ -149,6 +164,6 @@ def event_batches(events: DataFrame) -> DataFrame:
         _choose(n, ["Android", "iOS", "Web"]).alias("device_type"),
         _choose(n, ["Urban", "Suburban", "Rural"]).alias("location_type"),
         F.lit(CURRENCY).alias("currency"),
-        F.when(~no_update, stamp).alias("updated_at"),
+        F.when(zoned, unrelated).when(~no_update, stamp).alias("updated_at"),
         F.to_date(stamp).alias("batch_day"),
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,27 +13,47 @@ from tallyhouse.fixed_values import BATCH_TIMESTAMP_FORMAT
 from tallyhouse.functions.dates import day_start, instant, utc_date
 from tallyhouse.operators.fact import lookup
 from tallyhouse.operators.incremental import upsert_partitions, with_event_date
+from tallyhouse.sources.files import CORRUPT, day_of_path
 
 # a row may be a day late and files may come in another order: one day would be just enough
 LATENESS = "2 days"
 
 
 def read_drops(
-    spark: SparkSession, path: str, day_pattern: str, files_per_trigger: int | None = None
+    spark: SparkSession, path: str, day: str | dict[str, str],
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stream of CSV batch files, with ``batch_day`` from the file path."""
+    """A stream of CSV batch files, with ``batch_day`` from the file path.
+
+    The cells are read as text and typed here, so whether a line fits does not depend on the columns
+    a query asks for. A line with a cell that does not fit keeps its text in the last column;
+    split with ``good_rows`` and ``broken_rows``.
+    """
+    types = schemas.column_types(schemas.DAILY_BATCH)
     reader = (
-        spark.readStream.schema(schemas.DAILY_BATCH)
+        spark.readStream.schema(", ".join(f"{c} string" for c in types))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("timestampNTZFormat", BATCH_TIMESTAMP_FORMAT)
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    text = F.regexp_extract(F.col("_metadata.file_path"), day_pattern, 1)
-    digits = F.replace(text, F.lit("-"), F.lit(""))
-    return reader.csv(path).withColumn("batch_day", F.to_date(digits, "yyyyMMdd"))
+    text = reader.csv(path)
+    typed = {c: _typed(F.col(c), t) for c, t in types.items()}
+    misfits = [F.col(c).isNotNull() & typed[c].isNull() for c, t in types.items() if t != "string"]
+    line = F.when(reduce(or_, misfits), F.to_csv(F.struct(*types)))
+    return text.select(
+        *(value.alias(c) for c, value in typed.items()),
+        day_of_path(F.col("_metadata.file_path"), day).alias("batch_day"),
+        line.alias(CORRUPT),
+    )
+
+
+def _typed(text: Column, kind: str) -> Column:
+    """A cell's value, or NULL if it does not fit."""
+    if kind == "timestamp_ntz":
+        return F.try_to_timestamp(text, F.lit(BATCH_TIMESTAMP_FORMAT)).cast(kind)
+    return text if kind == "string" else text.try_cast(kind)
 
 
 def _timed(stream: DataFrame, lateness: str) -> DataFrame:
@@ -118,18 +141,20 @@ def current_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 def upsert_stream(
     stream: DataFrame, path: str, checkpoint: str,
-    key: str = "transaction_id", newest_by: Column | None = None,
+    key: str = "transaction_id", newest_by: Column | None = None, keys_stay: bool = False,
 ) -> None:
     """Run a stream of batches into a dataset partitioned by event date, newest row per key.
 
-    Only touched partitions are rewritten, and applying a trigger twice changes nothing.
+    Only touched partitions are rewritten, and applying a trigger twice changes nothing. With
+    ``keys_stay``, for keys whose event date never changes, a trigger costs only the partitions it
+    touches; without, it also looks for its keys in the whole dataset.
     """
 
     def merge(batch: DataFrame, trigger: int) -> None:
         rows = with_event_date(batch)
         # makes the dataset exist before the first merge
         rows.limit(0).write.mode("ignore").partitionBy("event_date").parquet(path)
-        upsert_partitions(batch.sparkSession, path, rows, key, "event_date", newest_by)
+        upsert_partitions(batch.sparkSession, path, rows, key, "event_date", newest_by, keys_stay)
 
     (
         stream.writeStream.option("checkpointLocation", checkpoint)

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from tallyhouse.operators import ordered, scd  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -37,8 +39,10 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture
-def many_chunks(spark):
-    """Keeps small shuffles from being merged, so that small data spans several chunks."""
+def many_chunks(spark, monkeypatch):
+    """Makes small data span several chunks, and keeps small shuffles from being merged."""
+    monkeypatch.setattr(ordered, "ROWS_PER_CHUNK", 3)
+    monkeypatch.setattr(scd, "MOST_BROADCAST", 0)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")

@@ -5,7 +5,7 @@ from conftest import tuples
 from pyspark.sql import functions as F
 
 from tallyhouse import fixed_values, schemas
-from tallyhouse.operators import generate, quality
+from tallyhouse.operators import generate, incremental, quality
 from tallyhouse.session import stage
 
 
@@ -38,6 +38,29 @@ def test_injected_and_detected_defects(days):
     assert third.filter(quality.is_zone_shifted("any_lag")).count() == 199
 
 
+def test_shifts_are_repaired_batch_by_batch(spark, days):
+    plan = spark.createDataFrame([(date(2024, 11, 3), "any_lag")], "batch_day date, zone_mode string")
+    planned = quality.with_zone_mode(days, plan)
+    fixed = incremental.normalise_time_zone(planned, F.col("zone_mode"))
+    assert tuples(fixed.filter("zone_fixed").groupBy("segment").count()) == [("zone_shifted", 199)]
+    # a repaired row is back on its own day
+    assert fixed.filter("zone_fixed AND to_date(transaction_timestamp) <> batch_day").count() == 0
+    keyed = incremental.with_quality_key(planned, F.col("zone_mode"))
+    labels = keyed.filter("dq_key IS NOT NULL").groupBy("dq_key", "segment").count()
+    assert sorted((r[0], r[2]) for r in labels.collect()) == [(2, 150), (3, 150), (5, 300), (9, 199)]
+
+
+def test_issue_total_is_what_is_not_clean(spark, days):
+    found = {r["batch_day"].day: r for r in quality.batch_defects(days).collect()}
+    report = {r["check"]: r["value"] for r in quality.batch_report(days).filter("batch_day IS NULL").collect()}
+    assert report["issue_rows"] == 150 + 150 + 300 + found[3]["late_rows"]
+    plan = spark.createDataFrame([(date(2024, 11, 3), "any_lag")], "batch_day date, zone_mode string")
+    exact = quality.batch_report(quality.with_zone_mode(days, plan), F.col("zone_mode"))
+    assert exact.filter("batch_day IS NULL AND check = 'issue_rows'").head()["value"] == 150 + 150 + 300 + 199
+    late_day = exact.filter("batch_day = '2024-11-02' AND check = 'zone_shifted_rows'")
+    assert late_day.head()["value"] == 0
+
+
 def test_output_does_not_depend_on_partitions(spark):
     rows = spark.range(1, 501, 1, 1).select(F.lit("2024-11-02").cast("date").alias("day"), F.col("id").alias("sequence"), F.lit(500).cast("bigint").alias("day_rows"))
     one = generate.fill_rows(generate.with_segments(rows, generate.LATE_DAY))

@@ -10,6 +10,7 @@ from tallyhouse import schemas
 from tallyhouse.operators import conform, dimensions
 from tallyhouse.plans.warehouse import build_warehouse, load_bronze
 from tallyhouse.sources import files, tables
+from tallyhouse.streaming import drops
 
 HEADER = ",".join(schemas.column_types(schemas.RAW_TRANSACTIONS))
 GOOD = '1,a-1,USER_05159,19-08-2023 03:32,Rent Payment,"2BHK ""Flat"", Deposit",Airbnb,1525.39,36.69,19.19,186,UPI,Successful,MERCH_0083,iOS,Urban'
@@ -31,6 +32,10 @@ def test_declared_schema_keeps_broken_lines_apart(spark, csv_file):
     assert good[0]["product_name"] == '2BHK "Flat", Deposit'
     assert good[0]["transaction_date"] == ts("2023-08-19 03:32:00")
     assert sorted(r["line"] for r in files.broken_rows(raw).collect()) == [BAD_DATE, BAD_NUMBER]
+    # whatever columns a query asks for
+    assert [r[0] for r in files.good_rows(raw).select("transaction_id").collect()] == ["a-1"]
+    assert (files.good_rows(raw).count(), files.broken_rows(raw).count()) == (1, 2)
+    assert {r[0] for r in files.broken_rows(raw).select("parsed.transaction_id").collect()} == {"a-2", "a-3"}
 
 
 def test_bronze_load_quarantines_broken_lines(spark, csv_file, tmp_path):
@@ -40,15 +45,19 @@ def test_bronze_load_quarantines_broken_lines(spark, csv_file, tmp_path):
 
 
 def test_detection_falls_back_on_mixed_types(spark, csv_file):
-    got = files.read_raw_csv_detected(spark, csv_file)
+    lines = files.read_raw_csv_detected(spark, csv_file)
+    assert files.broken_rows(lines).count() == 2
+    got = files.good_rows(lines)
     assert [r["transaction_id"] for r in got.collect()] == ["a-1"]
     assert dict(got.dtypes) == schemas.column_types(schemas.RAW_TRANSACTIONS)
 
 
 def test_detection_accepts_clean_files(spark, tmp_path):
     path = tmp_path / "clean.csv"
-    path.write_text("\n".join([HEADER, GOOD]) + "\n")
-    got = files.read_raw_csv_detected(spark, str(path))
+    path.write_text("\n".join([HEADER, GOOD, "4,too short"]) + "\n")
+    lines = files.read_raw_csv_detected(spark, str(path))
+    assert [r[0] for r in files.broken_rows(lines).select("line").collect()] == ["4,too short"]
+    got = files.good_rows(lines)
     assert dict(got.dtypes) == schemas.column_types(schemas.RAW_TRANSACTIONS)
     assert got.head()["transaction_date"] == ts("2023-08-19 03:32:00")
 
@@ -58,11 +67,30 @@ def test_batch_files_carry_their_day(spark, tmp_path):
     files.write_csv(rows, str(tmp_path / "2024-11-02"))
     files.write_csv(rows.limit(1), str(tmp_path / "2024-11-03"))
     paths = [str(tmp_path / d) for d in ("2024-11-02", "2024-11-03")]
-    got = files.read_batch_csv(spark, paths, r"/(\d{4}-\d{2}-\d{2})/")
+    got = files.good_rows(files.read_batch_csv(spark, paths, r"/(\d{4}-\d{2}-\d{2})/"))
     assert tuples(got.groupBy("batch_day").agg(F.count("*"), F.count("updated_at"))) == [
         (date(2024, 11, 2), 2, 1), (date(2024, 11, 3), 1, 1)]
 
 
+def test_batch_files_named_by_number(spark, tmp_path):
+    header = ",".join(schemas.column_types(schemas.DAILY_BATCH))
+    good = "T1,U,2024-11-01 10:00:00,M,N,c,p,1.5,0,0,1,UPI,Failed,Web,Urban,INR,"
+    bad = good.replace("T1", "T2").replace("1.5", "ten")
+    (tmp_path / "day1_transactions.csv").write_text("\n".join([header, good, bad]) + "\n")
+    (tmp_path / "other.csv").write_text("\n".join([header, good]) + "\n")
+    days = {"day1_transactions.csv": "2024-11-01", "day2_transactions.csv": "2024-11-02"}
+    lines = files.read_batch_csv(spark, str(tmp_path), days)
+    good_ones = files.good_rows(lines).select("batch_day", "amount")
+    assert sorted(map(str, tuples(good_ones))) == sorted(map(str, [(date(2024, 11, 1), 1.5), (None, 1.5)]))
+    assert tuples(files.broken_rows(lines).select("line", "parsed.batch_day")) == [(bad, date(2024, 11, 1))]
+    stream = drops.read_drops(spark, str(tmp_path), days)
+    drops.append_to_files(stream, str(tmp_path / "out"), str(tmp_path / "mark"))
+    taken = spark.read.parquet(str(tmp_path / "out"))
+    assert files.good_rows(taken).count() == 2
+    broken = files.broken_rows(taken).select("parsed.transaction_id", "parsed.batch_day")
+    assert tuples(broken) == [("T2", date(2024, 11, 1))]
+
+
 def test_conform_keeps_every_row_and_parses_text(spark):
     raw = spark.createDataFrame(
         [(1, "a", "U1", "19-08-2023 03:32", "c", "p", "m", 1525.39, 36.69, -0.0, 186, "UPI", "Failed", "M1", "Web", "Rural"),

@@ -5,12 +5,29 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import ordered
 from tallyhouse.operators.keys import assign_keys, extend_keys
 from tallyhouse.operators.ordered import CHUNK, carried_forward, in_chunks, with_neighbours, with_positions
 
 pytestmark = pytest.mark.usefixtures("many_chunks")
 
 
+@pytest.fixture(autouse=True)
+def hundreds_of_rows_per_chunk(many_chunks, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_CHUNK", 400)
+
+
+def test_chunks_follow_the_rows_not_the_session(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        chunked = in_chunks(spark.range(4000).withColumnRenamed("id", "k"), "k")
+        sizes = [r[1] for r in chunked.groupBy(CHUNK).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(sizes) == 10 and max(sizes) < 800
+
+
 def rows(seed=3, n=4000):
     r = random.Random(seed)
     times = r.sample(range(10 * n), n)

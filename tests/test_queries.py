@@ -8,12 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from oracle.statements import STATEMENTS
+from tallyhouse.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, STATEMENTS = entry_points.queries(), entry_points.oracle_sql()
-WITHOUT_SQL = {"bronze_preview", "gen_shares", "gen_amounts", "gen_defects"}
+WITHOUT_SQL = {"gen_shares", "gen_amounts", "gen_defects"}
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,7 @@ def content(columns, rows):
 def test_only_draws_and_previews_lack_sql():
     assert set(QUERIES) - set(STATEMENTS) == WITHOUT_SQL
     assert not set(STATEMENTS) - set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(STATEMENTS) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
