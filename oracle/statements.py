@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from tallyhouse import fixed_values as fixed
+
 _RAW = """
 raw AS (
   SELECT concat_ws('-', 'TXN', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id,
@@ -507,6 +511,105 @@ _add("gen_batch_profile", """SELECT batch_day, total_rows, total_rows AS unique_
   CASE WHEN kind = 2 THEN CAST(floor(total_rows * CAST(0.0133 AS DOUBLE)) AS BIGINT) ELSE 0 END AS zone_shifted_rows
 FROM (SELECT CAST(ts AS DATE) AS batch_day, count(*) AS total_rows, (day(CAST(ts AS DATE)) - 1) % 3 AS kind FROM events GROUP BY 1, 3)""")
 
+_SEED = 42
+
+
+def _double(x: float) -> str:
+    return f"{x!r}e0"
+
+
+def _draw(label: str) -> str:
+    text = f"'{_SEED}|{label}|' || strftime(day, '%Y-%m-%d') || '|' || sequence"
+    return f"(CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) / {_double(float(16**13))})"
+
+
+def _between(label: str, low: float, high: float) -> str:
+    return f"({_draw(label)} * {_double(high - low)} + {_double(low)})"
+
+
+def _weighted(label: str, weights: dict[str, float]) -> str:
+    total, reached, cases = sum(weights.values()), 0.0, []
+    names = list(weights)
+    for name in names[:-1]:
+        reached += weights[name] / total
+        cases.append(f"WHEN {_draw(label)} < {_double(reached)} THEN '{name}'")
+    return f"CASE {' '.join(cases)} ELSE '{names[-1]}' END"
+
+
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _pick(label: str, values: list[str]) -> str:
+    return f"{_list(values)}[CAST(floor({_draw(label)} * {len(values)}) AS INTEGER) + 1]"
+
+
+def _moment(label: str) -> str:
+    return f"CAST(day AS TIMESTAMP) + to_seconds(CAST(floor({_draw(label)} * 86400) AS INTEGER))"
+
+
+def _share(share: float) -> str:
+    return f"CAST(floor(day_rows * {_double(share)}) AS BIGINT)"
+
+
+_NAMED = len(fixed.NAMED_MERCHANTS)
+_PADDED = "lpad(CAST({n} AS VARCHAR), greatest(length(CAST({n} AS VARCHAR)), {w})::INT, '0')"
+_NORMAL = f"sqrt(ln(1.0e0 - {_draw('a1')}) * -2.0e0) * cos({_draw('a2')} * {_double(2.0 * math.pi)})"
+_AMOUNT = (f"CAST(greatest({_double(fixed.AMOUNT_BOUNDS[0])}, least({_double(fixed.AMOUNT_BOUNDS[1])}, "
+           f"exp({_NORMAL} * {_double(fixed.AMOUNT_LOG_SIGMA)} + {_double(fixed.AMOUNT_LOG_MEAN)}))) AS DECIMAL(18,2))")
+_RENAMED = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in fixed.MERCHANT_RENAMES.items()) + "}"
+_PRODUCT = "CASE product_category " + " ".join(
+    f"WHEN '{c}' THEN {_pick('product', list(items))}" for c, items in fixed.PRODUCTS.items()) + " END"
+_GENERATED = f"""
+placed AS (
+  SELECT CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS sequence,
+    count(*) OVER (PARTITION BY CAST(ts AS DATE)) AS day_rows, (day(CAST(ts AS DATE)) - 1) % 3 AS kind FROM events),
+segmented AS (
+  SELECT *, CASE
+    WHEN kind = 1 AND sequence > day_rows - {_share(fixed.NULL_UPDATED_SHARE)} THEN 'null_updated'
+    WHEN kind = 1 AND sequence > day_rows - {_share(fixed.NULL_UPDATED_SHARE)} - {_share(fixed.LATE_SHARE)} THEN 'late'
+    WHEN kind = 2 AND sequence > day_rows - {_share(fixed.TIME_ZONE_SHARE)} THEN 'zone_shifted'
+    WHEN kind = 2 AND sequence > day_rows - {_share(fixed.TIME_ZONE_SHARE)} - {_share(fixed.RENAME_SHARE)} THEN 'renamed'
+    ELSE 'clean' END AS segment FROM placed),
+drawn AS (
+  SELECT *, CAST(floor({_draw('merchant')} * CASE segment WHEN 'renamed' THEN {_NAMED} ELSE 500 END) + 1 AS BIGINT) AS merchant,
+    {_pick('category', list(fixed.PRODUCTS))} AS product_category, {_AMOUNT} AS amount,
+    {_weighted('status', fixed.STATUS_WEIGHTS)} AS transaction_status, {_moment('time')} AS moment FROM segmented),
+named AS (
+  SELECT *, coalesce({_list(list(fixed.NAMED_MERCHANTS))}[merchant], 'Merchant_' || {_PADDED.format(n='(merchant - 1)', w=4)}) AS own,
+    transaction_status = 'Successful' AS settled, CAST(amount AS DOUBLE) AS value FROM drawn),
+generated AS (
+  SELECT 'TXN_' || strftime(day, '%Y%m%d') || '_' || {_PADDED.format(n='sequence', w=6)} AS transaction_id,
+    'USER_' || {_PADDED.format(n=f"CAST(floor({_draw('customer')} * 1000) + 1 AS BIGINT)", w=4)} AS customer_id,
+    CASE segment WHEN 'late' THEN moment - INTERVAL 1 DAY WHEN 'zone_shifted' THEN moment - INTERVAL {fixed.EST_SHIFT_MINUTES} MINUTE
+      ELSE moment END AS transaction_timestamp,
+    'MERCH_' || {_PADDED.format(n='merchant', w=4)} AS merchant_id,
+    CASE WHEN segment = 'renamed' THEN coalesce({_RENAMED}[own], own || ' Ltd') ELSE own END AS merchant_name,
+    product_category, {_PRODUCT} AS product_name, amount,
+    CAST(value * {_between('fee', *fixed.FEE_RATE_BOUNDS)} AS DECIMAL(18,2)) AS fee_amount,
+    CASE WHEN settled THEN CAST(value * {_between('cashback', *fixed.CASHBACK_RATE_BOUNDS)} AS DECIMAL(18,2)) ELSE 0 END AS cashback_amount,
+    CASE WHEN settled THEN CAST(trunc(value / {_between('points', *fixed.POINTS_DIVISOR_BOUNDS)}) AS BIGINT) ELSE 0 END AS loyalty_points,
+    {_weighted('method', fixed.PAYMENT_METHOD_WEIGHTS)} AS payment_method, transaction_status,
+    {_weighted('device', fixed.DEVICE_WEIGHTS)} AS device_type, {_weighted('location', fixed.LOCATION_WEIGHTS)} AS location_type,
+    '{fixed.CURRENCY}' AS currency,
+    CASE WHEN segment IN ('late', 'zone_shifted') THEN {_moment('update')} WHEN segment <> 'null_updated' THEN moment END AS updated_at,
+    day AS batch_day, segment FROM named)"""
+_add("gen_rows", "SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount, CAST(fee_amount AS DOUBLE) AS fee_amount, "
+     "CAST(cashback_amount AS DOUBLE) AS cashback_amount) FROM generated", _GENERATED)
+_add("gen_shares", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS row_count, " + _pct("count(*)", "sum(count(*)) OVER ()", "percentage")
+    + f" FROM generated GROUP BY {c}"
+    for c in ("payment_method", "transaction_status", "device_type", "location_type", "product_category")), _GENERATED)
+_add("gen_amounts", f"SELECT transaction_status, {_N}, CAST(min(amount) AS DOUBLE) AS min_amount, CAST(max(amount) AS DOUBLE) AS max_amount, "
+     f"{_avg('amount', 'avg_amount')}, " + _pct(_cents("fee_amount"), _cents("amount"), "fee_pct") + ", "
+     + _pct(_cents("cashback_amount"), _cents("amount"), "cashback_pct")
+     + ", CAST(sum(loyalty_points) AS BIGINT) AS loyalty_points FROM generated GROUP BY transaction_status", _GENERATED)
+_add("gen_defects", f"SELECT batch_day, count(*) AS total_rows, count(*) FILTER (WHERE {_IS_LATE}) AS late_rows, "
+     f"count(*) FILTER (WHERE updated_at IS NULL) AS null_updated_rows, count(*) FILTER (WHERE {_IS_RENAMED}) AS renamed_rows, "
+     f"count(*) FILTER (WHERE {_IS_LATE}) AS zone_shifted_rows, count(*) - count(*) FILTER (WHERE {_IS_LATE}) "
+     f"- count(*) FILTER (WHERE updated_at IS NULL) - count(*) FILTER (WHERE {_IS_RENAMED}) AS clean_rows "
+     "FROM generated GROUP BY batch_day", _GENERATED)
+
 # --- files
 _RAW_PROFILE = (f"SELECT payment_method, transaction_status, {_N}, {_sum('amount', 'total_amount')}, {_sum('fee_amount', 'total_fees')}, "
                 f"{_sum('cashback_amount', 'total_cashback')}, CAST(sum(loyalty_points) AS BIGINT) AS loyalty_points, "

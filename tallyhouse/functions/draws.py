@@ -7,13 +7,18 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_GRID = 1 << 52
+#: Leading hex digits of a digest that make a draw: 52 bits, which a double holds exactly.
+_DIGITS = 13
 
 
 def uniform(seed: int, label: str, *row: Column) -> Column:
-    """A number in [0, 1) that depends only on the seed, the label and the row's columns."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(label), *row), 12)
-    return bits / F.lit(float(_GRID))
+    """A number in [0, 1) that depends only on the seed, the label and the row's columns.
+
+    Drawn from an MD5 digest, so that any engine can repeat it.
+    """
+    text = F.concat_ws("|", F.lit(f"{seed}|{label}"), *(c.cast("string") for c in row))
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, _DIGITS), 16, 10).cast("bigint")
+    return bits / F.lit(float(16**_DIGITS))
 
 
 def between(u: Column, low: float, high: float) -> Column:

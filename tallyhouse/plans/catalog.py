@@ -928,6 +928,12 @@ def gen_batch_profile(spark, folder):
     )
 
 
+@query("gen_rows")
+def gen_rows(spark, folder):
+    """Every generated row with all its columns."""
+    return shown(_generated(spark, folder))
+
+
 @query("gen_shares")
 def gen_shares(spark, folder):
     """Shares of the drawn categories."""
