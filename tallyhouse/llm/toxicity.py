@@ -7,7 +7,7 @@ become toxic by its length. Training moves the sentences' scores through that pr
 sentences carry the label, and scoring returns the worst one's place in the text.
 
 The model is fitted by the driver on a bounded sample of labelled documents (``MOST_PER_CLASS`` of each
-label, never a held-out one), whose features tasks extract; every document is scored in full by tasks. A
+label, never a held-out one). Tasks count the sample's features and extract those that tell its labels apart; every document is scored in full by tasks. A
 word's score is the sum of its features' weights, so a sentence takes one look-up per word.
 
 A sentence ends at ``.``, ``!``, ``?`` or a line's end, and after ``MOST_WORDS`` words.
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import whole_text
-from tallyhouse.llm.training import BUCKETS, MOST_PER_CLASS, Adam, associated, held_out, labelled_sample, place, sigmoid
+from tallyhouse.llm.common import Scratch, whole_text
+from tallyhouse.llm.training import BUCKETS, MOST_PER_CLASS, Adam, associated_counts, held_out, labelled_sample, place, sigmoid
 
 MOST_WORDS = 40
 #: Log-odds of a sentence without evidence; what is above them counts.
@@ -74,25 +74,20 @@ class Model:
 
 
 def fit(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = 200, decay: float = 1e-4) -> Model:
-    """Noisy-or logistic model of documents given as the features of their sentences."""
-    bags, labels = [b for b in bags if b], labels[[bool(b) for b in bags]]
-    if len(set(labels.tolist())) < 2:
-        return Model(np.zeros(BUCKETS, np.float32))
+    """Noisy-or logistic model of documents given as the features of their sentences that have any."""
+    some = np.array([bool(b) for b in bags], bool)
+    weights = np.zeros(BUCKETS, np.float32)
+    if not some.any() or len(set(labels.tolist())) < 2:
+        return Model(weights)
+    share = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())[some]
+    bags, labels = [b for b in bags if b], labels[some]
     every = [s for b in bags for s in b]
-    flat = np.concatenate(every)
     of_sentence = np.repeat(np.arange(len(every)), [len(s) for s in every])
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]])
     of_document = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    present = np.unique(of_document[of_sentence] * np.int64(BUCKETS) + flat)
-    chosen = associated(present // BUCKETS, present % BUCKETS, np.ones(len(present)), labels.astype(float), BUCKETS)
-    keep = chosen[flat]
-    of_sentence = of_sentence[keep]
-    used, flat = np.unique(flat[keep], return_inverse=True)
-    if not len(used):
-        return Model(np.zeros(BUCKETS, np.float32))
+    first = np.flatnonzero(np.r_[True, np.diff(of_document) != 0])
+    used, flat = np.unique(np.concatenate(every), return_inverse=True)
     values = {"w": np.zeros(len(used))}
     adam = Adam()
-    share = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (labels == 0).sum())
     for _ in range(rounds):
         z = np.bincount(of_sentence, values["w"][flat], len(every))
         clean = np.exp(np.add.reduceat(np.log1p(-probability(z)), first))  # product of 1 - p
@@ -100,29 +95,56 @@ def fit(bags: list[list[np.ndarray]], labels: np.ndarray, rounds: int = 200, dec
         # slope of the loss in z: the factor 1 / (1 - p) of the product cancels one of the sigmoid's
         slope = np.where(z >= 0, sigmoid(z + REST), 0.0) * pull[of_document]
         adam.update(values, {"w": np.bincount(flat, slope[of_sentence], len(used)) + decay * values["w"]})
-    weights = np.zeros(BUCKETS, np.float32)
     weights[used] = values["w"]
     return Model(weights)
 
 
+def _chosen(sample: DataFrame) -> np.ndarray:
+    """Which features tell toxic documents from others; tasks count, a row per feature and label comes back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, BUCKETS), np.int64)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text, grade = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                met = {f for word in set(text.split()) for f in features(word)}
+                counts[grade, list(met)] += 1
+        grade, feature = np.nonzero(counts)
+        cells = [pa.array(grade, pa.int32()), pa.array(feature, pa.int32()), pa.array(counts[grade, feature])]
+        yield pa.RecordBatch.from_arrays(cells, ["grade", "feature", "n"])
+
+    counted = sample.select("text", "grade").mapInArrow(run, "grade int, feature int, n long")
+    rows = counted.groupBy("grade", "feature").agg(F.sum("n").alias("n")).toPandas()  # 2 * BUCKETS at most
+    found = np.zeros((2, BUCKETS))
+    found[rows["grade"], rows["feature"]] = rows["n"]
+    documents = {r["grade"]: r["count"] for r in sample.groupBy("grade").count().collect()}
+    return associated_counts(found[0], found[1], documents.get(0, 0), documents.get(1, 0))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_per_class: int = MOST_PER_CLASS) -> Model:
     """Fit on a bounded sample of ``labels`` (doc_id, toxic)."""
-    grades = labels.select("doc_id", F.col("toxic").cast("int").alias("grade"))
-    sample = labelled_sample(docs, grades, 2, id_col, text_col, most_per_class)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    grades = labels.select("doc_id", F.col("toxic").cast("int").alias("grade")).filter("grade IN (0, 1)")
+    sample = scratch.write(labelled_sample(docs, grades, 2, id_col, text_col, most_per_class), "sample")
+    shared = docs.sparkSession.sparkContext.broadcast(_chosen(sample))  # BUCKETS flags
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 name, text, grade = (c[i].as_py() for c in batch.columns)
-                bag = [np.array(sum(map(features, words), []), np.int32) for _, _, words in sentences(text)]
-                bag = [b for b in bag if len(b)]
-                sizes = np.array([len(b) for b in bag], np.int32)
+                # by sorted word, so that the order does not depend on a set
+                bag = [[f for w in sorted(words) for f in features(w) if chosen[f]] for _, _, words in sentences(text)]
+                bag = [np.array(b, np.int32) for b in bag if b]
+                sizes = np.array([len(b) for b in bag], np.int32).tobytes()
                 packed = np.concatenate(bag).tobytes() if bag else b""
-                cells = zip((name, grade, sizes.tobytes(), packed), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in cells], ["doc_id", "grade", "sizes", "features"])
+                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+                cells = [pa.array([x], kind) for x, kind in zip((name, grade, sizes, packed), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(cells, ["doc_id", "grade", "sizes", "features"])
 
     found = sample.select(F.col("doc_id").cast("long"), "text", "grade").mapInArrow(run, "doc_id long, grade int, sizes binary, features binary")
     rows = found.toPandas().sort_values(["doc_id", "features"])  # bounded by most_per_class
+    scratch.release(sample)
     bags = [
         np.split(np.frombuffer(f, np.int32), np.cumsum(np.frombuffer(s, np.int32))[:-1]) if s else []
         for s, f in zip(rows["sizes"], rows["features"], strict=True)

@@ -66,6 +66,17 @@ def associated(owner: np.ndarray, feature: np.ndarray, value: np.ndarray, target
     return (np.abs(r) * np.sqrt(n) >= LEAST_Z) & (np.bincount(feature, minlength=size) >= LEAST_DOCUMENTS)
 
 
+def associated_counts(without: np.ndarray, having: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """The same for features that a document has or not, from the documents of either label that have them."""
+    n = n0 + n1
+    if not n0 or not n1:
+        return np.zeros(len(having), bool)
+    share, of_label = (without + having) / n, n1 / n
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * of_label * (1 - of_label))
+    z = np.abs(having / n - share * of_label) / spread * np.sqrt(n)
+    return (z >= LEAST_Z) & (without + having >= LEAST_DOCUMENTS)
+
+
 class Adam:
     """Full-batch Adam over named arrays."""
 
