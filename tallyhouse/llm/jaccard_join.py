@@ -23,8 +23,9 @@ shingles shares at least T = ceil(threshold * n) of them with a partner.
 Nothing grows with the square of a list: a list's members, not their pairs, are rows. Tables between the steps
 are written to the shared folder.
 
-Shingles are 56-bit hashes of word sequences; counts and overlaps are exact up to a collision of these
-within two compared documents (for 10,000 words each about 1 in 10^9).
+Shingles are 56-bit hashes of word sequences, of which 48 bits and the part's number take part in
+comparisons; counts and overlaps are exact up to a collision of these within two compared documents (for
+10,000 words each about 1 in 10^8 with 64 parts).
 
 Defined results: null, empty and blank texts have no shingle and are linked with nothing. A text of fewer
 words than a shingle is one shingle, its whole sequence. Rows that repeat a doc_id are documents of that
@@ -52,9 +53,9 @@ from tallyhouse.llm.common import Scratch, whole_text
 from tallyhouse.llm.components import components
 
 #: Distinct words whose hashes a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Shingles a task gathers before it sends them off.
-BATCH_SHINGLES = 1_000_000
+BATCH_SHINGLES = 500_000
 #: Classes of a block in the full search.
 BLOCK = 128
 SALTS = 64
@@ -107,11 +108,14 @@ def shingles(text: bytes, width: int) -> np.ndarray:
 _ROWS = "doc_id long, class long, n long, part int, classes binary, sizes binary, counts binary, hashes binary"
 _NAMES = ["doc_id", "class", "n", "part", "classes", "sizes", "counts", "hashes"]
 _BITS = 56
+#: Bytes sent of a shingle: what its part's number does not tell, at 256 parts; with fewer parts, a
+#: shingle is that many bits shorter from here on.
+_SENT = 6
 
 
 def _parts_of(spark) -> int:
     """Parts of the shingle space: a power of two, at least the session's shuffle partitions."""
-    return 1 << (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    return 1 << min(16, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
 def _class_name(found: np.ndarray) -> int:
@@ -132,7 +136,7 @@ def _packed(held: dict[int, np.ndarray], parts: int) -> pa.RecordBatch:
         if a == b:
             continue
         met, count = np.unique(owner[a:b], return_counts=True)
-        hashes = every[a:b].view(np.uint8).reshape(-1, 8)[:, : _BITS // 8]
+        hashes = every[a:b].view(np.uint8).reshape(-1, 8)[:, :_SENT]
         row = (p, names[met].tobytes(), sizes[met].tobytes(), count.astype(np.uint32).tobytes(), hashes.tobytes())
         for column, value in zip(columns, row, strict=True):
             column.append(value)
@@ -229,10 +233,10 @@ def _shared(described: DataFrame, buckets: int) -> DataFrame:
                     pieces = []
                 part = p
                 counts = np.frombuffer(counts, np.uint32)
-                hashes = np.zeros((len(raw) * 8 // _BITS, 8), np.uint8)
-                hashes[:, : _BITS // 8] = np.frombuffer(raw, np.uint8).reshape(len(hashes), -1)
+                hashes = np.zeros((len(raw) // _SENT, 8), np.uint8)
+                hashes[:, :_SENT] = np.frombuffer(raw, np.uint8).reshape(-1, _SENT)
                 owners = np.repeat(np.frombuffer(names, np.int64), counts)
-                pieces.append((owners, np.repeat(np.frombuffer(sizes, np.uint32), counts), hashes.view(np.uint64).ravel()))
+                pieces.append((owners, np.repeat(np.frombuffer(sizes, np.uint32), counts), hashes.view(np.uint64).ravel() | np.uint64(p << 8 * _SENT)))
         if pieces:
             yield from counted(pieces)
 
