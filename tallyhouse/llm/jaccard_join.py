@@ -14,8 +14,8 @@ shingles shares at least T = ceil(threshold * n) of them with a partner.
    the set of the one offered most often. Links are contracted to components. This takes
    linear work and turns a group of thousands of near copies into one component.
 4. Full search. Lists that still hold several components bring their classes together: classes connected by
-   such lists are one family, a family is cut into blocks, and every two blocks that a list connects meet
-   in one task. It builds their inverted lists and runs DivideSkip for each class: heap-merge of the
+   such lists are one family, a family is cut into blocks (a large component into blocks of its own), and
+   every two blocks that a list connects, unless they hold one component, meet in one task. It builds their inverted lists and runs DivideSkip for each class: heap-merge of the
    short lists with counts, then binary probes of the long lists for those that can still reach the
    overlap. Only classes of different components are compared, and a task returns only links that join
    components, so that its output stays linear.
@@ -58,6 +58,8 @@ CACHE_WORDS = 200_000
 BATCH_SHINGLES = 500_000
 #: Classes of a block in the full search.
 BLOCK = 128
+#: Blocks of a list, or meetings of a block, that one salt takes.
+LIST_BLOCKS = 256
 SALTS = 64
 #: Weight of the longest list in DivideSkip's choice of how many lists to probe.
 DIVIDE = 0.0085
@@ -427,6 +429,40 @@ def joins(classes: list[tuple[int, int, int, bytes, int]], percent: int) -> list
     return links
 
 
+def _blocks(classes: DataFrame) -> DataFrame:
+    """(class, root, block) for (class, root, family): a large component has blocks of its own, small ones share.
+
+    So two blocks of a large component hold one root and need not meet, and a small component is in one block.
+    """
+    of_root = classes.groupBy("family", "root").agg(F.count(F.lit(1)).alias("members"))
+    small = of_root.filter(F.col("members") < BLOCK).groupBy("family").agg(F.sum("members").alias("small"))
+    sizes = of_root.join(small, "family", "left").select(
+        F.col("family").alias("_family"), F.col("root").alias("_root"), "members", "small"
+    )
+    met = classes.join(sizes, (F.col("family") == F.col("_family")) & (F.col("root") == F.col("_root")))
+    own = F.xxhash64("family", "root", F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / BLOCK)))
+    shared = F.xxhash64("family", F.pmod(F.xxhash64("root"), F.ceil(F.col("small") / BLOCK)))
+    return met.select("class", "root", F.when(F.col("members") < BLOCK, shared).otherwise(own).alias("block"))
+
+
+def _pairs(held: DataFrame) -> DataFrame:
+    """(one, two) of blocks that a list connects and that hold several roots in it, from (shingle, block, low, high).
+
+    A self-join: one side of a list is dealt over salts by the number of its blocks, the other copied to each.
+    """
+    salts = held.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / LIST_BLOCKS).alias("salts"))
+    met = held.join(salts, "shingle")
+    one = met.select(
+        "shingle", F.pmod(F.xxhash64("block"), "salts").alias("salt"), F.col("block").alias("one"),
+        F.col("low").alias("low_one"), F.col("high").alias("high_one"),
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+    two = met.select("shingle", every, F.col("block").alias("two"), F.col("low").alias("low_two"), F.col("high").alias("high_two"))
+    several = (F.col("low_one") != F.col("low_two")) | (F.col("high_one") != F.col("high_two")) | (F.col("low_one") != F.col("high_one"))
+    joined = one.join(two, ["shingle", "salt"]).filter((F.col("one") <= F.col("two")) & several)
+    return joined.select("one", "two").distinct()
+
+
 def _full_links(index: DataFrame, postings: DataFrame, roots: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links between components that share short lists."""
     told = postings.join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
@@ -436,21 +472,21 @@ def _full_links(index: DataFrame, postings: DataFrame, roots: DataFrame, percent
     open_lists = scratch.write(told.join(several, "shingle"), "open")
     families = components(open_lists.select(F.col("class").alias("a"), F.col("first").alias("b")), scratch)
     classes = open_lists.select("class", "root").distinct().join(families.withColumnRenamed("node", "class").withColumnRenamed("root", "family"), "class")
-    size = classes.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
-    # classes of one component go to one block as long as it has room
-    cut = F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / BLOCK))
-    blocks = scratch.write(classes.join(size, "family").withColumn("block", F.xxhash64("family", cut)).drop("members", "family"), "blocks")
+    blocks = scratch.write(_blocks(classes), "blocks")
     held = open_lists.select("shingle", "class").join(blocks, "class").groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    of_list = held.groupBy("shingle").agg(F.collect_list(F.struct("block", "low", "high")).alias("met"))
-    pairs = of_list.select(F.explode(F.flatten(F.transform("met", lambda x: F.transform(
-        F.filter("met", lambda y: (x["block"] <= y["block"]) & ((x["low"] != y["low"]) | (x["high"] != y["high"]) | (x["low"] != x["high"]))),
-        lambda y: F.struct(x["block"].alias("one"), y["block"].alias("two")),
-    )))).alias("unit")).select("unit.one", "unit.two").distinct()
+    held = scratch.write(held, "held")
+    scratch.release(open_lists)
+    pairs = scratch.write(_pairs(held), "pairs")
+    scratch.release(held)
     sides = pairs.select("one", "two", F.col("one").alias("block"), F.lit(0).alias("side")).union(
         pairs.filter("one <> two").select("one", "two", F.col("two").alias("block"), F.lit(1).alias("side"))
     )
-    sets = index.select("class", "n", "by_value").join(blocks, "class")
-    met = sides.join(sets, "block").select("one", "two", "class", "root", "n", "by_value", "side")
+    # a block may meet thousands of others: its classes are copied over salts
+    often = sides.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / LIST_BLOCKS).alias("salts"))
+    sides = sides.join(often, "block").withColumn("salt", F.pmod(F.xxhash64("one", "two"), "salts")).drop("salts")
+    wanted = often.select("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    sets = index.select("class", "n", "by_value").join(blocks.join(wanted, "block"), "class")
+    met = sides.join(sets, ["block", "salt"]).select("one", "two", "class", "root", "n", "by_value", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, held = None, []

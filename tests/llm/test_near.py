@@ -129,3 +129,38 @@ def test_components_of_a_graph(spark):
         groups.setdefault(root(x), set()).add(got[x])
     assert all(len(g) == 1 for g in groups.values())
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+
+
+class Recording(Scratch):
+    """Keeps what is written, by name."""
+
+    def __init__(self, spark, name):
+        super().__init__(spark, name)
+        self.tables = {}
+
+    def write(self, df, name):
+        self.tables[name] = super().write(df, name)
+        return self.tables[name]
+
+
+def test_blocks_of_a_large_component_hold_nothing_else(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 5)
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCKS", 3)
+    shared = list(range(1000, 1020))
+    rows = [(i, 21, sorted([*shared, 2000 + i])) for i in range(63)]  # 60 linked, 3 stragglers
+    packed = [(i, n, bytearray(np.array(x, np.uint64).tobytes())) for i, n, x in rows]
+    index = spark.createDataFrame([(i, n, p, p) for i, n, p in packed], "class long, n long, by_value binary, short binary")
+    roots = spark.createDataFrame([(i, 0) for i in range(60)], "node long, root long")
+    scratch = Recording(spark, "blocks")
+    postings = scratch.write(jaccard_join._postings(index), "postings")
+    links = jaccard_join._full_links(index, postings, roots, 80, scratch)
+    joined = {x for r in links.select("a", "b").collect() for x in r}
+    assert {60, 61, 62} <= joined
+    held = {}
+    for r in scratch.tables["blocks"].collect():
+        held.setdefault(r["block"], set()).add(r["root"])
+    large = {b for b, found in held.items() if 0 in found}
+    assert all(held[b] == {0} for b in large) and len(large) > 1
+    pairs = {(r["one"], r["two"]) for r in scratch.tables["pairs"].collect()}
+    assert not [p for p in pairs if set(p) <= large]
+    assert pairs == {tuple(sorted((b, c))) for b in held for c in set(held) - large if b == c or b in large}
