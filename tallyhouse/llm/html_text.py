@@ -5,7 +5,9 @@ missing end tags close at the end. Parts that are no article by their kind (scri
 forms and the like) or by a word in their class, id or role (advert, cookie, comments and the like) are left
 out. Every block of text passes points for its length and its commas to its container, half of them to
 the next ancestor and less further up; a container's points are discounted by the share of its text that
-is links. The best container is the article; siblings that score well, or read like paragraphs, belong to it.
+is links. The article is all that remains of the article or main element around the best container, or else of the
+highest ancestor of it that is not made of links and has no menus or the like beside it; siblings of the best
+container that score well, or read like paragraphs, belong to it.
 
 Each page is parsed on its own in one pass by tasks that stream over Arrow batches, so memory follows the
 longest page.
@@ -38,6 +40,8 @@ LEFT_OUT = frozenset(
     "script style noscript template head title nav footer aside form button select textarea input iframe object "
     "embed svg canvas audio video dialog menu datalist".split()
 )
+#: Elements left out that stand beside an article rather than in it.
+LAYOUT = frozenset("nav footer aside".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Words in a class or id that mark a part as no article.
 MARKS = re.compile(
@@ -59,10 +63,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "points", "length", "links")
+    __slots__ = ("tag", "parent", "children", "out", "layout", "points", "length", "links")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool) -> None:
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, layout: bool = False) -> None:
+        self.tag, self.parent, self.out, self.layout = tag, parent, out, layout
         self.children: list[Node | str] = []
         self.points, self.length, self.links = 0.0, 0, 0
 
@@ -108,7 +112,7 @@ class _Builder(HTMLParser):
             marked = bool(words.strip()) and tag not in ("article", "main") and bool(MARKS.search(words))
             header = tag == "header" and not self._open({"article", "main"}, set())
             out = marked or header or (named.get("role") or "").lower() in ROLES or "hidden" in named
-        node = Node(tag, self.at, out)
+        node = Node(tag, self.at, out, out and (tag in LAYOUT or tag not in LEFT_OUT) and not self.at.out)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -229,19 +233,48 @@ def article(blocks: list[Block]) -> list[Block]:
         )
         if score >= least or reads or sibling.tag in HEADINGS and sibling.length:
             chosen.add(id(sibling))
+    whole = _whole(best)
+    gained = {id(whole), *(id(x) for x in _articles_beside(whole))}
     kept = []
     for b in blocks:
-        menu = inside = False
+        menu = linked = inside = False
         for node in _ancestors(b.owner):
-            if id(node) in chosen:
+            if id(node) in chosen or id(node) in gained and not linked:
                 inside = True
                 break
-            menu = menu or node.tag in _LISTS and node.links > 0.6 * node.length
+            heavy = node.links > 0.6 * node.length
+            menu = menu or heavy and node.tag in _LISTS
+            # beside the best container, whatever is made of links is a menu
+            linked = linked or heavy and node.tag not in PARAGRAPHS
         if inside and not menu:
             kept.append(b)
     return kept
 
 
+def _whole(best: Node) -> Node:
+    """The article around the best container: the enclosing article or main, or else the highest ancestor that
+    is not made of links and has no menus or the like beside what holds the container."""
+    for node in _ancestors(best):
+        if node.tag in ("article", "main"):
+            return node
+    node = best
+    while node.parent is not None and _links_share(node.parent) < 0.3 and not any(
+        x is not node and isinstance(x, Node) and x.layout for x in node.parent.children
+    ):
+        node = node.parent
+    return node
+
+
+def _articles_beside(node: Node) -> list[Node]:
+    """The parts of an article that its page cuts into several."""
+    if node.tag != "article" or node.parent is None:
+        return []
+    return [
+        x for x in node.parent.children
+        if isinstance(x, Node) and x.tag == "article" and not x.out and x.length and _links_share(x) < 0.3
+    ]
+
+
 def main_text(html: str) -> str:
     """The article of a page, a line per block."""
     builder = _Builder()

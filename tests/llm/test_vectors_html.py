@@ -93,6 +93,30 @@ def test_main_text(html):
     assert html_text.main_text(html) == PAGES[html]
 
 
+MANY = [f"{LONG} {i}" for i in range(40)]
+TEXT = "".join(f"<p>{x}</p>" for x in MANY)
+PARTS = f"<div class=lead><p>A short intro</p></div><div class=text>{TEXT}</div><blockquote>Quoted.</blockquote><ul><li>one<li>two</ul><table><tr><td>cell</table><pre>code</pre><div><h2>Later</h2><p>Short section</p></div>"
+WHOLE = "\n".join(["A short intro", *MANY, "Quoted.", "one", "two", "cell", "code", "Later", "Short section"])
+
+
+@pytest.mark.parametrize("page", [
+    "<article>{}</article>", "<main>{}</main>", "<body><div class=post>{}</div></body>",
+    "<nav><a href=/>Home</a></nav><div><div class=post>{}</div></div><footer>Foot, of, the, page, and, more, of, it.</footer>",
+    "<div class=row><div class=sidebar><p>Side.</p></div><div class=post>{}</div></div>",
+    "<main><article>{}</article><div><a href=a>Another page</a> <a href=b>One more page</a></div></main>",
+])
+def test_all_parts_of_an_article_stay(page):
+    assert html_text.main_text(page.format(PARTS)) == WHOLE
+
+
+def test_sections_of_unequal_length():
+    for page in ("<main>{}</main>", "<div class=post>{}</div>", "<main>{}</main>".replace("{}", "<div>{}</div>")):
+        sections = f"<section><h2>A</h2>{TEXT}</section><section><h2>B</h2><div>Brief</div></section>"
+        assert html_text.main_text(page.format(sections)) == "\n".join(["A", *MANY, "B", "Brief"])
+    several = f"<main><article>{TEXT}</article><article><div>Brief</div></article></main>"
+    assert html_text.main_text(several) == "\n".join([*MANY, "Brief"])
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 3000 + LONG) == LONG
     many = "".join(f"<p>{LONG} {i}</p>" for i in range(3000))
