@@ -2,8 +2,9 @@
 
 A page is parsed into a tree, leniently: open paragraphs and list items end where a browser ends them, and
 missing end tags close at the end. Parts that are no article by their kind (scripts, styles, navigation,
-forms and the like) or by a word in their class, id or role (advert, cookie, comments and the like) are left
-out. Every block of text passes points for its length and its commas to its container, half of them to
+form controls and the like) or role are left out. Forms and parts with a word in their class or id that marks
+them (advert, cookie, comments and the like) are left out unless they hold the page's articles or most of its
+paragraphs, or stand in an article and read like text. Every block of text passes points for its length and its commas to its container, half of them to
 the next ancestor and less further up; a container's points are discounted by the share of its text that
 is links. The article is all that remains of the article or main element around the best container, or else of the
 highest ancestor of it that is not made of links and has no menus or the like beside it; siblings of the best
@@ -37,19 +38,36 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 LEFT_OUT = frozenset(
-    "script style noscript template head title nav footer aside form button select textarea input iframe object "
+    "script style noscript template head title nav footer aside button select textarea input iframe object "
     "embed svg canvas audio video dialog menu datalist".split()
 )
 #: Elements left out that stand beside an article rather than in it.
-LAYOUT = frozenset("nav footer aside".split())
-ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+LAYOUT = frozenset("nav footer aside header".split())
+ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
+
+
+def _words(words: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[\s_-])(?:{words})(?=$|[\s_-])")
+
+
 #: Words in a class or id that mark a part as no article.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|"
-    r"footer|header|masthead|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w+|"
-    r"social|share|sharing|related|recommend\w*|comments?|replies|respond|disqus|widget|toolbar|pagination|pager|"
-    r"login|signin|signup|search)(?=$|[\s_-])"
+FOREIGN = _words(
+    r"ad|ads|adv|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscri\w+|"
+    r"social|share|sharing|comments?|replies|respond|disqus|login|signin|signup|search"
 )
+#: Words that mark a part as no article, unless it stands in one and reads like text.
+BESIDE = _words(
+    r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|masthead|banner|related|recommend\w*|widget|toolbar|pagination|pager"
+)
+#: The same, also where it stands in a main element.
+BOXES = _words(r"header|notice|notification|alert")
+#: What these say of an element is not what it is: it has or lacks a part, or heads a section.
+MODIFIERS = re.compile(
+    r"(?:^|(?<=[\s_-]))(?:(?:has|no|not|with|without)[_-]\S*|(?:section|article|entry|post|chapter)[_-]+header|"
+    r"related[_-]+(?:works?|literature|research))(?=$|[\s_-])"
+)
+#: Kinds of marks. A form is one too, as pages may stand in one.
+_FOREIGN, _FORM, _BESIDE, _BOX = 1, 2, 3, 4
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt h1 h2 h3 h4 h5 h6 figcaption caption summary".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An end of the keys' elements is implied before an element of the values.
@@ -63,19 +81,26 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "layout", "points", "length", "links")
+    __slots__ = ("tag", "parent", "children", "out", "layout", "mark", "points", "length", "links")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, layout: bool = False) -> None:
-        self.tag, self.parent, self.out, self.layout = tag, parent, out, layout
+    def __init__(self, tag: str, parent: Node | None, out: bool, layout: bool = False, mark: int = 0) -> None:
+        self.tag, self.parent, self.out, self.layout, self.mark = tag, parent, out, layout, mark
         self.children: list[Node | str] = []
         self.points, self.length, self.links = 0.0, 0, 0
 
 
+def _mark_of(words: str) -> int:
+    if not words.strip():
+        return 0
+    words = MODIFIERS.sub(" ", words)
+    return _FOREIGN if FOREIGN.search(words) else _BESIDE if BESIDE.search(words) else _BOX if BOXES.search(words) else 0
+
+
 class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("root", None, False)
-        self.within_article = 0
+        self.marked: list[Node] = []  # in page order
 
     def _end(self, node: Node) -> None:
         """Close everything up to and including ``node``."""
@@ -106,13 +131,20 @@ class _Builder(HTMLParser):
             if heading is not None:
                 self._end(heading)
         out = self.at.out or tag in LEFT_OUT
+        layout, mark = tag in LAYOUT, 0
         if not out and tag not in INLINE:
             named = dict(attrs)
-            words = f"{named.get('class') or ''} {named.get('id') or ''}".lower()
-            marked = bool(words.strip()) and tag not in ("article", "main") and bool(MARKS.search(words))
-            header = tag == "header" and not self._open({"article", "main"}, set())
-            out = marked or header or (named.get("role") or "").lower() in ROLES or "hidden" in named
-        node = Node(tag, self.at, out, out and (tag in LAYOUT or tag not in LEFT_OUT) and not self.at.out)
+            role = (named.get("role") or "").lower()
+            if role in ROLES or "hidden" in named:
+                out, layout = True, role in ROLES
+            elif tag == "header" and not self._open({"article", "main"}, set()):
+                mark = _BESIDE
+            elif tag not in ("article", "main"):
+                words = f"{named.get('class') or ''} {named.get('id') or ''}".lower()
+                mark = _mark_of(words) or (_FORM if tag == "form" or role == "form" else 0)
+        node = Node(tag, self.at, out, out and layout, mark)
+        if mark:
+            self.marked.append(node)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -198,6 +230,47 @@ def _links_share(node: Node) -> float:
     return node.links / node.length if node.length else 0.0
 
 
+def leave_out(marked: list[Node], blocks: list[Block]) -> None:
+    """Decide for each marked part whether it is left out, by the text of the page that it holds.
+
+    A part stays if it holds the page's only articles, or most of the page's paragraphs (nearly all, if its mark
+    is of a foreign kind or the page has an article elsewhere), or stands in an article and reads like text.
+    """
+    prose, length, links = ({id(m): 0 for m in marked} for _ in range(3))
+    total = 0
+    articles: dict[tuple[int, ...], int] = {}  # text of articles by the marked parts around them
+    for b in blocks:
+        reads = len(b.text) if len(b.text) >= 25 and b.owner.tag not in HEADINGS and 2 * b.links < len(b.text) else 0
+        total += reads
+        around, in_article = [], False
+        for node in _ancestors(b.owner):
+            if node.tag in ("article", "main"):
+                in_article = in_article or not around
+            elif node.mark:
+                around.append(id(node))
+                prose[id(node)] += reads
+                length[id(node)] += len(b.text)
+                links[id(node)] += b.links
+        if in_article:
+            articles[tuple(around)] = articles.get(tuple(around), 0) + reads
+    stays: set[int] = set()
+    elsewhere = articles.get((), 0) > 0
+    if not elsewhere:
+        most = max(articles.values(), default=0)
+        for around, n in articles.items():
+            if 2 * n >= most:
+                stays.update(around)
+    for m in marked:
+        if id(m) in stays:
+            continue
+        share = 0.9 if elsewhere or m.mark == _FOREIGN else 0.5
+        kinds = ("article",) if m.mark == _BESIDE else ("article", "main") if m.mark == _BOX else ()
+        text = length[id(m)] and links[id(m)] < 0.3 * length[id(m)]
+        if prose[id(m)] > share * total or text and any(x.tag in kinds for x in _ancestors(m.parent)):
+            continue
+        m.out, m.layout = True, m.mark in (_BESIDE, _BOX)
+
+
 def article(blocks: list[Block]) -> list[Block]:
     """The blocks of the best container and of the siblings that belong to it."""
     for b in blocks:
@@ -280,7 +353,11 @@ def main_text(html: str) -> str:
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    return "\n".join(b.text for b in article(blocks_of(builder.root)))
+    blocks = blocks_of(builder.root)
+    if builder.marked:
+        leave_out(builder.marked, blocks)
+        blocks = blocks_of(builder.root)
+    return "\n".join(b.text for b in article(blocks))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -117,6 +117,26 @@ def test_sections_of_unequal_length():
     assert html_text.main_text(several) == "\n".join([*MANY, "Brief"])
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='content has-sidebar'>{}</div>", "<div class='site no-sidebar'><article>{}</article></div>",
+    "<div class='layout-with-header'><div>{}</div></div>", "<div class='page nav-open'><article>{}</article></div>",
+    "<div id=modal class=search>{}</div>", "<div class=popup><div class=sidebar><main>{}</main></div><div class=comments><article><p>A comment, of some length, but no more.</p></article></div></div>",
+    "<form action=/><input value=x><select><option>o</select>{}<button>Send</button></form>", "<form><div class=menu><ul><li><a href=/>Home</a></ul></div><article>{}</article></form>",
+    "<div class='site-header'><p>Tagline, of the site, and so on, and on.</p></div><div role=form>{}</div>",
+    "<header>{}</header>", "<article>{}</article><div id=comments><article><p>" + LONG * 50 + "</p></article></div>",
+])
+def test_marks_on_what_holds_the_page(page):
+    assert html_text.main_text(page.format(TEXT)) == "\n".join(MANY)
+
+
+def test_marked_parts_within_an_article():
+    parts = f"<div class=section-header><h2>Work</h2></div><div class=related-work><p>{LONG}</p></div><div class=notice><p>Mind this.</p></div>"
+    out = f"<div class=related><a href=a>More of this</a></div><div class=ad>Buy</div><form><label>Mail</label></form><div class=share>Tell, all, of your friends, of this.</div>"
+    for page in ("<article>{}</article>", "<main>{}</main>"):
+        assert html_text.main_text(page.format(TEXT + parts + out)) == "\n".join([*MANY, "Work", LONG, "Mind this."])
+    assert html_text.main_text(f"<div class=post>{TEXT}{parts.replace('notice', 'x')}</div>") == "\n".join([*MANY, "Work", LONG, "Mind this."])
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 3000 + LONG) == LONG
     many = "".join(f"<p>{LONG} {i}</p>" for i in range(3000))
