@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
-from tallyhouse.llm.common import Scratch, without_ids
+from tallyhouse.llm.common import Scratch, quoted, with_row_key, without_ids
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +36,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per pass that the mix makes over a document, in order of training position."""
-    mixed = mixing.mix(docs).filter("passes > 0").groupBy("doc_id").agg(F.max("positions").alias("positions"))
+    keyed, key = with_row_key(docs)
+    mixed = mixing.mix(keyed, row_col=key).filter("passes > 0").select(F.col(key).alias("key"), "positions")
     # columns of the documents stay inside a struct, whatever their names
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("of"))
-    taken = rows.join(mixed, F.col("of").eqNullSafe(F.col("doc_id"))).select("row", "of", "positions")
+    rows = keyed.select(F.struct(*(quoted(c) for c in docs.columns)).alias("row"), F.col("doc_id").alias("of"), F.col(key).alias("key"))
+    taken = rows.join(mixed, "key").select("row", "of", "positions")
     return mixing.training_order(taken, "of").select("row.*")
 
 

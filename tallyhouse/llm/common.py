@@ -30,6 +30,20 @@ def without_white_space(text: str | Column) -> Column:
     return result
 
 
+def quoted(name: str) -> str:
+    """A column's name that may hold dots and backticks."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written once with a number that tells its rows apart, and the name of that column."""
+    name = "_row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    keyed = docs.withColumn(name, F.monotonically_increasing_id())
+    return Scratch(docs.sparkSession, "rows").write(keyed, "keyed"), name
+
+
 #: Ids that may be sent to every task: 16 MB.
 MOST_IDS = 2_000_000
 

@@ -75,3 +75,23 @@ def test_empty_documents(spark, folder, tmp_path):
         out.write.parquet(str(tmp_path / str(i)))
         docs = spark.read.schema(out.schema).parquet(str(tmp_path / str(i)))
         assert docs.count() == 0
+
+
+def repeated(spark, tmp_path, rows):
+    path = str(tmp_path / "documents.parquet")
+    full = [(i, t, "en", s, None, n) for n, (i, t, s) in enumerate(rows)]
+    spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars int, position long").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_mix_takes_each_row_by_its_own_passes(spark, tmp_path):
+    draw = random.Random(21)
+    rows = [(None if n % 3 else 7 if n % 2 else n, " ".join(words(n, draw.randrange(0, 30))), draw.choice("abc")) for n in range(150)]
+    docs = repeated(spark, tmp_path, rows)
+    passes = Counter(r["position"] for r in corpus_pipeline.mix_sources(spark, docs, "").collect())
+    size = [len(t.split()) for _, t, _ in rows]
+    for source in "abc":
+        of = [n for n in range(150) if rows[n][2] == source]
+        target = {r["target"] for r in corpus_pipeline.mixing.mix(docs).filter(f"source_size = {sum(size[n] for n in of)}").collect()}
+        assert len(target) == 1 and abs(sum(passes[n] * size[n] for n in of) - target.pop()) <= 15
+    assert all(size[n] for n in passes)
