@@ -1,8 +1,8 @@
 """From documents to packed training sequences, in stages that are each written and read again.
 
 A stage takes (spark, docs, sf_dir), decides on the documents that the stage before it kept, and returns those
-that stay, with the columns of ``documents``; the last one returns the packing. A doc_id names one document;
-rows without one are scored, mixed and packed, but never dropped as copies.
+that stay, with the columns of ``documents``; the last one returns the packing. What is decided is a row,
+whatever its doc_id: rows that repeat an id, or have none, are documents like all others.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
-from tallyhouse.llm.common import Scratch, quoted, with_row_key, without_ids
+from tallyhouse.llm.common import Scratch, quoted, with_row_key, without_rows
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,14 +24,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is equal but for white space."""
-    groups = exact_dedup.exact_duplicates(docs)
-    return without_ids(docs, groups.filter(~F.col("kept")).select("doc_id"), "doc_id")
+    keyed, key = with_row_key(docs)
+    groups = exact_dedup.exact_duplicates(keyed, row_col=key)
+    return without_rows(keyed, groups.filter(~F.col("kept")).select(key), key)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each component of near copies: five-word shingles, similarity 0.8 or more."""
-    found = jaccard_join.near_duplicates(docs, width=5, percent=80)
-    return without_ids(docs, found.filter("component_id <> doc_id").select("doc_id"), "doc_id")
+    keyed, key = with_row_key(docs)
+    found = jaccard_join.near_duplicates(keyed, width=5, percent=80, row_col=key)
+    return without_rows(keyed, found.filter(~F.col("kept")).select(key), key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,19 +44,20 @@ def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
     return Scratch(docs.sparkSession, "rows").write(keyed, "keyed"), name
 
 
-#: Ids that may be sent to every task: 16 MB.
+#: Row keys that may be sent to every task: 16 MB.
 MOST_IDS = 2_000_000
 
 
-def without_ids(docs: DataFrame, dropped: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` without the ids in the one column of ``dropped``, which is written first.
+def without_rows(keyed: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``keyed`` without its column ``key`` and the rows whose keys are the one column of ``dropped``, which is
+    written first.
 
-    Up to ``MOST_IDS`` ids go to the tasks that read the documents, so that texts stay where they are; more are
-    joined by shuffle. Rows without an id stay.
+    Up to ``MOST_IDS`` keys go to the tasks that read the documents, so that texts stay where they are; more are
+    joined by shuffle.
     """
-    ids = Scratch(docs.sparkSession, "dropped").write(dropped.distinct(), "ids")
-    few = ids.limit(MOST_IDS + 1).count() <= MOST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, id_col, "left_anti")
+    keys = Scratch(keyed.sparkSession, "dropped").write(dropped, "keys")
+    few = keys.limit(MOST_IDS + 1).count() <= MOST_IDS
+    return keyed.join(F.broadcast(keys) if few else keys, key, "left_anti").drop(key)
 
 
 class Scratch:

@@ -11,8 +11,8 @@ Everything is DataFrame code. A group of copies may be of any size: rows meet by
 only one row per salt meets by recipe.
 
 Defined results: a null text counts as empty, and all empty texts are equal. A null doc_id comes after
-all others. Rows that repeat a doc_id with equal text are one document: all or none of them stay. An
-empty table gives an empty result. Columns other than the id and the text are not read.
+all others. Rows that repeat a doc_id with equal text are one document: all or none of them stay,
+unless a column tells the rows apart. An empty table gives an empty result. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -56,16 +56,20 @@ def _later_contents(chunks: DataFrame, scratch: Scratch) -> DataFrame | None:
 
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 64,
-    least: int = 512, most: int = 4096,
+    least: int = 512, most: int = 4096, row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
+    ``row_col`` names a column that tells rows apart (a long). It is then part of the result, and exactly one
+    row of a group is kept, of repeated documents that with the smallest number.
+
     The kept row of a group has the most code points in its original text, then the smallest id.
     ``digest_bits`` below 64 makes digests collide on purpose, to test the verification.
     """
     scratch = Scratch(docs.sparkSession, "exact")
     norm = docs.select(
         F.col(id_col).alias("doc_id"),
+        (F.col(row_col) if row_col else F.lit(0)).cast("long").alias("row"),
         F.char_length(whole_text(text_col)).alias("points"),
         without_white_space(text_col).alias("norm"),
     )
@@ -75,17 +79,17 @@ def exact_duplicates(
     )
     later = _later_contents(chunks, scratch)
     recipes = cut.select(
-        "doc_id", "points", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+        "doc_id", "row", "points", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
         F.transform("chunks", lambda c: _digest(c, digest_bits)).alias("recipe"),
     )
     if later is not None:
         recipes = _told_apart(recipes, cut, later, digest_bits)
-    salt = F.pmod(F.xxhash64("doc_id", "points"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id", "points", "row"), F.lit(SALTS)).cast("int")
     recipes = scratch.write(recipes.withColumn("salt", salt), "recipes")
     if later is not None:
         scratch.release(later)
 
-    rank = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id")
+    rank = F.struct((-F.col("points")).alias("p"), F.col("doc_id").isNull().alias("n"), "doc_id", "row")
     parts = recipes.groupBy("recipe", "salt").agg(
         F.count(F.lit(1)).alias("rows"), F.min(rank).alias("best")
     )
@@ -94,10 +98,10 @@ def exact_duplicates(
         "recipe", "salt", F.sum("rows").over(group).alias("group_size"), F.min("best").over(group).alias("best")
     )
     joined = recipes.join(whole, ["recipe", "salt"])
-    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (-F.col("points") == F.col("best.p"))
+    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (-F.col("points") == F.col("best.p")) & (F.col("row") == F.col("best.row"))
     return joined.select(
         F.col("doc_id").alias(id_col), F.col("best.doc_id").alias("keep_id"), "group_size",
-        same.alias("kept"), "text_sha256",
+        same.alias("kept"), "text_sha256", *([F.col("row").alias(row_col)] if row_col else []),
     )
 
 
@@ -119,7 +123,7 @@ def _told_apart(recipes: DataFrame, cut: DataFrame, later: DataFrame, digest_bit
     found = recipes.join(n, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha")), "left")
     listed = F.flatten(F.transform("numbers", lambda x: F.array(x["place"], x["number"])))
     more = F.when(F.col("numbers").isNull(), F.array().cast("array<bigint>")).otherwise(F.concat(F.array(F.lit(-1).cast("bigint")), listed))
-    return found.select("doc_id", "points", "text_sha256", F.concat("recipe", more).alias("recipe"))
+    return found.select("doc_id", "row", "points", "text_sha256", F.concat("recipe", more).alias("recipe"))
 
 
 #: The same rows in SQL.

@@ -107,8 +107,8 @@ def shingles(text: bytes, width: int) -> np.ndarray:
 
 # --- 1. index -------------------------------------------------------------------------------------
 
-_ROWS = "doc_id long, class long, n long, part int, classes binary, sizes binary, counts binary, hashes binary"
-_NAMES = ["doc_id", "class", "n", "part", "classes", "sizes", "counts", "hashes"]
+_ROWS = "doc_id long, class long, n long, part int, classes binary, sizes binary, counts binary, hashes binary, row long"
+_NAMES = ["doc_id", "class", "n", "part", "classes", "sizes", "counts", "hashes", "row"]
 _BITS = 56
 #: Bytes sent of a shingle: what its part's number does not tell, at 256 parts; with fewer parts, a
 #: shingle is that many bits shorter from here on.
@@ -144,10 +144,12 @@ def _packed(held: dict[int, np.ndarray], parts: int) -> pa.RecordBatch:
             column.append(value)
     none = pa.nulls(len(columns[0]), pa.int64())
     packed = [pa.array(columns[0], pa.int32()), *(pa.array(x, pa.binary()) for x in columns[1:])]
-    return pa.RecordBatch.from_arrays([none, none, none, *packed], _NAMES)
+    return pa.RecordBatch.from_arrays([none, none, none, *packed, none], _NAMES)
 
 
-def _described(docs: DataFrame, id_col: str, text_col: str, width: int, parts: int) -> DataFrame:
+def _described(
+    docs: DataFrame, id_col: str, text_col: str, width: int, parts: int, row_col: str | None = None
+) -> DataFrame:
     """Rows of two kinds from one pass over the texts: documents, and packed shingles by part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +169,7 @@ def _described(docs: DataFrame, id_col: str, text_col: str, width: int, parts: i
                         size += len(found)
                 none = [pa.nulls(len(names), kind) for kind in (pa.int32(), *[pa.binary()] * 4)]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(names, pa.int64()), pa.array(counts, pa.int64()), *none], _NAMES
+                    [rows.column(0), pa.array(names, pa.int64()), pa.array(counts, pa.int64()), *none, rows.column(2)], _NAMES
                 )
                 if size >= BATCH_SHINGLES:
                     yield _packed(held, parts)
@@ -175,12 +177,13 @@ def _described(docs: DataFrame, id_col: str, text_col: str, width: int, parts: i
         if held:
             yield _packed(held, parts)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    row = (F.col(row_col) if row_col else F.lit(0)).cast("long").alias("row")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"), row)
     return rows.mapInArrow(run, _ROWS)
 
 
-_SHARED = "doc_id long, class long, n long, bucket int, classes binary, sizes binary, hashes binary, lists binary"
-_SHARED_NAMES = ["doc_id", "class", "n", "bucket", "classes", "sizes", "hashes", "lists"]
+_SHARED = "doc_id long, class long, n long, bucket int, classes binary, sizes binary, hashes binary, lists binary, row long"
+_SHARED_NAMES = ["doc_id", "class", "n", "bucket", "classes", "sizes", "hashes", "lists", "row"]
 
 
 def _starts(values: np.ndarray) -> np.ndarray:
@@ -214,8 +217,8 @@ def _shared(described: DataFrame, buckets: int) -> DataFrame:
         starts = _starts(bucket[order])
         for a, b in zip(starts, [*starts[1:], len(order)], strict=True):
             rows = order[a:b]
-            cells = [[None]] * 3 + [[bucket[rows[0]]]] + [[x[rows].tobytes()] for x in (owner, size, every, lists)]
-            kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.binary()] * 4
+            cells = [[None]] * 3 + [[bucket[rows[0]]]] + [[x[rows].tobytes()] for x in (owner, size, every, lists)] + [[None]]
+            kinds = [pa.int64()] * 3 + [pa.int32()] + [pa.binary()] * 4 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, kind) for x, kind in zip(cells, kinds, strict=True)], _SHARED_NAMES
             )
@@ -229,7 +232,7 @@ def _shared(described: DataFrame, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(texts.columns, _SHARED_NAMES)
             batch = batch.filter(pc.invert(documents))
             for i in range(batch.num_rows):
-                p, names, sizes, counts, raw = (c[i].as_py() for c in batch.columns[3:])
+                p, names, sizes, counts, raw = (c[i].as_py() for c in batch.columns[3:8])
                 if part is not None and p != part:
                     yield from counted(pieces)
                     pieces = []
@@ -242,7 +245,7 @@ def _shared(described: DataFrame, buckets: int) -> DataFrame:
         if pieces:
             yield from counted(pieces)
 
-    spread = F.coalesce("part", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    spread = F.coalesce("part", F.pmod(F.xxhash64("doc_id", "row"), F.lit(buckets)).cast("int"))
     return described.repartition(spread).sortWithinPartitions("part").mapInArrow(run, _SHARED)
 
 
@@ -515,17 +518,20 @@ def _full_links(index: DataFrame, postings: DataFrame, roots: DataFrame, percent
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id`` (smallest id reachable by links).
 
     Documents link when 100 * shared >= ``percent`` * union of their sets of ``width``-word shingles.
+    ``row_col`` names a column that tells rows apart (a long). It is then part of the result, with ``kept``: true
+    for one row of each component, the first by id and number, and for rows without a shingle.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     parts = _parts_of(spark)
-    shared = scratch.write(_shared(_described(docs, id_col, text_col, width, parts), parts), "shared")
-    documents = scratch.write(shared.filter("bucket IS NULL").select("doc_id", "class", "n"), "documents")
+    shared = scratch.write(_shared(_described(docs, id_col, text_col, width, parts, row_col), parts), "shared")
+    documents = scratch.write(shared.filter("bucket IS NULL").select("doc_id", "class", "n", "row"), "documents")
     index = scratch.write(_index(shared.filter("bucket IS NOT NULL"), percent), "index")
     scratch.release(shared)
     postings = scratch.write(_postings(index), "postings")
@@ -534,23 +540,27 @@ def near_duplicates(
     more = scratch.write(_full_links(index, postings, roots, percent, scratch), "more")
     final = components(links.union(more), scratch)
     scratch.release(index, postings, links, more)
-    return _named(documents, final, id_col)
+    return _named(documents, final, id_col, row_col)
 
 
-def _named(documents: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+def _named(documents: DataFrame, roots: DataFrame, id_col: str, row_col: str | None = None) -> DataFrame:
     """Every document with the smallest id of its component."""
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS)).cast("int")
     salted = documents.withColumn("salt", salt)
-    some = salted.filter("class IS NOT NULL").groupBy("class", "salt").agg(F.min("doc_id").alias("low"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    some = salted.filter("class IS NOT NULL").groupBy("class", "salt").agg(F.min(rank).alias("low"))
     classes = some.groupBy("class").agg(F.min("low").alias("low"))
     rooted = classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "class"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("class", "component_id")
-    told = some.join(named, "class").select("class", "salt", "component_id")
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("first"))
+    named = rooted.join(lowest, "root").select("class", "first")
+    told = some.join(named, "class").select("class", "salt", "first")
     joined = salted.join(told, ["class", "salt"], "left")
+    kept = F.col("first").isNull() | (F.col("row") == F.col("first.row"))
     return joined.select(
-        F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.coalesce("first.doc_id", "doc_id").alias("component_id"),
+        *([F.col("row").alias(row_col), kept.alias("kept")] if row_col else []),
     )
 
 

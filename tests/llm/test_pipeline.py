@@ -95,3 +95,20 @@ def test_mix_takes_each_row_by_its_own_passes(spark, tmp_path):
         target = {r["target"] for r in corpus_pipeline.mixing.mix(docs).filter(f"source_size = {sum(size[n] for n in of)}").collect()}
         assert len(target) == 1 and abs(sum(passes[n] * size[n] for n in of) - target.pop()) <= 15
     assert all(size[n] for n in passes)
+
+
+def test_one_row_of_each_group_of_copies_stays(spark, tmp_path):
+    a, b, c = (" ".join(words(n, 40)) for n in (1, 2, 3))
+    near = " ".join(["edit", *a.split()[1:]])  # one of 36 shingles
+    rows = [(1, a), (1, a), (1, a.replace(" ", "\t")), (None, a), (2, a), (2, b), (None, c), (None, c), (None, ""), (5, " ")]
+    docs = repeated(spark, tmp_path, [(i, t, "s") for i, t in rows])
+    exact = corpus_pipeline.drop_copies(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted((r["doc_id"] or 0, "".join(r["text"].split())) for r in exact) == sorted(
+        (i, "".join(t.split())) for i, t in [(1, a), (2, b), (0, c), (5, "")]
+    )
+    (tmp_path / "near").mkdir()
+    rows = [(1, a), (1, a), (None, near), (2, near), (2, b), (None, c), (None, c + " end"), (None, None), (3, "")]
+    docs = repeated(spark, tmp_path / "near", [(i, t, "s") for i, t in rows])
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert len(kept) == 5 and sum(r["doc_id"] is None for r in kept) == 2
+    assert {(r["doc_id"], r["text"]) for r in kept} >= {(1, a), (2, b), (None, None), (3, "")}
