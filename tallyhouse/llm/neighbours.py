@@ -8,12 +8,13 @@ on is computed again in double precision from the original vectors, a tile keeps
 and a heap merges the tiles.
 
 A tile streams over its candidates and holds one block of queries; of identical vectors in a batch only
-the k + 1 with the smallest ids can be among the k nearest, so a vector that a third of all rows share
+the k with the smallest ids but the query's own can be among the k nearest, and 2 k rows hold these, so a vector that a third of all rows share
 costs no more than others. All queries meet all candidates; the result is exact.
 
 Defined results: vectors that are null, zero, or hold a null or a component that is not finite take no part,
 as query or candidate; nor do rows without an id. Only vectors of equal length are compared. Rows with the
-query's own id are no candidates; other rows that repeat an id count each for itself. A query without
+query's own id are no candidates; other rows that repeat an id count each for itself. Queries of equal
+id and vector are one; an id with several vectors has ranks for each. A query without
 candidates has no row. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -66,8 +67,8 @@ def cosines(some: np.ndarray, other: np.ndarray) -> np.ndarray:
 class _Tile:
     """One block of queries and the best found so far for each."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, keys: list[int], vectors: np.ndarray, k: int) -> None:
+        self.ids, self.keys, self.vectors, self.k = ids, keys, vectors, k
         codes, self.scales, self.lost = quantised(vectors)
         self.codes = codes.astype(np.float32)  # products of int8 are exact sums in float up to 2 ** 24
         self.exact = vectors.shape[1] * 127 * 127 < 1 << 24
@@ -75,19 +76,19 @@ class _Tile:
         self.floor = np.full(len(ids), -np.inf)
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        ids, vectors = _smallest_of_equal(ids, vectors, self.k + 1)
+        ids, vectors = _smallest_of_equal(ids, vectors, self.k)
         codes, scales, lost = quantised(vectors)
         kind = np.float32 if self.exact else np.float64
         product = self.codes.astype(kind, copy=False) @ codes.astype(kind).T
         near = product.astype(np.float64) * (self.scales[:, None] * scales[None, :])
         # a code vector is at most 1 + its loss long; the last term covers rounding of this very sum
         slack = self.lost[:, None] + (1 + self.lost[:, None]) * lost[None, :] + 1e-9
-        if len(ids) > self.k:
-            low = np.partition(near - slack, len(ids) - self.k - 1, axis=1)[:, len(ids) - self.k - 1]
-            floor = np.maximum(self.floor, low)  # one more than k, as the query itself may be there
-        else:
-            floor = self.floor
-        q, c = np.nonzero((near + slack >= floor[:, None]) & (self.ids[:, None] != ids[None, :]))
+        own = self.ids[:, None] == ids[None, :]
+        near[own] = -np.inf  # however often the query's id is there, it counts for nothing
+        floor = self.floor
+        if len(ids) >= self.k:
+            floor = np.maximum(floor, np.partition(near - slack, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
+        q, c = np.nonzero((near + slack >= floor[:, None]) & ~own)
         for at in range(0, len(q), PAIRS):
             some, other = q[at : at + PAIRS], c[at : at + PAIRS]
             score = cosines(self.vectors[some], vectors[other])
@@ -100,21 +101,30 @@ class _Tile:
         self.floor = np.array([h[0][0] if len(h) == self.k else -np.inf for h in self.best])
 
     def rows(self) -> pa.RecordBatch:
-        found = [(q, -name, score) for q, heap in zip(self.ids.tolist(), self.best, strict=True) for score, name in heap]
-        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        queries = zip(self.ids.tolist(), self.keys, self.best, strict=True)
+        found = [(q, key, -name, score) for q, key, heap in queries for score, name in heap]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         cells = [pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(cells, ["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays(cells, ["query_id", "key", "vec_id", "score"])
 
 
 def _smallest_of_equal(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each set of identical vectors, the ``most`` with the smallest ids."""
+    """Of each set of identical vectors, enough for any query to find the ``most`` with the smallest ids but its own.
+
+    Of one id ``most`` rows suffice, and then a query's own id has no more than these among the first.
+    """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
     _, kind = np.unique(vectors.view(np.dtype((np.void, vectors.shape[1] * 8))).ravel(), return_inverse=True)
     by_kind = np.argsort(kind, kind="stable")
     starts = np.flatnonzero(np.r_[True, np.diff(kind[by_kind]) != 0])
-    nth = np.arange(len(ids)) - np.repeat(starts, np.diff(np.r_[starts, len(ids)]))
-    keep = np.sort(by_kind[nth < most])
+    sorted_ids = ids[by_kind]
+    runs = np.flatnonzero(np.r_[True, (np.diff(kind[by_kind]) != 0) | (np.diff(sorted_ids) != 0)])
+    of_id = np.arange(len(ids)) - np.repeat(runs, np.diff(np.r_[runs, len(ids)]))
+    few = of_id < most
+    nth = np.cumsum(few) - few  # rows kept before, of any vector
+    nth -= np.repeat(nth[starts], np.diff(np.r_[starts, len(ids)]))
+    keep = np.sort(by_kind[few & (nth < 2 * most)])
     return ids[keep], vectors[keep]
 
 
@@ -160,24 +170,25 @@ def nearest(
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    asked = usable.filter(queries).select("*", block(q_blocks).alias("q"), every(c_blocks).alias("c"), F.lit(0).alias("side"))
+    # repeated rows ask once; an id with several vectors asks with each
+    asked = usable.filter(queries).dropDuplicates(["vec_id", "vector"]).select("*", block(q_blocks).alias("q"), every(c_blocks).alias("c"), F.lit(0).alias("side"))
     there = usable.select("*", every(q_blocks).alias("q"), block(c_blocks).alias("c"), F.lit(1).alias("side"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, tile, names, cells, side, size = None, None, [], [], 0, 0
+        unit, tile, names, keys, cells, side, size = None, None, [], [], [], 0, 0
 
         def take() -> None:
-            nonlocal tile, names, cells
+            nonlocal tile, names, keys, cells
             if names:
                 ids, vectors = np.array(names, np.int64), _vectors(cells, size)
                 if side == 0:
-                    tile = _Tile(ids, vectors, k)
+                    tile = _Tile(ids, keys, vectors, k)
                 elif tile is not None:
                     tile.meet(ids, vectors)
-            names, cells = [], []
+            names, keys, cells = [], [], []
 
         for batch in batches:
-            for *key, next_side, name, vector in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *key, next_side, name, own_key, vector in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != unit:
                     take()
                     if tile is not None:
@@ -189,17 +200,18 @@ def nearest(
                 elif side == 1 and len(names) == STEP:
                     take()
                 names.append(name)
+                keys.append(own_key)
                 cells.append(vector)
         take()
         if tile is not None:
             yield tile.rows()
 
-    tiles = asked.union(there).select("q", "c", "size", "side", "vec_id", "vector").repartition("q", "c", "size")
+    tiles = asked.union(there).select("q", "c", "size", "side", "vec_id", own.alias("key"), "vector").repartition("q", "c", "size")
     ordered = tiles.sortWithinPartitions("q", "c", "size", "side", "vec_id")
-    partly = ordered.mapInArrow(run, "query_id long, vec_id long, score double")
+    partly = ordered.mapInArrow(run, "query_id long, key long, vec_id long, score double")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query, heap = None, []
+        query, vector, heap = None, None, []
 
         def rows() -> pa.RecordBatch:
             best = heapq.nsmallest(k, heap)
@@ -210,16 +222,16 @@ def nearest(
             )
 
         for batch in batches:
-            for name, other, score in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if query is not None and name != query:
+            for name, key, other, score in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if query is not None and (name, key) != (query, vector):
                     yield rows()
                     heap = []
-                query = name
+                query, vector = name, key
                 heap.append((-score, other))
         if heap:
             yield rows()
 
-    by_query = partly.repartition("query_id").sortWithinPartitions("query_id")
+    by_query = partly.repartition("query_id").sortWithinPartitions("query_id", "key")
     return by_query.mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 

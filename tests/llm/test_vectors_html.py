@@ -63,6 +63,21 @@ def test_no_vectors(spark):
     assert neighbours.nearest(one, F.col("vec_id") % 5 == 0).collect() == []
 
 
+@pytest.mark.parametrize("blocks", [(2048, 16_384), (3, 20)])
+def test_repeated_queries_ask_once(spark, blocks):
+    draw = np.random.default_rng(9)
+    rows = [(i, draw.normal(size=4).tolist()) for i in range(60)]
+    rows += [rows[0]] * 8 + [rows[20]] * 3  # more than k times
+    rows += [(70 + i, rows[0][1]) for i in range(9)] + [(61, rows[20][1])] * 7  # as a query's, at other ids
+    rows += [(40, draw.normal(size=4).tolist())]  # a second vector of a query's id
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = neighbours.nearest(df, F.col("vec_id") % 20 == 0, query_block=blocks[0], candidate_block=blocks[1])
+    expected = []
+    for i, v in {(i, tuple(v)) for i, v in rows if i % 20 == 0}:
+        expected += [r for r in brute_force([(i, v)] + [r for r in rows if r[0] != i], 5, lambda x, i=i: x == i)]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(1)
     a = draw.normal(size=(200, 16)) * draw.lognormal(sigma=2, size=(200, 16))
