@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Scratch, word_count
+from tallyhouse.llm.common import Scratch, whole_text, word_count
 
 #: Permitted sequence lengths in words.
 LENGTHS = (512, 1024, 2048, 4096)
@@ -100,12 +100,13 @@ def pack(
     lengths = tuple(sorted(set(lengths)))
     longest = lengths[-1]
     scratch = Scratch(docs.sparkSession, "pack")
-    counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_count(text_col).alias("words"))
+    counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), word_count(text_col).alias("words"), F.xxhash64(whole_text(text_col)).alias("digest"))
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("words") - 1, F.lit(longest).cast("long")))
-    pieces = counted.filter("words > 0").select("doc_id", "words", starts.alias("start")).select(
+    pieces = counted.filter("words > 0").select("doc_id", "words", "digest", starts.alias("start")).select(
         "doc_id", F.floor(F.col("start") / longest).cast("int").alias("piece"), "start",
         F.least(F.col("words") - F.col("start"), F.lit(longest)).cast("int").alias("size"),
-    ).withColumn("hash", F.xxhash64("doc_id", "piece"))
+        F.xxhash64("doc_id", F.floor(F.col("start") / longest), "digest").alias("hash"),  # ids may be missing or repeat
+    )
     pieces = scratch.write(pieces, "pieces")
     shards = max(1, -(-pieces.count() // shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod("hash", F.lit(shards)).cast("int"))

@@ -155,3 +155,19 @@ def test_joint_lengths_cost_no_more_than_one_length():
         _, several = packing.pack_shard(sizes, (16, 32, 64), 3)
         _, one = packing.pack_shard(sizes, (64,), 3)
         assert sum(several) + 3 * len(several) <= sum(one) + 3 * len(one)
+
+
+def test_rows_without_an_id_spread(documents, monkeypatch):
+    rows = [(None, " ".join(words(i, 5)), "a") for i in range(200)]
+    got = packing.pack(documents(*[r[:2] for r in rows]), lengths=(16,), shard_pieces=20).collect()
+    assert len(got) == 200 and len({r["bin_id"] >> 32 for r in got}) == 10
+    written = {}
+
+    class Recording(mixing.Scratch):
+        def write(self, df, name):
+            written[name] = super().write(df, name)
+            return written[name]
+
+    monkeypatch.setattr(mixing, "Scratch", Recording)
+    assert mixing.mix(documents(*rows)).count() == 200
+    assert written["sizes"].select("bucket").distinct().count() > 150
