@@ -11,13 +11,16 @@ from tallyhouse.llm import (
     exact_dedup,
     html_text,
     jaccard_join,
+    language,
     mixing,
     neighbours,
     packing,
     quality,
+    spelling,
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 
 
@@ -79,6 +82,22 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 32 whitened components of every vector."""
+    return whitening.whiten(_table(spark, folder, "embeddings"), components=32)
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequent words of all documents with their usual form and its root."""
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, with spans where it is mixed."""
+    documents = _table(spark, folder, "documents")
+    return language.identify(documents, language.learn(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_url_filter": op2_url_filter,
@@ -90,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_language": op13_language,
 }
 
 STATEMENTS: dict[str, str] = {

@@ -16,6 +16,9 @@ COLUMNS = {
     "op7_html_text": {"page_id", "url", "text", "n_chars"},
     "op9_packing": {"doc_id", "start", "size", "bin_id", "bin_length", "place"},
     "op10_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op11_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op12_spelling": {"word", "n", "n_near", "form", "form_n", "root"},
+    "op13_language": {"doc_id", "held_out", "lang_pred", "score"},
 }
 
 
@@ -33,9 +36,9 @@ def content(columns, rows):
     return sorted(columns), sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     registered = entry_points.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) <= set(registered) and registered["pipeline"] is corpus_pipeline.run
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact dedup", "n-gram Jaccard join", "mixing sources to target weights", "best-fit packing",
@@ -56,5 +59,5 @@ def test_query(spark, db, name):
 
 def test_one_row_per_document(spark):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-    for name in ("op1_token_files", "op4_quality", "op10_toxicity"):
+    for name in ("op1_token_files", "op4_quality", "op10_toxicity", "op13_language"):
         assert QUERIES[name](spark, FOLDER).count() == documents
