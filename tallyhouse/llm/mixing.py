@@ -95,7 +95,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent
         (F.sum("source_size").over(everything) * percent - 100 * F.coalesce(F.sum("most").over(before), F.lit(0))).alias("left"),
         (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0))).alias("by"),
     )
-    capped = (100 * F.col("most") * F.col("by") <= F.col("left") * F.col("weight")).cast("int")
+    # with many sources the products pass a long
+    wide = {name: F.col(name).cast("decimal(38,0)") for name in ("most", "by", "left", "weight")}
+    capped = (F.lit(100).cast("decimal(38,0)") * wide["most"] * wide["by"] <= wide["left"] * wide["weight"]).cast("int")
     free = F.col("capped") == 0
     level = level.withColumn("capped", capped)
     # of the sources below their cap, the first has the whole rest before it
@@ -174,7 +176,7 @@ def training_order(mixed: DataFrame, *order: str) -> DataFrame:
     return passes.repartitionByRange("position", *order).sortWithinPartitions("position", *order)
 
 
-#: The same amounts in SQL, with the first position.
+#: The same amounts and positions in SQL. A source demands ``due`` words in all, of which a share is due at a time.
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS hash,
@@ -203,6 +205,22 @@ p AS (
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
 q AS (
   SELECT *, CASE WHEN size = 0 THEN 0 ELSE whole + CAST(whole < 2
-    AND 2 * before + size <= 2 * (target - whole * source_size) AS BIGINT) END AS passes FROM p)
-SELECT doc_id, size, source_size, target, passes, passes * size AS taken FROM q
+    AND 2 * before + size <= 2 * (target - whole * source_size) AS BIGINT) END AS passes FROM p),
+v AS (SELECT unnest([0, 1, 2]) AS kind, unnest([1.5, 1.0, 0.5]::DOUBLE[]) AS a, unnest([1.0, 1.0, 1.0]::DOUBLE[]) AS b, unnest([0.5, 1.0, 1.5]::DOUBLE[]) AS c),
+h AS (
+  SELECT q.*, a, b, c, (a + b) / 4 AS early, (a + b) / 4 + (b + c) / 4 AS whole_area, before + size / 2.0::DOUBLE AS middle,
+         greatest(target, CAST(whole * source_size AS DOUBLE), 1.0::DOUBLE) AS due
+  FROM q JOIN v ON place % 3 = kind),
+e AS (
+  SELECT *, least(middle / due, 1.0) * whole_area AS area1, least(((passes - 1) * source_size + middle) / due, 1.0) * whole_area AS area2
+  FROM h),
+r AS (
+  SELECT *,
+    least(CASE WHEN area1 <= early THEN 2.0 * area1 / (a + sqrt(greatest(a * a + 2 * ((b - a) / 0.5) * area1, 0.0)))
+      ELSE 0.5 + 2.0 * (area1 - early) / (b + sqrt(greatest(b * b + 2 * ((c - b) / 0.5) * (area1 - early), 0.0))) END, 1.0) AS p1,
+    least(CASE WHEN area2 <= early THEN 2.0 * area2 / (a + sqrt(greatest(a * a + 2 * ((b - a) / 0.5) * area2, 0.0)))
+      ELSE 0.5 + 2.0 * (area2 - early) / (b + sqrt(greatest(b * b + 2 * ((c - b) / 0.5) * (area2 - early), 0.0))) END, 1.0) AS p2
+  FROM e)
+SELECT doc_id, size, source_size, target, passes, passes * size AS taken,
+       CASE WHEN passes > 0 THEN p1 END AS first_position, CASE WHEN passes > 0 THEN p2 END AS last_position FROM r
 """
