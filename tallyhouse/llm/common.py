@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.session import scratch_path
@@ -35,13 +36,33 @@ def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
+#: Files whose numbers are sent to every task (some 10 MB).
+MOST_FILES = 100_000
+#: Bits of a row's number within its file.
+ROW_BITS = 40
+
+
 def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs``, written once with a number that tells its rows apart, and the name of that column."""
+    """``docs`` with a number that tells its rows apart, and the name of that column.
+
+    Rows of Parquet files have one already, by file and place within it, which every scan finds again, so that no
+    copy is needed. Other rows are written once. A file may be read only once by ``docs``.
+    """
     name = "_row"
     while name in map(str.lower, docs.columns):
         name += "_"
-    keyed = docs.withColumn(name, F.monotonically_increasing_id())
-    return Scratch(docs.sparkSession, "rows").write(keyed, "keyed"), name
+    scratch = Scratch(docs.sparkSession, "rows")
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(f"{name}f"), F.col("_metadata.row_index").alias(f"{name}i"))
+    except AnalysisException:  # not read from Parquet files
+        return scratch.write(docs.withColumn(name, F.monotonically_increasing_id()), "keyed"), name
+    in_order = Window.orderBy(f"{name}f")  # a row per file
+    files = placed.select(f"{name}f").distinct().withColumn(f"{name}n", F.row_number().over(in_order).cast("long"))
+    files = scratch.write(files, "files")
+    few = files.limit(MOST_FILES + 1).count() <= MOST_FILES
+    key = F.shiftleft(F.col(f"{name}n"), ROW_BITS) + F.col(f"{name}i")
+    keyed = placed.join(F.broadcast(files) if few else files, f"{name}f")
+    return keyed.select(*map(quoted, docs.columns), key.alias(name)), name
 
 
 #: Row keys that may be sent to every task: 16 MB.
@@ -49,7 +70,7 @@ MOST_IDS = 2_000_000
 
 
 def without_rows(keyed: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """``keyed`` without its column ``key`` and the rows whose keys are the one column of ``dropped``, which is
+    """``keyed`` without its column ``key`` and without the rows whose keys are the one column of ``dropped``, which is
     written first.
 
     Up to ``MOST_IDS`` keys go to the tasks that read the documents, so that texts stay where they are; more are

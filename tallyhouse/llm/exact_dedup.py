@@ -133,7 +133,7 @@ WITH d AS (
          regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm
   FROM documents),
 g AS (
-  SELECT *, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size
+  SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS nth, count(*) OVER (PARTITION BY norm) AS group_size
   FROM d WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id))
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(norm) AS text_sha256 FROM g
 """

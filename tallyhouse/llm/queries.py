@@ -22,6 +22,7 @@ from tallyhouse.llm import (
     url_filter,
     whitening,
 )
+from tallyhouse.llm.common import with_row_key
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,8 +58,9 @@ def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups of documents that are equal but for white space."""
-    return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
+    """Groups of documents that are equal but for white space; one row of each stays."""
+    keyed, key = with_row_key(_table(spark, folder, "documents"))
+    return exact_dedup.exact_duplicates(keyed, row_col=key).drop(key)
 
 
 def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,9 +69,14 @@ def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """Words of each document that the mix takes."""
+    """Words of each document that the mix takes and when, in the order of its first and last use in training."""
     mixed = mixing.mix(_table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "passes", "taken")
+    # null where a document is not taken
+    used = mixed.withColumn("first_position", F.try_element_at("positions", F.lit(1)))
+    used = used.withColumn("last_position", F.try_element_at("positions", F.lit(-1)))
+    shown = used.select("doc_id", "size", "source_size", "target", "passes", "taken", "first_position", "last_position")
+    order = ["first_position", "last_position", "doc_id"]
+    return shown.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:

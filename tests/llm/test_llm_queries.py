@@ -61,3 +61,16 @@ def test_one_row_per_document(spark):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
     for name in ("op1_token_files", "op4_quality", "op10_toxicity", "op13_language"):
         assert QUERIES[name](spark, FOLDER).count() == documents
+
+
+def test_mix_runs_its_curriculum(spark):
+    """What the query returns needs the inverted schedules and the order by position."""
+    plan = QUERIES["op8_mixing"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "SQRT" in plan.upper() and "transform(" in plan and "RepartitionByExpression [first_position" in plan
+
+
+def test_one_of_repeated_rows_stays(spark, tmp_path):
+    rows = [(1, "a b"), (1, "a b"), (2, "ab"), (None, "c"), (None, "c"), (None, None), (3, " ")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op6_exact_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["kept"]) for r in got) == [(0, False), (0, False), (0, True), (1, False), (1, True), (2, False), (3, True)]
