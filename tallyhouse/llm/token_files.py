@@ -11,8 +11,8 @@ The file format is a Parquet table with one row per block of documents in ascend
 of parts with the ids before each. Parquet lets any reader take the blocks it needs, and tasks commit
 whole files, so that a lost executor leaves no half block.
 
-Texts are encoded once. Words repeat, so each worker keeps the ids of words it has met; the cache is bounded
-and only saves time. What goes to the driver is one count per id of the vocabulary, whose size is fixed.
+Texts are encoded once. Words repeat, so those of a batch are told apart first, and each worker keeps the
+ids of words it has met; the cache is bounded and only saves time. What goes to the driver is one count per id of the vocabulary, whose size is fixed.
 
 Defined results: a null text counts as empty and gives just the end id. Rows that repeat a doc_id are
 documents of their own, next to each other; a null doc_id comes first. An empty table gives an empty
@@ -23,12 +23,13 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
-from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,8 +40,10 @@ from tokenizers import Tokenizer
 from tallyhouse.llm.common import Scratch, whole_text
 from tallyhouse.session import scratch_path
 
-#: Words a worker remembers before it forgets them all.
-CACHE_WORDS = 1_000_000
+#: Words of a worker's cache, of which there are a present and a former one.
+CACHE_WORDS = 500_000
+#: Documents encoded together.
+STEP_DOCUMENTS = 1000
 BLOCK_IDS = 1 << 20
 
 
@@ -49,86 +52,120 @@ def _kind(vocabulary_size: int) -> str:
     return "<u2" if vocabulary_size <= 1 << 16 else "<u4"
 
 
+class _ByteLetters(dict):
+    """Letters as the tokenizer's byte-level step spells them, asked for once."""
+
+    def __init__(self, spell) -> None:
+        self._spell = spell
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(part for part, _ in self._spell(chr(code)))
+        return self[code]
+
+
 class WordEncoder:
-    """Texts in UTF-8 to packed ids, equal to encoding each text whole.
+    """Texts to packed ids, equal to encoding each text whole.
 
-    The tokenizer drops white space and lower-cases, so words can be encoded one by one. Words of letters
-    alone have one token that ends a word, their last; they are encoded many at a time and split there. A
-    comma or full stop after letters is a token of its own. A text that may spell a special token is left to
-    the tokenizer as it is.
+    The tokenizer drops white space and lower-cases, so words can be encoded one by one, and each distinct word
+    of a batch once. Words of plain letters are one piece for the tokenizer's model, which is asked directly; other
+    words pass the whole tokenizer. A comma or full stop after letters is a token of its own. A text that may
+    spell a special token is left to the tokenizer as it is.
     """
 
-    def __init__(self, path: str, most_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, end_id: int | None = None, most_words: int = CACHE_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._letters = _ByteLetters(self._tokenizer.pre_tokenizer.pre_tokenize_str)
         self._most_words = most_words
-        size = self._tokenizer.get_vocab_size()
-        self._kind = np.dtype(_kind(size))
-        self._known: dict[bytes, bytes] = {}
-        self._ends = np.zeros(size, bool)
-        self._ends[[i for token, i in self._tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-        self._marks = dict(zip((b",", b"."), self._each([",", "."]), strict=True))
+        self._kind = np.dtype(_kind(self._tokenizer.get_vocab_size()))
+        self._end = b"" if end_id is None else np.array([end_id], self._kind).tobytes()
+        self._known: dict[str, bytes] = {}
+        self._former: dict[str, bytes] = {}
+        self._marks = dict(zip(",.", self._each([",", "."]), strict=True))
 
     def _each(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, self._kind).tobytes() for x in found]
 
-    def _learn(self, words: set[bytes]) -> None:
-        known = self._known
-        marked = {w: w[:-1] for w in words if w[-1:] in self._marks and w[:-1].isalpha()}
-        plain = {w for w in words if w not in marked} | {w for w in marked.values() if w not in known}
-        simple, other = [], []
+    def _learn(self, words: list[str]) -> None:
+        known, tokenize = self._known, self._model.tokenize
+        code = "H" if self._kind.itemsize == 2 else "I"
+        marked, other = [], []
+        plain = dict.fromkeys(words)
+        for word in words:
+            if word[-1:] in self._marks and word[:-1].isalpha():
+                marked.append(word)
+                del plain[word]
+                if word[:-1] not in known:
+                    plain[word[:-1]] = None
         for word in plain:
-            text = word.decode()
-            letters = text.isalpha() and (text.isascii() or text.lower().isalpha() and is_normalized("NFC", text))
-            (simple if letters else other).append((word, text))
-        if simple:
-            lines = [" ".join([x for _, x in simple[i : i + 100]]) for i in range(0, len(simple), 100)]
-            raw = b"".join(self._each(lines))
-            ends = ((np.flatnonzero(self._ends[np.frombuffer(raw, self._kind)]) + 1) * self._kind.itemsize).tolist()
-            if len(ends) == len(simple):
-                known.update((w, raw[a:b]) for (w, _), a, b in zip(simple, [0, *ends], ends, strict=False))
+            if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
+                spelt = word if word.isascii() else word.lower().translate(self._letters)
+                known[word] = array(code, [t.id for t in tokenize(spelt)]).tobytes()
             else:
-                other += simple
-        known.update(zip([w for w, _ in other], self._each([x for _, x in other]), strict=True))
-        known.update((w, known[base] + self._marks[w[-1:]]) for w, base in marked.items())
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        get = self._known.get
-        parts = [[] if b"<|" in t else t.lower().split() for t in texts]
-        found = [list(map(get, words)) for words in parts]
-        open_texts = [i for i, ids in enumerate(found) if None in ids]
-        if open_texts:
-            missing = {w for i in open_texts for w, ids in zip(parts[i], found[i], strict=True) if ids is None}
-            if len(self._known) + len(missing) > self._most_words:
-                self._known.clear()
-                missing = set().union(*[parts[i] for i in open_texts])
-            self._learn(missing)
-            for i in open_texts:
-                found[i] = list(map(get, parts[i]))
-        return [
-            self._each([text.decode()])[0] if b"<|" in text else b"".join(ids)
-            for text, ids in zip(texts, found, strict=True)
-        ]
+                other.append(word)
+        known.update(zip(other, self._each(other), strict=True))
+        known.update((w, known[w[:-1]] + self._marks[w[-1]]) for w in marked)
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        found = list(map(self._known.get, words))
+        if None in found:
+            missing = [w for w, ids in zip(words, found, strict=True) if ids is None]
+            if self._known and len(self._known) + len(missing) > self._most_words:
+                self._former, self._known, missing = self._known, {}, words
+            former = self._former
+            self._known.update((w, former[w]) for w in missing if w in former)
+            self._learn([w for w in missing if w not in self._known])
+            found = list(map(self._known.get, words))
+        return found
+
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """The packed ids of each text, with the end id, as binary."""
+        texts = texts.cast(pa.string())
+        special = pc.match_substring(texts, "<|")
+        whole = {}
+        if pc.any(special).as_py():
+            at = np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist()
+            whole = dict(zip(at, self._each([texts[i].as_py() for i in at]), strict=True))
+            texts = pc.if_else(special, "", texts)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words = split.flatten().dictionary_encode()
+        ids = pa.array([*self._ids_of(words.dictionary.to_numpy(zero_copy_only=False).tolist()), self._end], pa.large_binary())
+        # the end id is one more word of each text
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False)) + np.arange(len(texts))
+        met = np.empty(len(words) + len(texts), np.int32)
+        is_word = np.ones(len(met), bool)
+        is_word[ends] = False
+        met[ends] = len(ids) - 1
+        met[is_word] = words.indices.to_numpy(zero_copy_only=False)
+        packed = ids.take(pa.array(met))
+        _, places, data = packed.buffers()
+        offsets = np.concatenate([[0], np.frombuffer(places, np.int64)[1:][ends]])
+        if offsets[-1] < 1 << 31 and not whole:
+            return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int32)), data])
+        raw = memoryview(data)
+        rows = [bytes(raw[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)]
+        for i, ids_of_text in whole.items():
+            rows[i] = ids_of_text + self._end
+        return pa.array(rows, pa.binary())
 
 
 @cache
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, end_id: int) -> WordEncoder:
     """One per worker, which serves many tasks."""
-    return WordEncoder(path)
+    return WordEncoder(path, end_id)
 
 
-def encoded(docs: DataFrame, vocabulary: str, vocabulary_size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, packed ids with the end id)."""
-    end = np.array([end_id], _kind(vocabulary_size)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary)
+        encode = _encoder(vocabulary, end_id)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [x + end for x in encode(part.column(1).cast(pa.binary()).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for at in range(0, batch.num_rows, STEP_DOCUMENTS):
+                part = batch.slice(at, STEP_DOCUMENTS)
+                yield pa.RecordBatch.from_arrays([part.column(0), encode(part.column(1))], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary")
@@ -222,7 +259,7 @@ def write_token_files(
     """Encode all documents and write ``path``/ranks, ``path``/blocks and ``path``/parts."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
-    ids = scratch.write(encoded(docs, vocabulary, vocabulary_size, end_id, id_col, text_col), "ids")
+    ids = scratch.write(encoded(docs, vocabulary, end_id, id_col, text_col), "ids")
     counts = id_counts(ids, vocabulary_size).toPandas()  # at most a row per id of the vocabulary
     frequency = np.zeros(vocabulary_size, np.int64)
     frequency[counts["id"].to_numpy()] = counts["n"].to_numpy()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,18 +43,20 @@ def whole(texts):
 
 @pytest.mark.parametrize("most_words", [3, 1_000_000])
 def test_words_encode_as_whole_texts(most_words):
-    encoder = token_files.WordEncoder(VOCABULARY, most_words)
-    raw = [(t or "").encode() for t in TEXTS]
-    for texts in (raw, raw[::-1], raw[:3]):
-        expected = whole([t.decode() for t in texts])
-        assert [np.frombuffer(x, "<u2").tolist() for x in encoder(texts)] == expected
+    encoder = token_files.WordEncoder(VOCABULARY, most_words=most_words)
+    given_texts = [t or "" for t in TEXTS]
+    without = [t for t in given_texts if "<|" not in t]
+    for texts in (given_texts, given_texts[::-1], given_texts[:3], without, []):
+        got = [np.frombuffer(x, "<u2").tolist() for x in encoder(pa.array(texts, pa.string())).to_pylist()]
+        assert got == whole(texts)
 
 
 @settings(max_examples=80, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text(text):
-    encoder = token_files._encoder(VOCABULARY)
-    assert np.frombuffer(encoder([text.encode()])[0], "<u2").tolist() == whole([text])[0]
+    encoder = token_files._encoder(VOCABULARY, 1)
+    got = encoder(pa.array([text, "é", text])).to_pylist()
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [[*x, 1] for x in whole([text, "é", text])]
 
 
 def test_files(documents, spark, tmp_path):
