@@ -636,3 +636,14 @@ _add("st_dedup", f"SELECT batch_day, {_N}, {_sum('amount', 'total_amount')} FROM
 _add("st_lookup", f"SELECT merchant_key, {_N}, {_sum('amount', 'total_amount')} FROM batches b LEFT JOIN dim_merchants d "
      "ON b.merchant_id = d.merchant_id GROUP BY merchant_key", _STAR + "," + _BATCHES)
 _add("st_upsert", f"SELECT CAST(transaction_timestamp AS DATE) AS event_date, {_N}, {_sum('amount', 'total_amount')} FROM merged GROUP BY 1", _MERGED)
+_add("st_upsert_partitions", f"SELECT CAST(transaction_timestamp AS DATE) AS event_date, {_N}, {_sum('amount', 'total_amount')} FROM merged GROUP BY 1", _MERGED)
+_add("inc_merge_on_read", "SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, updated_at, transaction_status FROM merged", _MERGED)
+_add("inc_fiscal_quarter", f"SELECT d.fiscal_year, d.day_of_week_name, {_N}, {_sum('amount', 'total_amount')}, {_avg('amount', 'avg_amount')} "
+     "FROM fact f JOIN dim_date d ON f.date_key = d.date_key WHERE d.fiscal_quarter = 3 GROUP BY 1, 2", _FACT)
+_add("distinct_by_month", "SELECT CAST(date_key // 100 AS BIGINT) AS month_key, count(DISTINCT customer_key) AS unique_customers FROM fact "
+     "WHERE date_key IS NOT NULL AND customer_key IS NOT NULL GROUP BY 1", _FACT)
+_add("distinct_by_category", "SELECT product_category, CAST(date_key // 10000 AS BIGINT) AS year, count(DISTINCT customer_key) AS unique_customers "
+     "FROM fact WHERE date_key IS NOT NULL AND customer_key IS NOT NULL GROUP BY 1, 2", _FACT)
+_add("distinct_trailing_week", "SELECT e.full_date AS span_end, count(DISTINCT f.customer_key) AS unique_customers "
+     "FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_date e ON e.full_date BETWEEN d.full_date AND d.full_date + 6 "
+     "WHERE f.customer_key IS NOT NULL GROUP BY 1", _FACT)

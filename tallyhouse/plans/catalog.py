@@ -16,9 +16,10 @@ from tallyhouse.functions import draws, ids
 from tallyhouse.functions.dates import shift_minutes
 from tallyhouse.functions.money import as_double, average_2dp, percent_2dp
 from tallyhouse.operators import (
-    conform, dimensions, generate, incremental, keys, metrics, quality, scd,
+    conform, dimensions, distinct, generate, incremental, keys, metrics, quality, scd,
 )
 from tallyhouse.operators.fact import FOREIGN_KEYS, build_fact
+from tallyhouse.operators.merge_on_read import MergeTable
 from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
 from tallyhouse.plans.warehouse import build_warehouse, warehouse_of
@@ -264,6 +265,40 @@ def star_cube(spark, folder):
     )
 
 
+@shared
+def _customer_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Bitmaps of the customers of each day and product category; the last year's days come as a batch of their own."""
+    fact = warehouse_of(spark, folder).fact.select("date_key", "product_category", "customer_key")
+    last = fact.agg(F.max("date_key")).scalar()
+    late = F.col("date_key") > last - 10_000
+    first, more = (
+        distinct.daily_bitmaps(part, "customer_key", by=["product_category"])
+        for part in (fact.filter(~late), fact.filter(late | (F.col("date_key") % 7 == 0)))
+    )
+    return stage(distinct.with_new_days(first, more), "customer_bitmaps")
+
+
+@query("distinct_by_month")
+def distinct_by_month(spark, folder):
+    """Customers of each month, from the stored bitmaps of its days."""
+    month = F.floor(F.col("date_key") / 100).alias("month_key")
+    return distinct.distinct_over(_customer_bitmaps(spark, folder), month, name="unique_customers")
+
+
+@query("distinct_by_category")
+def distinct_by_category(spark, folder):
+    """Customers of each product category and year, from the stored bitmaps."""
+    year = F.floor(F.col("date_key") / 10_000).alias("year")
+    return distinct.distinct_over(_customer_bitmaps(spark, folder), "product_category", year, name="unique_customers")
+
+
+@query("distinct_trailing_week")
+def distinct_trailing_week(spark, folder):
+    """Customers of the seven days up to each day, from the stored bitmaps."""
+    bitmaps = _customer_bitmaps(spark, folder)
+    return distinct.trailing_distinct(bitmaps, warehouse_of(spark, folder).date, 7, "unique_customers")
+
+
 @query("date_weekends")
 def date_weekends(spark, folder):
     """A reading of the built calendar, which is small whatever the data."""
@@ -822,6 +857,34 @@ def inc_month_partitions(spark, folder):
     )
 
 
+@shared
+def _monthly_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact in a folder per month."""
+    monthly = warehouse_of(spark, folder).fact.withColumn("txn_month", tables.month_of(F.col("transaction_timestamp")))
+    path = scratch_path(spark, "fact_by_month")
+    tables.write_by_partition(monthly, path, "txn_month")
+    return spark.read.schema(monthly.schema).parquet(path)
+
+
+@query("inc_fiscal_quarter")
+def inc_fiscal_quarter(spark, folder):
+    """Sales of the third fiscal quarter; only the folders of its months are read."""
+    return reports.fiscal_quarter_sales(_monthly_fact(spark, folder), warehouse_of(spark, folder).date, 3)
+
+
+@query("inc_merge_on_read")
+def inc_merge_on_read(spark, folder):
+    """Corrections in two batches beside a base of events: rows as read before a compaction."""
+    batches = incremental.with_event_date(_batches(spark, folder))
+    table = MergeTable(spark, scratch_path(spark, "merge"), batches.schema, "transaction_id", incremental.change_time(), "event_date")
+    table.create(batches)
+    changes = incremental.with_event_date(_corrections(_batches(spark, folder)))
+    fresh = F.col("transaction_id").startswith("NEW-")
+    table.append(changes.filter(fresh), 1)
+    table.append(changes.filter(~fresh), 2)
+    return shown(table.read().select("transaction_id", "amount", "updated_at", "transaction_status"))
+
+
 @query("inc_clustered")
 def inc_clustered(spark, folder):
     fact = warehouse_of(spark, folder).fact
@@ -1171,7 +1234,21 @@ def st_lookup(spark, folder):
 
 @query("st_upsert")
 def st_upsert(spark, folder):
-    """Events, and a trigger later their corrections; the newest row per id is kept."""
+    """Events, and a trigger later their corrections; the newest row per id is kept, merged when read."""
+    spans = _in_spans(_batches(spark, folder))
+    late = [_corrections(s) for s in spans]
+    parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], late)), late[-1]]
+    path, mark = scratch_path(spark, "merged"), scratch_path(spark, "mark")
+    # compacted once on the way
+    table = drops.merge_stream(_delivered(spark, parts), path, mark, most_deltas=4)
+    return table.read().groupBy("event_date").agg(
+        metrics.rows(), metrics.summed("amount", "total_amount")
+    )
+
+
+@query("st_upsert_partitions")
+def st_upsert_partitions(spark, folder):
+    """The same, with the partitions that a trigger touches rewritten in it."""
     spans = _in_spans(_batches(spark, folder))
     late = [_corrections(s) for s in spans]
     parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], late)), late[-1]]

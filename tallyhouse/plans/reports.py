@@ -247,3 +247,19 @@ def first_rows(table: DataFrame, *order: str, k: int = 10) -> DataFrame:
 def preview(table: DataFrame, k: int = 10) -> DataFrame:
     """Any ``k`` rows."""
     return table.limit(k)
+
+
+def fiscal_quarter_sales(monthly_fact: DataFrame, calendar: DataFrame, quarter: int) -> DataFrame:
+    """Sales by day name in one fiscal quarter of every year, from the fact partitioned by ``txn_month``.
+
+    The calendar is filtered and brings the month of each day: as part of the join key it tells the scan, before it
+    starts, which folders to read.
+    """
+    wanted = calendar.filter(F.col("fiscal_quarter") == quarter).select(
+        "date_key", "fiscal_year", "day_of_week_name", F.date_format("full_date", "yyyy-MM").alias("txn_month")
+    )
+    return (
+        monthly_fact.join(wanted, ["txn_month", "date_key"])
+        .groupBy("fiscal_year", "day_of_week_name")
+        .agg(rows(), summed("amount", "total_amount"), averaged("amount", "avg_amount"))
+    )

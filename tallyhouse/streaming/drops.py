@@ -12,7 +12,8 @@ from tallyhouse import schemas
 from tallyhouse.fixed_values import BATCH_TIMESTAMP_FORMAT
 from tallyhouse.functions.dates import day_start, instant, utc_date
 from tallyhouse.operators.fact import lookup
-from tallyhouse.operators.incremental import upsert_partitions, with_event_date
+from tallyhouse.operators.incremental import change_time, upsert_partitions, with_event_date
+from tallyhouse.operators.merge_on_read import MergeTable
 from tallyhouse.sources.files import CORRUPT, day_of_path
 
 # a row may be a day late and files may come in another order: one day would be just enough
@@ -163,3 +164,31 @@ def upsert_stream(
         .start()
         .awaitTermination()
     )
+
+
+def merge_stream(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "transaction_id",
+    newest_by: Column | None = None, most_deltas: int = 8,
+) -> MergeTable:
+    """Run a stream of batches into a table that is merged when read; returns that table.
+
+    A trigger writes its own rows and nothing else; now and then one compacts. A repeated trigger
+    changes nothing.
+    """
+    rows = with_event_date(stream)
+    order = change_time() if newest_by is None else newest_by
+    table = MergeTable(stream.sparkSession, path, rows.schema, key, order, part="event_date")
+
+    def merge(batch: DataFrame, trigger: int) -> None:
+        # the batch belongs to a session of its own, the table to the caller's
+        table.append(batch, trigger + 1)
+        table.compact_when_due(most_deltas)
+
+    (
+        rows.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(merge)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return table
