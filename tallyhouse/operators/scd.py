@@ -170,7 +170,8 @@ def point_in_time_lookup(
 ) -> DataFrame:
     """Attributes of the version that was valid when the fact happened; NULL if there is none.
 
-    A history of at most ``MOST_BROADCAST`` versions is sent to the facts, which stay where they are.
+    A history of at most ``MOST_BROADCAST`` versions is sent to the facts, which stay where they are, as one
+    sorted array per key.
     For a longer one, facts and versions are sorted together once and the version is carried
     forward, so neither a busy key nor a key with many versions multiplies rows. With ``first_version_open`` the first
     version of a key also covers the time before it. A fact without a time has no version.
@@ -191,8 +192,10 @@ def point_in_time_lookup(
             F.col("effective_end_date").cast("timestamp_ntz").alias("until"), *take
         ).alias("_version"),
     )
-    if marks.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
-        return _sent_to_facts(facts, marks, natural_key, at, take)
+    per_key = marks.limit(MOST_BROADCAST + 1).groupBy("_k").count()
+    total, longest = per_key.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).head()
+    if total <= MOST_BROADCAST:
+        return _sent_to_facts(facts, marks, natural_key, at, take, longest)
     events = facts.select(
         F.col(natural_key).alias("_k"),
         F.col(at).cast("timestamp_ntz").alias("_t"),
@@ -209,19 +212,28 @@ def point_in_time_lookup(
 
 
 def _sent_to_facts(
-    facts: DataFrame, marks: DataFrame, natural_key: str, at: str, take: list[str]
+    facts: DataFrame, marks: DataFrame, natural_key: str, at: str, take: list[str], longest: int
 ) -> DataFrame:
-    """The lookup with a short history; a version ends where the next one starts at the latest."""
-    ordered = Window.partitionBy("_k").orderBy(F.col("_t").asc_nulls_first())
-    spans = marks.select("_k", "_t", "_version", F.lead("_t").over(ordered).alias("_next"))
-    moment = F.col(at).cast("timestamp_ntz")
-    until = F.col("_version")["until"]
-    holds = (
-        (F.col(natural_key) == F.col("_k"))
-        & moment.isNotNull()
-        & (F.col("_t").isNull() | (F.col("_t") <= moment))
-        & (F.col("_next").isNull() | (moment < F.col("_next")))
-        & (until.isNull() | (moment < until))
+    """The lookup with a short history, of ``longest`` versions at most per key: a sorted array per key, searched by halving.
+
+    A fact meets one row, whatever the versions of its key, and looks at the logarithm of their number. The last
+    version that has started holds until its end.
+    """
+    listed = marks.groupBy("_k").agg(F.sort_array(F.collect_list(F.struct("_t", "_version"))).alias("_all"))
+    histories = listed.select(
+        "_k", F.transform("_all", lambda x: x["_t"]).alias("_starts"),
+        F.transform("_all", lambda x: x["_version"]).alias("_versions"),
     )
-    found = facts.join(F.broadcast(spans), holds, "left")  # bounded by MOST_BROADCAST
-    return found.select(*(facts[c] for c in facts.columns), *(F.col("_version")[c].alias(c) for c in take))
+    same = F.col(natural_key) == F.col("_k")
+    met = facts.join(F.broadcast(histories), same, "left")  # bounded by MOST_BROADCAST
+    moment, begun = F.col(at).cast("timestamp_ntz"), F.col("_begun")
+    placed = met.select(*(facts[c] for c in facts.columns), "_starts", "_versions", F.lit(0).alias("_begun"))
+    # how many versions have begun, a power of two at a time; a projection each, so that all is compiled
+    for stride in (1 << i for i in reversed(range(longest.bit_length()))):
+        start = F.get("_starts", begun + (stride - 1))
+        more = (begun + stride <= F.size("_starts")) & (start.isNull() | (start <= moment))
+        placed = placed.withColumn("_begun", F.when(more, begun + stride).otherwise(begun))
+    found = placed.withColumn("_valid", F.when(moment.isNotNull() & (begun > 0), F.get("_versions", begun - 1)))
+    until = F.col("_valid")["until"]
+    holds = until.isNull() | (moment < until)
+    return found.select(*facts.columns, *(F.when(holds, F.col("_valid")[c]).alias(c) for c in take))

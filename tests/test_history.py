@@ -140,3 +140,38 @@ def test_point_in_time_equals_a_range_join(spark, many_chunks, first_open):
                  if key == k and (t >= s or (first and first_open)) and (e is None or t < e)]
         want[n] = match[0] if match else None
     assert got == want
+
+
+@pytest.mark.parametrize("first_open", [True, False])
+def test_arrays_and_sorted_rows_find_the_same_version(spark, monkeypatch, first_open):
+    """A key with half of the facts and a long history, searched by halving and carried forward."""
+    r = random.Random(12)
+    spans = []
+    for k, n in (("hot", 300), ("a", 1), ("b", 2), ("c", 7), ("d", 8), ("none", 0)):
+        cuts = sorted(r.sample(range(1000), n))
+        for i, c in enumerate(cuts):
+            end = r.choice([None, START + timedelta(hours=c + r.randrange(1, 40))])  # gaps and overlaps
+            spans.append((k, f"{k}{i}", START + timedelta(hours=c), end))
+    spans += [(None, "x", START, None)]
+    dim = spark.createDataFrame(spans, "customer_id string, version string, effective_start_date timestamp, effective_end_date timestamp")
+    facts = [(i, r.choice(["hot"] * 5 + ["a", "b", "c", "d", "none", None]), r.choice([None, *[START + timedelta(hours=r.randrange(-50, 1100)) for _ in range(9)]])) for i in range(2000)]
+    df = spark.createDataFrame(facts, "n int, customer_id string, at timestamp_ntz")
+
+    def found():
+        return tuples(point_in_time_lookup(df, dim, "customer_id", "at", ["version"], first_open).select("n", "version"))
+
+    short = found()
+    monkeypatch.setattr("tallyhouse.operators.scd.MOST_BROADCAST", 0)
+    assert short == found() and any(v for _, v in short)
+
+
+def test_a_fact_meets_one_row_of_its_key(spark):
+    dim = spark.createDataFrame([("A", "v", ts("2024-01-10"), None)] * 2, "customer_id string, v string, effective_start_date timestamp, effective_end_date timestamp")
+    facts = spark.createDataFrame([("A", ts("2024-02-01")), ("B", ts("2024-02-01"))], "customer_id string, at timestamp_ntz")
+    got = point_in_time_lookup(facts, dim, "customer_id", "at", ["v"])
+    assert tuples(got.select("customer_id", "v")) == [("A", "v"), ("B", None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line and "effective_start_date" not in line]
+    assert joins and not any("<=" in line for line in joins)
+    empty = point_in_time_lookup(facts, dim.limit(0), "customer_id", "at", ["v"])
+    assert tuples(empty.select("customer_id", "v")) == [("A", None), ("B", None)]
