@@ -25,7 +25,8 @@ HEADLINE = [
     "dq_status_distribution", "dq_batch_profile", "dq_clean_rows", "pit_lookup",
     "inc_upsert", "inc_hwm", "star_rollup",
     "dim_merchants", "dq_report", "catalog_build", "scd2_customers", "inc_cdc", "st_upsert",
-    "gen_batch_profile",
+    "gen_batch_profile", "inc_late_route", "inc_merge_on_read", "inc_fiscal_quarter",
+    "distinct_by_month", "distinct_trailing_week",
 ]
 
 

@@ -258,11 +258,10 @@ _add("star_rollup", f"SELECT d.fiscal_year, d.fiscal_quarter, l.location_type, {
 _add("star_cube", f"SELECT p.payment_method_name, t.status_name, {_N}, {_sum('f.net_customer_amount', 'total_net')} "
      "FROM fact f JOIN dim_payment_methods p ON f.payment_method_key = p.payment_method_key "
      "JOIN dim_transaction_status t ON f.status_key = t.status_key GROUP BY CUBE (p.payment_method_name, t.status_name)", _FACT)
-_COVER = _CALENDAR
-_add("date_weekends", "SELECT date_key, full_date, day_of_week_name, is_weekend FROM dim_date WHERE is_weekend AND year = 2023 "
-     "AND month_number = 8 ORDER BY full_date LIMIT 10", _COVER)
-_add("date_fiscal_boundary", "SELECT full_date, year, quarter, fiscal_year, fiscal_quarter FROM dim_date WHERE year = 2023 "
-     "AND month_number IN (3, 4, 5)", _COVER)
+_add("date_weekends", "SELECT date_key, full_date, day_of_week_name, is_weekend FROM dim_date WHERE is_weekend AND year = 2016 "
+     "AND month_number = 8 AND date_key IN (SELECT date_key FROM fact) ORDER BY full_date LIMIT 10", _FACT)
+_add("date_fiscal_boundary", "SELECT full_date, year, quarter, fiscal_year, fiscal_quarter FROM dim_date WHERE year = 2016 "
+     "AND month_number IN (3, 4, 5) AND date_key IN (SELECT date_key FROM fact)", _FACT)
 _add("status_by_display_order", "SELECT * FROM dim_transaction_status ORDER BY display_order", _STAR)
 _add("location_list", "SELECT location_key, location_type FROM dim_location", _STAR)
 _add("method_list", "SELECT payment_method_key, payment_method_name FROM dim_payment_methods", _STAR)
@@ -647,3 +646,4 @@ _add("distinct_by_category", "SELECT product_category, CAST(date_key // 10000 AS
 _add("distinct_trailing_week", "SELECT e.full_date AS span_end, count(DISTINCT f.customer_key) AS unique_customers "
      "FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_date e ON e.full_date BETWEEN d.full_date AND d.full_date + 6 "
      "WHERE f.customer_key IS NOT NULL GROUP BY 1", _FACT)
+STATEMENTS["bronze_load"] = STATEMENTS["src_raw_csv_quarantine"]

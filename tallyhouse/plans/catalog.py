@@ -22,7 +22,7 @@ from tallyhouse.operators.fact import FOREIGN_KEYS, build_fact
 from tallyhouse.operators.merge_on_read import MergeTable
 from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
-from tallyhouse.plans.warehouse import build_warehouse, warehouse_of
+from tallyhouse.plans.warehouse import build_warehouse, load_bronze, warehouse_of
 from tallyhouse.session import scratch_path, stage
 from tallyhouse.sources import files, tables
 from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table, zone_plan
@@ -299,18 +299,22 @@ def distinct_trailing_week(spark, folder):
     return distinct.trailing_distinct(bitmaps, warehouse_of(spark, folder).date, 7, "unique_customers")
 
 
+def _days_of_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The calendar's days on which there are transactions."""
+    house = warehouse_of(spark, folder)
+    return house.date.join(house.fact.select("date_key").distinct(), "date_key", "left_semi")
+
+
 @query("date_weekends")
 def date_weekends(spark, folder):
-    """A reading of the built calendar, which is small whatever the data."""
-    days = warehouse_of(spark, folder).date
-    return reports.weekend_dates(days, 2023, 8)
+    """Weekend dates of a month on which there were transactions."""
+    return reports.weekend_dates(_days_of_facts(spark, folder), 2016, 8)
 
 
 @query("date_fiscal_boundary")
 def date_fiscal_boundary(spark, folder):
-    """A reading of the built calendar, which is small whatever the data."""
-    days = warehouse_of(spark, folder).date
-    return reports.fiscal_boundary(days, 2023)
+    """Dates with transactions around the turn of the fiscal year."""
+    return reports.fiscal_boundary(_days_of_facts(spark, folder), 2016)
 
 
 @query("status_by_display_order")
@@ -1073,19 +1077,20 @@ def src_raw_csv_detected(spark, folder):
     return _raw_profile(files.good_rows(detected))
 
 
-@query("src_raw_csv_quarantine")
-def src_raw_csv_quarantine(spark, folder):
-    """Good and broken lines of files in which every seventh number of points breaks its amount."""
+def _faulty_files(spark: SparkSession, folder: str) -> str:
+    """Files in which every seventh number of points breaks its amount."""
     text = spark.read.option("header", True).csv(_raw_files(spark, folder))
     fault = F.pmod(F.col("loyalty_points").cast("bigint"), F.lit(7)) == 3
     amount = F.when(fault, F.lit("n/a")).otherwise(F.col("product_amount"))
     path = scratch_path(spark, "raw_csv_faults")
     text.withColumn("product_amount", amount).write.option("header", True).csv(path)
-    lines = files.read_raw_csv(spark, path)
-    good = files.good_rows(lines).withColumns({"is_broken": F.lit(False), "line": F.lit("")})
-    broken = files.broken_rows(lines).select("parsed.*", F.lit(True).alias("is_broken"), "line")
-    both = good.unionByName(broken)
-    return both.groupBy("is_broken", "payment_method").agg(
+    return path
+
+
+def _good_and_broken(good: DataFrame, broken: DataFrame) -> DataFrame:
+    good = good.withColumns({"is_broken": F.lit(False), "line": F.lit("")})
+    broken = broken.select("parsed.*", F.lit(True).alias("is_broken"), "line")
+    return good.unionByName(broken).groupBy("is_broken", "payment_method").agg(
         metrics.rows(),
         as_double(F.sum(F.col("transaction_fee").cast("decimal(18,2)"))).alias("total_fees"),
         F.sum("loyalty_points").alias("loyalty_points"),
@@ -1093,6 +1098,20 @@ def src_raw_csv_quarantine(spark, folder):
     )
 
 
+@query("src_raw_csv_quarantine")
+def src_raw_csv_quarantine(spark, folder):
+    """Good and broken lines of files with faults."""
+    lines = files.read_raw_csv(spark, _faulty_files(spark, folder))
+    return _good_and_broken(files.good_rows(lines), files.broken_rows(lines))
+
+
+@query("bronze_load")
+def bronze_load(spark, folder):
+    """The same files loaded into the bronze table and the table of broken lines."""
+    loaded = load_bronze(spark, _faulty_files(spark, folder), "tallyhouse_load_", scratch_path(spark, "bronze"))
+    return _good_and_broken(*loaded)
+
+
 @query("src_batch_csv_quarantine")
 def src_batch_csv_quarantine(spark, folder):
     """Good and broken lines of daily batches in which every ninth event breaks its amount."""
