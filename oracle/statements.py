@@ -647,3 +647,8 @@ _add("distinct_trailing_week", "SELECT e.full_date AS span_end, count(DISTINCT f
      "FROM fact f JOIN dim_date d ON f.date_key = d.date_key JOIN dim_date e ON e.full_date BETWEEN d.full_date AND d.full_date + 6 "
      "WHERE f.customer_key IS NOT NULL GROUP BY 1", _FACT)
 STATEMENTS["bronze_load"] = STATEMENTS["src_raw_csv_quarantine"]
+_add("star_grouping_sets", "SELECT t.status_name, p.payment_method_name, p.is_instant, "
+     f"CAST(GROUPING(t.status_name, p.payment_method_name, p.is_instant) AS BIGINT) AS total_level, {_N}, {_sum('f.amount', 'total_amount')} "
+     "FROM fact f JOIN (SELECT *, CAST(NULL AS BOOLEAN) AS is_instant FROM dim_payment_methods) p ON f.payment_method_key = p.payment_method_key "
+     "JOIN dim_transaction_status t ON f.status_key = t.status_key "
+     "GROUP BY GROUPING SETS ((t.status_name, p.is_instant), (p.payment_method_name), (p.is_instant), ())", _FACT)

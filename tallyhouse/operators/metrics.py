@@ -41,10 +41,23 @@ def star_metrics(
     group_by: list[str],
     measures: list[Column],
     totals: str | None = None,
+    sets: list[list[str]] | None = None,
+    level: str | None = None,
 ) -> DataFrame:
-    """Measures by any attributes; ``totals`` is ``rollup`` or ``cube`` to add subtotals."""
+    """Measures by any attributes; ``totals`` is ``rollup`` or ``cube`` to add subtotals.
+
+    ``sets`` names the subtotals wanted instead, computed in one pass. ``level`` is a column that tells a subtotal from
+    an attribute that is NULL: a bit per attribute, the first highest, set where the line sums over it.
+    """
     joined = star_join(fact, dims)
     if totals not in (None, "rollup", "cube"):
         raise ValueError("totals is rollup, cube or None")
-    grouped = getattr(joined, totals or "groupBy")(*group_by)
-    return grouped.agg(*measures)
+    if totals and sets is not None:
+        raise ValueError("give totals or sets")
+    if level and not totals and sets is None:
+        raise ValueError("a level needs totals or sets")
+    if sets is not None:
+        grouped = joined.groupingSets([[F.col(c) for c in s] for s in sets], *group_by)
+    else:
+        grouped = getattr(joined, totals or "groupBy")(*group_by)
+    return grouped.agg(*([F.grouping_id().alias(level)] if level else []), *measures)

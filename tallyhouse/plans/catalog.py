@@ -265,6 +265,23 @@ def star_cube(spark, folder):
     )
 
 
+@query("star_grouping_sets")
+def star_grouping_sets(spark, folder):
+    """Chosen subtotals in one pass, over a dimension with an attribute that is NULL; the level tells both apart."""
+    house = warehouse_of(spark, folder)
+    return metrics.star_metrics(
+        house.fact,
+        {
+            "payment_method_key": (house.payment_methods, ["payment_method_name", "is_instant"]),
+            "status_key": (house.transaction_status, ["status_name"]),
+        },
+        ["status_name", "payment_method_name", "is_instant"],
+        [metrics.rows(), metrics.summed("amount", "total_amount")],
+        sets=[["status_name", "is_instant"], ["payment_method_name"], ["is_instant"], []],
+        level="total_level",
+    )
+
+
 @shared
 def _customer_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
     """Bitmaps of the customers of each day and product category; the last year's days come as a batch of their own."""
