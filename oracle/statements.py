@@ -151,6 +151,11 @@ def _add(name: str, select: str, ctes: str = "") -> None:
     STATEMENTS[name] = (f"WITH {ctes.strip()} " if ctes else "") + select
 
 
+def _by_status(values: dict) -> str:
+    """CASE over a merged row's status."""
+    return "CASE m.transaction_status " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + " END"
+
+
 def _distribution(table: str, by: str) -> str:
     return (f"SELECT {by}, {_N}, "
             + _pct("count(*)", "sum(count(*)) OVER ()", "percentage")
@@ -480,6 +485,21 @@ _add("inc_month_partitions", f"SELECT strftime(transaction_timestamp, '%Y-%m') A
      "FROM silver GROUP BY 1", _SILVER)
 _add("inc_clustered", f"SELECT date_key, status_key, {_N}, {_sum('amount', 'total_amount')} FROM fact "
      "GROUP BY date_key, status_key", _FACT)
+_CURVE_BITS = 3
+_CURVE_KEYS = ["date_key", "merchant_key", "status_key"]
+_PLACE = " | ".join(
+    f"((coalesce(({k} - min({k}) OVER ()) * {1 << _CURVE_BITS} // (max({k}) OVER () - min({k}) OVER () + 1), 0)::BIGINT >> {i} & 1) << {i * 3 + 2 - j})"
+    for i in range(_CURVE_BITS) for j, k in enumerate(_CURVE_KEYS))
+_add("inc_clustered_curve", f"SELECT place, {_N}, {_sum('amount', 'total_amount')}, "
+     + ", ".join(f"min({k}) AS least_{k}, max({k}) AS most_{k}" for k in _CURVE_KEYS)
+     + f" FROM (SELECT *, CAST({_PLACE} AS BIGINT) AS place FROM fact) GROUP BY place", _FACT)
+_add("inc_star_load", "SELECT b.merchant_id, n.merchant_name, m.transaction_status AS status_name, "
+     "CAST(" + _by_status(fixed.STATUS_DISPLAY_ORDER) + " AS BIGINT) AS display_order, b.location_type, "
+     "CAST(strftime(m.transaction_timestamp, '%Y%m%d') AS BIGINT) AS date_key, "
+     f"{_N}, {_sum('m.amount', 'total_amount')}, count(DISTINCT b.customer_id) AS customers "
+     "FROM merged m JOIN batches b ON b.transaction_id = replace(m.transaction_id, 'NEW-', '') "
+     "JOIN (SELECT merchant_id, min(merchant_name) AS merchant_name FROM batches GROUP BY 1) n ON n.merchant_id = b.merchant_id "
+     "GROUP BY 1, 2, 3, 4, 5, 6", _MERGED)
 _BITS = [("late", f"({_IS_LATE}) AND NOT {_IS_SHIFTED}"), ("missing_update", "updated_at IS NULL"),
          ("renamed", _IS_RENAMED), ("zone_shifted", _IS_SHIFTED)]
 _MASK = " + ".join(f"CASE WHEN {test} THEN {1 << i} ELSE 0 END" for i, (_, test) in enumerate(_BITS))

@@ -24,14 +24,18 @@ def build_dimension(
     attributes: dict[str, Column] | None = None,
     load_ts: datetime | None = None,
 ) -> DataFrame:
-    """A dimension from one row per natural key.
+    """A dimension from one row per natural key; surrogate keys follow the natural key."""
+    return shaped(assign_keys(members, natural_key, key_name), schema, attributes, load_ts)
 
-    Surrogate keys follow the natural key; columns of ``schema`` that are neither given nor
-    computed become typed NULLs; audit columns get the load time.
-    """
+
+def shaped(
+    keyed: DataFrame, schema: str, attributes: dict[str, Column] | None = None,
+    load_ts: datetime | None = None,
+) -> DataFrame:
+    """Keyed members as a dimension: columns of ``schema`` that are neither given nor computed become
+    typed NULLs; audit columns get the load time."""
     computed = {"created_at": audit_time(load_ts), "updated_at": audit_time(load_ts)}
     computed |= attributes or {}
-    keyed = assign_keys(members, natural_key, key_name)
     columns = []
     for name, kind in schemas.column_types(schema).items():
         if name in computed:
@@ -101,18 +105,21 @@ def _by_name(name: Column, values: dict) -> Column:
     return chosen
 
 
+def status_attributes() -> dict[str, Column]:
+    """Category, finality and display order of a status."""
+    name = F.col("status_name")
+    return {
+        "status_category": _by_name(name, STATUS_CATEGORY),
+        "is_terminal": F.coalesce(name.isin(TERMINAL_STATUSES), F.lit(False)),
+        "display_order": _by_name(name, STATUS_DISPLAY_ORDER),
+    }
+
+
 def dim_transaction_status(silver: DataFrame, load_ts: datetime | None = None) -> DataFrame:
     """Statuses with category, finality and display order."""
-    name = F.col("status_name")
     return build_dimension(
         silver.select(F.col("transaction_status").alias("status_name")).distinct(),
-        "status_name", "status_key", schemas.DIM_TRANSACTION_STATUS,
-        {
-            "status_category": _by_name(name, STATUS_CATEGORY),
-            "is_terminal": F.coalesce(name.isin(TERMINAL_STATUSES), F.lit(False)),
-            "display_order": _by_name(name, STATUS_DISPLAY_ORDER),
-        },
-        load_ts,
+        "status_name", "status_key", schemas.DIM_TRANSACTION_STATUS, status_attributes(), load_ts,
     )
 
 

@@ -61,9 +61,11 @@ class MergeTable:
                     found[named[1]].append(int(named[2]))
         return {kind: sorted(numbers) for kind, numbers in found.items()}
 
-    def _live(self) -> tuple[int | None, list[int]]:
-        """The sequence of the base, and of the deltas it does not hold."""
+    def _live(self, upto: int | None = None) -> tuple[int | None, list[int]]:
+        """The sequence of the base, and of the deltas it does not hold, of those up to a sequence."""
         found = self._complete()
+        if upto is not None:
+            found = {kind: [n for n in numbers if n <= upto] for kind, numbers in found.items()}
         base = found["base"][-1] if found["base"] else None
         return base, [n for n in found["delta"] if base is None or n > base]
 
@@ -109,9 +111,13 @@ class MergeTable:
         rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
         return latest_per_key(rows, self.key, self._at, "delta").drop("delta")
 
-    def read(self) -> DataFrame:
-        """All rows, as of the folders that are complete now."""
-        base, deltas = self._live()
+    def changes(self, sequence: int) -> DataFrame:
+        """The rows that a batch brought, as long as its folder is there."""
+        return self._deltas([sequence]).select(*self.schema.names)
+
+    def read(self, upto: int | None = None) -> DataFrame:
+        """All rows, as of the folders that are complete now; with ``upto``, as of that sequence."""
+        base, deltas = self._live(upto)
         if base is None and not deltas:
             return self.spark.createDataFrame([], self.schema)
         if base is None:

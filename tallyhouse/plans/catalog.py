@@ -22,6 +22,7 @@ from tallyhouse.operators.fact import FOREIGN_KEYS, build_fact
 from tallyhouse.operators.merge_on_read import MergeTable
 from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
+from tallyhouse.plans.star_load import StarLoad
 from tallyhouse.plans.warehouse import build_warehouse, load_bronze, warehouse_of
 from tallyhouse.session import scratch_path, stage
 from tallyhouse.sources import files, tables
@@ -918,6 +919,39 @@ def inc_clustered(spark, folder):
     )
 
 
+@query("inc_clustered_curve")
+def inc_clustered_curve(spark, folder):
+    """The fact laid out along a curve through three keys: rows and bounds of each of its ranges."""
+    by = ["date_key", "merchant_key", "status_key"]
+    fact = warehouse_of(spark, folder).fact
+    laid = stage(tables.clustered_on_curve(fact, *by, spread="transaction_id"), "fact_on_curve")
+    bounds = [f(k).alias(f"{name}_{k}") for k in by for name, f in (("least", F.min), ("most", F.max))]
+    return laid.groupBy(tables.curve_place(laid, *by, bits=3).alias("place")).agg(
+        metrics.rows(), metrics.summed("amount", "total_amount"), *bounds
+    )
+
+
+@query("inc_star_load")
+def inc_star_load(spark, folder):
+    """A star loaded in spans of days and then with corrections, one load of them twice."""
+    batches = _batches(spark, folder)
+    load = StarLoad(spark, scratch_path(spark, "star"), batches.columns)
+    for i, part in enumerate(_in_spans(batches)):
+        load.load(part, f"span-{i}", LOADED)
+    load.load(_in_spans(batches)[1], "span-1", LOADED)
+    load.load(_corrections(batches), "corrections", LOADED)
+    star = load.star(LOADED)
+    dims = star["dims"]
+    rows = star["fact"].join(dims.merchants.select("merchant_key", "merchant_id", "merchant_name"), "merchant_key")
+    rows = rows.join(dims.customers.select("customer_key", "customer_id"), "customer_key")
+    rows = rows.join(dims.transaction_status.select("status_key", "status_name", "display_order"), "status_key")
+    rows = rows.join(dims.location.select("location_key", "location_type"), "location_key")
+    by = ["merchant_id", "merchant_name", "status_name", "display_order", "location_type", "date_key"]
+    return rows.groupBy(*by).agg(
+        metrics.rows(), metrics.summed("amount", "total_amount"), F.count_distinct("customer_id").alias("customers")
+    )
+
+
 @query("inc_dq_dim")
 def inc_dq_dim(spark, folder):
     keyed = incremental.with_quality_key(_planned(spark, folder), F.col("zone_mode"))
