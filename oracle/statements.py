@@ -647,6 +647,9 @@ _add("src_batch_csv", f"SELECT batch_day, {_N}, {_sum('amount', 'total_amount')}
 _add("snk_report", _REPORT, _FACT)
 _add("snk_table", "SELECT payment_method_key, count(*) * 2 AS transaction_count FROM fact GROUP BY payment_method_key", _FACT)
 
+_add("snk_view", "SELECT payment_method_key, date_key // 10000 AS year, CAST(sum(n) AS BIGINT) AS transaction_count, max(n) AS most_in_a_day "
+     "FROM (SELECT payment_method_key, date_key, count(*) AS n FROM fact GROUP BY 1, 2) GROUP BY 1, 2", _FACT)
+
 # --- streams
 _add("st_ingest", f"SELECT batch_day, strftime(batch_day, '%Y%m%d') AS batch_id, {_N}, {_sum('amount', 'total_amount')} FROM batches GROUP BY 1, 2", _BATCHES)
 _add("st_daily_totals", f"SELECT CAST(transaction_timestamp AS DATE) AS event_date, {_N}, {_sum('amount', 'total_amount')}, "

@@ -1224,6 +1224,19 @@ def snk_table(spark, folder):
     return tables.replace_table(doubled, name, root=root)
 
 
+@query("snk_view")
+def snk_view(spark, folder):
+    """A partitioned dataset behind a view, replaced by a query on itself with other partitions and columns."""
+    name, root = "tallyhouse_reports.method_days", scratch_path(spark, "viewed")
+    tables.create_database(spark, "tallyhouse_reports", root)
+    fact = warehouse_of(spark, folder).fact
+    by_day = fact.groupBy("payment_method_key", "date_key").agg(metrics.rows(), metrics.summed("amount", "total_amount"))
+    tables.replace_view(by_day, name, ["payment_method_key"], root)
+    by_year = spark.table(name).groupBy("payment_method_key", F.floor(F.col("date_key") / 10000).alias("year"))
+    years = by_year.agg(F.sum("transaction_count").alias("transaction_count"), F.max("transaction_count").alias("most_in_a_day"))
+    return tables.replace_view(years, name, ["year"], root)
+
+
 # --- streams over the events ---------------------------------------------------------------------
 
 

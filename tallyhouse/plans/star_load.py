@@ -17,6 +17,7 @@ A batch costs its own rows and a look at the dimensions; what was loaded earlier
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from tallyhouse.operators.fact import SILVER_KEYS, Dimensions, build_fact
 from tallyhouse.operators.incremental import change_time, with_event_date
 from tallyhouse.operators.keys import extend_keys
 from tallyhouse.operators.merge_on_read import MergeTable
+from tallyhouse.session import stage
 
 #: Natural key, surrogate key and schema per dimension.
 _FORMS = {
@@ -131,11 +133,16 @@ class StarLoad:
         conformed = with_event_date(conform_batch(batch, load_ts=load_ts, batch_id=batch_id))
         self.silver.append(conformed, sequence)
         rows = self.silver.changes(sequence)
-        # names count from all rows of the batch, also those that newer ones replace
-        for dim, column in SILVER_KEYS.items():
-            if dim not in self.fed:
-                name = F.min("merchant_name") if dim == "dim_merchants" else F.lit(None).cast("string")
-                self._add_members(dim, conformed.groupBy(F.col(column).alias("natural")).agg(name.alias("name")), sequence)
+        # members count from all rows of the batch, also those that newer ones replace; read once, for all dimensions
+        named = stage(conformed.select(*SILVER_KEYS.values(), "merchant_name"), "members")
+
+        def add(dim: str) -> None:
+            name = F.min("merchant_name") if dim == "dim_merchants" else F.lit(None).cast("string")
+            members = named.groupBy(F.col(SILVER_KEYS[dim]).alias("natural")).agg(name.alias("name"))
+            self._add_members(dim, members, sequence)
+
+        with ThreadPoolExecutor(len(_FORMS)) as pool:
+            list(pool.map(add, [dim for dim in _FORMS if dim not in self.fed]))
         self._add_facts(rows, sequence, load_ts)
         self._finish(batch_id, sequence)
         return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,16 +60,48 @@ def replace_table(
     return spark.table(table)
 
 
+def replace_view(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, root: str | None = None
+) -> DataFrame:
+    """Create or replace a stable view over a versioned Parquet dataset.
+
+    The view is pointed at the new version in one step of the catalog, also when partitions or columns
+    change, so a reader finds the version before or the version after, never none. A reader that has begun
+    goes on with its version until :func:`remove_old_versions`. The query may read what it replaces. Use a
+    name that no table has.
+    """
+    spark = df.sparkSession
+    base = root or f"{shared_folder(spark)}/tables"
+    version = uuid.uuid4().hex
+    path = f"{base}/{name.replace('.', '/')}/version-{version}"
+    if partition_by:
+        write_by_partition(df, path, *partition_by)
+    else:
+        df.write.parquet(path)
+    # declared, as types guessed from the names of partition folders may not be those of the query
+    declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name}__{version} ({declared}) USING parquet {parts} LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(f"{name}__{version}")
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    # ALTER changes the entry of the catalog; CREATE OR REPLACE drops it for a moment
+    change = "ALTER" if spark.catalog.tableExists(name) else "CREATE"
+    spark.sql(f"{change} VIEW {name} AS SELECT {columns} FROM {name}__{version}")
+    return spark.table(name)
+
+
 def remove_old_versions(spark: SparkSession, table: str, root: str | None = None) -> int:
     """Delete the folders of replaced versions once no query reads them; returns how many."""
     base = root or f"{shared_folder(spark)}/tables"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(f"{base}/{table.replace('.', '/')}")
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    details = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
-    current = details.head()["data_type"].rsplit("/", 1)[1]
+    details = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name IN ('Location', 'View Text')")
+    current = "version-" + re.search(r"(?:version-|__)([0-9a-f]{32})", details.head()["data_type"])[1]
     old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() != current]
     for path in old:
+        spark.sql(f"DROP TABLE IF EXISTS {table}__{path.getName().removeprefix('version-')}")
         files.delete(path, True)
     return len(old)
 
