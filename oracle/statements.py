@@ -467,6 +467,17 @@ merged AS (SELECT transaction_id, amount, updated_at, transaction_status, transa
   FROM (SELECT transaction_id, amount, updated_at, transaction_status, transaction_timestamp FROM batches
     UNION ALL SELECT * FROM corrections)) WHERE r = 1)"""
 _add("inc_upsert", "SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, updated_at, transaction_status FROM merged", _MERGED)
+STATEMENTS["inc_bucketed_upsert"] = STATEMENTS["inc_upsert"]
+_SPANS = _BATCHES + """,
+spans AS (SELECT *, CAST(floor(date_diff('day', lo, batch_day) * 4 / (date_diff('day', lo, hi) + 1)) AS BIGINT) AS span
+  FROM batches, (SELECT min(batch_day) AS lo, max(batch_day) AS hi FROM batches))"""
+_add("dq_cross_batch_history", "SELECT b.batch_number, count(*) AS total_rows, count(*) FILTER (WHERE b.transaction_id IS NULL) AS missing_ids, "
+     "count(DISTINCT b.transaction_id) AS unique_ids, count(b.transaction_id) - count(DISTINCT b.transaction_id) AS extra_rows, "
+     "count(DISTINCT b.transaction_id) FILTER (WHERE h.first_span < b.batch_number) AS known_ids, "
+     "count(*) FILTER (WHERE h.first_span < b.batch_number) AS known_rows FROM ("
+     "SELECT span AS batch_number, transaction_id FROM spans UNION ALL SELECT span + 1, transaction_id FROM spans "
+     "WHERE span < 3 AND CAST(amount * 100 AS BIGINT) % 7 = 0) b "
+     "LEFT JOIN (SELECT transaction_id, min(span) AS first_span FROM spans GROUP BY 1) h ON b.transaction_id = h.transaction_id GROUP BY 1", _SPANS)
 _CDC = _BATCHES + """,
 applied AS (
   SELECT transaction_id, CASE WHEN n % 6 = 0 AND n % 12 <> 0 THEN amount + 5 ELSE amount END AS amount,
@@ -657,6 +668,11 @@ _add("st_daily_totals", f"SELECT CAST(transaction_timestamp AS DATE) AS event_da
 _add("st_dedup", f"SELECT batch_day, {_N}, {_sum('amount', 'total_amount')} FROM batches GROUP BY batch_day", _BATCHES)
 _add("st_lookup", f"SELECT merchant_key, {_N}, {_sum('amount', 'total_amount')} FROM batches b LEFT JOIN dim_merchants d "
      "ON b.merchant_id = d.merchant_id GROUP BY merchant_key", _STAR + "," + _BATCHES)
+_add("st_lookup_changing", f"SELECT CASE WHEN d.merchant_key % 3 = 0 OR b.transaction_timestamp + INTERVAL 2 DAY >= a.first_event "
+     f"+ CASE d.merchant_key % 3 WHEN 1 THEN INTERVAL 1 DAY ELSE INTERVAL 10 DAY END THEN d.merchant_key END AS merchant_key, {_N}, "
+     f"{_sum('b.amount', 'total_amount')} FROM batches b LEFT JOIN dim_merchants d ON b.merchant_id = d.merchant_id "
+     "LEFT JOIN (SELECT merchant_id, min(transaction_timestamp) AS first_event FROM batches GROUP BY 1) a ON b.merchant_id = a.merchant_id "
+     "GROUP BY 1", _STAR + "," + _BATCHES)
 _add("st_upsert", f"SELECT CAST(transaction_timestamp AS DATE) AS event_date, {_N}, {_sum('amount', 'total_amount')} FROM merged GROUP BY 1", _MERGED)
 _add("st_upsert_partitions", f"SELECT CAST(transaction_timestamp AS DATE) AS event_date, {_N}, {_sum('amount', 'total_amount')} FROM merged GROUP BY 1", _MERGED)
 _add("inc_merge_on_read", "SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, updated_at, transaction_status FROM merged", _MERGED)

@@ -64,15 +64,19 @@ def _newest_changes(changes: DataFrame, key: str, newest_by: Column) -> DataFram
 
 
 def upsert(
-    target: DataFrame, changes: DataFrame, key: str, newest_by: Column | None = None
+    target: DataFrame, changes: DataFrame, key: str, newest_by: Column | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Insert or replace by key; the newest change wins, and never loses to an older one.
 
     ``newest_by`` is an expression over columns of both tables, by default the change time.
-    Changes without a key are ignored: they could not be applied twice without doubling.
+    Changes without a key are ignored: they could not be applied twice without doubling. With
+    ``buckets``, those of a target bucketed by the key, only the changes are shuffled.
     """
     order = change_time() if newest_by is None else newest_by
     newest = _newest_changes(changes.select(*target.columns), key, order)
+    if buckets:
+        newest = newest.repartition(buckets, key)
     return _newer_side(target, newest, key, order)
 
 

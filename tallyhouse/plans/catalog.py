@@ -16,7 +16,7 @@ from tallyhouse.functions import draws, ids
 from tallyhouse.functions.dates import shift_minutes
 from tallyhouse.functions.money import as_double, average_2dp, percent_2dp
 from tallyhouse.operators import (
-    conform, dimensions, distinct, generate, incremental, keys, metrics, quality, scd,
+    conform, dimensions, distinct, generate, history, incremental, keys, metrics, quality, scd,
 )
 from tallyhouse.operators.fact import FOREIGN_KEYS, build_fact
 from tallyhouse.operators.merge_on_read import MergeTable
@@ -782,6 +782,43 @@ def inc_upsert(spark, folder):
     return shown(merged.select("transaction_id", "amount", "updated_at", "transaction_status"))
 
 
+def _history(spark: SparkSession, batches: DataFrame, name: str) -> history.BucketedHistory:
+    """An empty history of its own for every call."""
+    tables.create_database(spark, "tallyhouse_history", scratch_path(spark, "histories"))
+    path = scratch_path(spark, name)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in batches.schema)
+    table = f"tallyhouse_history.{path.rsplit('/', 1)[-1].replace('-', '_')}"
+    return history.BucketedHistory(spark, table, schema, "transaction_id", buckets=8, root=path)
+
+
+@query("inc_bucketed_upsert")
+def inc_bucketed_upsert(spark, folder):
+    """Spans of days and their corrections as batches of a bucketed history, one of them twice and one not yet written."""
+    spans = _in_spans(_batches(spark, folder))
+    kept = _history(spark, spans[0], "upserts")
+    for number, span in enumerate(spans):
+        kept.append(span.unionByName(_corrections(spans[number - 1])) if number else span, number)
+        if number == 1:
+            kept.compact()
+    kept.append(spans[-1].unionByName(_corrections(spans[-2])), SPANS - 1)
+    merged = kept.upserted(_corrections(spans[-1]))
+    return shown(merged.select("transaction_id", "amount", "updated_at", "transaction_status"))
+
+
+@query("dq_cross_batch_history")
+def dq_cross_batch_history(spark, folder):
+    """Each span with every seventh row of the span before: its ids against all that came earlier."""
+    spans = _in_spans(_batches(spark, folder))
+    kept = _history(spark, spans[0], "ids")
+    again = [s.filter(F.pmod(F.col("amount") * 100, F.lit(7)) == 0) for s in spans]
+    lines = []
+    for number, span in enumerate(spans):
+        batch = span.unionByName(again[number - 1]) if number else span
+        kept.append(batch, number)
+        lines.append(kept.check(batch, number).withColumn("batch_number", F.lit(number).cast("bigint")))
+    return reduce(DataFrame.unionByName, lines)
+
+
 @query("inc_cdc")
 def inc_cdc(spark, folder):
     batches = _batches(spark, folder)
@@ -1250,12 +1287,12 @@ def _in_spans(batches: DataFrame) -> list[DataFrame]:
     return [batches.filter(span == i) for i in range(SPANS)]
 
 
-def _delivered(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
-    """A stream that takes one part per trigger."""
+def _delivered(spark: SparkSession, parts: list[DataFrame], count: int = FILES) -> DataFrame:
+    """A stream that takes one part, of so many files, per trigger."""
     path = scratch_path(spark, "delivered")
     for part in parts:
-        part.repartition(FILES).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", FILES)
+        part.repartition(count).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", count)
     return stream.parquet(path)
 
 
@@ -1315,6 +1352,54 @@ def st_lookup(spark, folder):
     )
 
 
+@query("st_lookup_changing")
+def st_lookup_changing(spark, folder):
+    """Every third merchant is known; others are announced a day or ten days after their first event.
+
+    An announcement is delivered a trigger after the events of its span and repeated in the next one with a later time.
+    Facts from two days before the announcement on find their merchant.
+    """
+    batches = _batches(spark, folder)
+    dim = warehouse_of(spark, folder).merchants.select("merchant_id", "merchant_key")
+    kind = F.pmod("merchant_key", F.lit(3))
+    firsts = batches.groupBy("merchant_id").agg(F.min("transaction_timestamp").alias("first_event"))
+    days = F.when(kind == 1, 1).otherwise(10)
+    new = stage(
+        dim.filter(kind != 0).join(firsts, "merchant_id")
+        .withColumn("announced_at", F.col("first_event") + F.make_dt_interval(days=days)).drop("first_event"),
+        "announced",
+    )
+    lo, hi = batches.agg(F.min("batch_day"), F.max("batch_day")).head()
+    span = F.floor(F.datediff("announced_at", F.lit(lo)) * SPANS / (F.datediff(F.lit(hi), F.lit(lo)) + 1))
+    of_span = [new.filter(F.least(F.greatest(span, F.lit(0)), F.lit(SPANS - 1)) == i) for i in range(SPANS)]
+    again = [s.withColumn("announced_at", F.col("announced_at") + F.make_dt_interval(days=F.lit(1))) for s in of_span]
+
+    def quiet(at: Column) -> DataFrame:
+        """An announcement of no one, which only moves the watermark."""
+        return spark.range(1).select(
+            F.lit(None).cast("string").alias("merchant_id"), F.lit(None).cast("bigint").alias("merchant_key"),
+            at.cast("timestamp_ntz").alias("announced_at"),
+        )
+
+    start, end = F.lit(lo), F.date_add(F.lit(hi), 60)
+    told = [quiet(start)]
+    for i, part in enumerate(of_span):
+        told.append((part.unionByName(again[i - 1]) if i else part).unionByName(quiet(start)))
+    told[-1] = told[-1].unionByName(quiet(end))
+    last = spark.range(1).select(*(
+        (end if f.name == "transaction_timestamp" else F.lit(None)).cast(f.dataType).alias(f.name) for f in batches.schema
+    ))
+    keyed = drops.with_changing_dimension(
+        _delivered(spark, [*_in_spans(batches), last], FILES), dim.filter(kind == 0), _delivered(spark, told, 1),
+        "merchant_id", "merchant_id", "merchant_key",
+    )
+    path, mark = scratch_path(spark, "keyed"), scratch_path(spark, "mark")
+    drops.append_to_files(keyed.select("merchant_key", "transaction_id", "amount"), path, mark)
+    return spark.read.parquet(path).filter(F.col("transaction_id").isNotNull()).groupBy("merchant_key").agg(
+        metrics.rows(), metrics.summed("amount", "total_amount")
+    )
+
+
 @query("st_upsert")
 def st_upsert(spark, folder):
     """Events, and a trigger later their corrections; the newest row per id is kept, merged when read."""

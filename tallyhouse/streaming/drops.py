@@ -94,6 +94,54 @@ def with_dimension(
     return lookup(stream, dim, on, natural_key, take)
 
 
+def with_changing_dimension(
+    stream: DataFrame, known: DataFrame, announced: DataFrame, on: str, natural_key: str, take: str,
+    announced_at: str = "announced_at", wait: str = "2 days", lateness: str = LATENESS, spread: int = 8,
+) -> DataFrame:
+    """Surrogate key of a dimension whose members may arrive during the stream, even after their facts.
+
+    ``known`` are the members at the start. ``announced`` is a stream of further ones (``natural_key``, ``take``,
+    ``announced_at``). A fact of a known member passes at once, and so does one without a member or a
+    time. Others wait: a member announced up to ``wait`` after the fact's event time is found, whichever of the two
+    is delivered first; a fact passes with NULL once the watermark rules such an announcement out. Of several
+    announcements of a member the first to be delivered counts; those without key or time are ignored. A known
+    member stays as known, whatever is announced.
+
+    The watermark follows the slower stream, so a quiet dimension has to send rows now and then (without a key, say)
+    or waiting facts stay. Facts behind the watermark are dropped, as in the other streams here. State holds the
+    facts that wait and the announced members ``spread`` times over, the latter for the life of the stream: facts are
+    dealt over ``spread`` parts per member, so a new member with very many facts is not one task's.
+    """
+    rows = lookup(_timed(stream, lateness), known, on, natural_key, take)
+    waits = F.col(take).isNull() & F.col(on).isNotNull() & F.col("event_time").isNotNull()
+    number = F.xxhash64(*stream.columns)
+    rows = rows.withColumns({
+        "_waits": waits,
+        # a fact that does not wait meets no one, so its place is free to choose
+        "_on": F.when(waits, F.col(on)).otherwise(number.cast("string")),
+        "_part": F.pmod(number, F.lit(spread)).cast("int"),
+    })
+    # one test of both columns: a test of the name alone would be moved below the watermark, which has to see all rows
+    complete = F.array_size(F.array_compact(F.array(F.col("_member"), F.col("_announced").cast("string")))) == 2
+    first = (
+        announced.select(
+            F.col(natural_key).alias("_member"), F.col(take).alias("_found"),
+            instant(F.col(announced_at)).alias("_announced"),
+        )
+        .withWatermark("_announced", lateness)
+        .filter(complete)
+        .dropDuplicates(["_member"])
+        .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    )
+    joined = rows.join(
+        first,
+        F.col("_waits") & (F.col("_on") == F.col("_member")) & (F.col("_part") == F.col("_copy"))
+        & (F.col("_announced") <= F.col("event_time") + F.expr(f"INTERVAL {wait}")),
+        "left",
+    )
+    return joined.select(*stream.columns, F.coalesce(take, "_found").alias(take))
+
+
 def append_to_files(
     stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None
 ) -> None:

@@ -91,3 +91,43 @@ def test_upserts_over_several_triggers(spark, tmp_path):
     assert got == [("a", Decimal("50.00"), one), ("b", Decimal("10.00"), one), ("c", Decimal("10.00"), two), ("late", Decimal("10.00"), one)]
     rows = incremental.with_event_date(spark.read.option("header", True).schema(schemas.DAILY_BATCH).csv(str(tmp_path / "in")))
     assert rows.count() == 5
+
+
+def members(spark, folder, clock, *rows):
+    """One file of announcements."""
+    path = folder / f"{clock}.json"
+    folder.mkdir(exist_ok=True)
+    named = spark.createDataFrame(list(rows), "merchant_id string, merchant_key bigint, announced_at string")
+    named.toPandas().to_json(path, orient="records", lines=True)
+    os.utime(path, (clock, clock))
+
+
+def test_members_that_are_announced_after_their_facts(spark, tmp_path):
+    facts, told = tmp_path / "facts", tmp_path / "told"
+    put(spark, facts, "2024-11-01", [
+        at("2024-11-01 10:00:00", "known", merchant_id="K"), at("2024-11-01 10:00:00", "waits", merchant_id="N"),
+        at("2024-11-01 10:00:00", "too_early", merchant_id="L"), at("2024-11-01 10:00:00", "nobody", merchant_id=None),
+        at("2024-11-01 10:00:00", "never", merchant_id="X"),
+        at("2024-11-01 10:00:00", "timeless", merchant_id="N") | {"transaction_timestamp": None}], 1_000)
+    put(spark, facts, "2024-11-04", [at("2024-11-04 10:00:00", "edge", merchant_id="L"), at("2024-11-04 10:00:00", "again", merchant_id="N")], 2_000)
+    put(spark, facts, "2024-11-05", [at("2024-11-05 10:00:00", "after", merchant_id="L"),
+        at("2024-11-05 11:00:00", "never_late", merchant_id="Y")], 3_000)
+    put(spark, facts, "2024-11-30", [at("2024-11-30 10:00:00", "end", merchant_id=None)], 4_000)
+    # the first trigger announces no one; N follows a trigger after its fact, L more than two days after its first
+    members(spark, told, 1_000, (None, None, "2024-11-01 00:00:00"))
+    members(spark, told, 2_000, ("N", 7, "2024-11-02 09:00:00"), ("K", 99, "2024-11-02 09:00:00"), ("X", 8, None))
+    members(spark, told, 3_000, ("L", 9, "2024-11-06 10:00:00"), ("N", 70, "2024-11-03 09:00:00"))
+    members(spark, told, 4_000, (None, None, "2024-11-30 10:00:00"))
+    known = spark.createDataFrame([("K", 1)], "merchant_id string, merchant_key bigint")
+    announced = (
+        spark.readStream.schema("merchant_id string, merchant_key bigint, announced_at string")
+        .option("maxFilesPerTrigger", 1).json(str(told))
+        .withColumn("announced_at", F.col("announced_at").cast("timestamp_ntz"))
+    )
+    stream = drops.read_drops(spark, str(facts), PATTERN, files_per_trigger=1)
+    keyed = drops.with_changing_dimension(stream, known, announced, "merchant_id", "merchant_id", "merchant_key", spread=3)
+    assert keyed.columns == [*stream.columns, "merchant_key"]
+    drops.append_to_files(keyed, str(tmp_path / "out"), str(tmp_path / "mark"))
+    got = tuples(spark.read.parquet(str(tmp_path / "out")).select("transaction_id", "merchant_key"))
+    assert got == [("after", 9), ("again", 7), ("edge", 9), ("end", None), ("known", 1), ("never", None), ("never_late", None),
+                   ("nobody", None), ("timeless", None), ("too_early", None), ("waits", 7)]
