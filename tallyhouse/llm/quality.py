@@ -11,7 +11,7 @@ of shapes, whether it repeats the word before, and how long it is. A word's feat
 text takes one look-up per word.
 
 The model is fitted by the driver on a bounded sample of rated documents (``MOST_PER_CLASS`` per grade,
-never a held-out one), whose features tasks extract; every whole text is scored by tasks.
+never a held-out one), whose features tasks extract and choose; every whole text is scored by tasks.
 
 Defined results: null, empty and blank texts have no features; their expected grade is 0 and they are not
 kept. Rows that repeat a doc_id are scored each for itself. Without two grades in the sample every document
@@ -22,17 +22,19 @@ score; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import whole_text
-from tallyhouse.llm.training import BUCKETS, MOST_PER_CLASS, Adam, associated, held_out, labelled_sample, place, sigmoid
+from tallyhouse.llm.common import Scratch, whole_text
+from tallyhouse.llm.training import (
+    BUCKETS, LEAST_DOCUMENTS, LEAST_Z, MOST_PER_CLASS, Adam, associated, held_out, labelled_sample, place, sigmoid,
+)
 
 CACHE_WORDS = 300_000
 _SHAPES = [(re.compile(r"[^\W\d_A-ZÀ-Þ]+"), "a"), (re.compile(r"[A-ZÀ-Þ]+"), "A"), (re.compile(r"\d+"), "0")]
@@ -46,37 +48,82 @@ def shape(word: str) -> str:
 
 
 def _of_word(word: str) -> tuple[str, tuple[int, ...]]:
-    kind = shape(word)
-    letters = "".join(filter(str.isalpha, word.lower()))
-    found = [place("s" + kind), place(f"n{min(len(word), 20)}")]
+    if word.isascii() and word.isalpha() and word.islower():
+        kind, letters = "a", word  # the common case; the general one gives the same
+    else:
+        kind, letters = shape(word), "".join(filter(str.isalpha, word.lower()))
+    found = [_named("s" + kind), _named(f"n{min(len(word), 20)}")]
     if letters:
         found.append(place("w" + letters))
     return kind, tuple(found)
 
 
-def features(text: str, known: dict[str, tuple[str, tuple[int, ...]]]) -> tuple[np.ndarray, np.ndarray]:
+_named = lru_cache(10_000)(place)
+
+
+class Words(dict):
+    """Numbers of the words met and, by number, their shapes and places; starts anew when it is full."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._start()
+
+    def _start(self) -> None:
+        self.clear()
+        self._shapes: dict[str, int] = {}
+        self._kind = np.zeros(1024, np.int64)
+        self._places = np.full((1024, 3), BUCKETS, np.int32)
+        self._pairs: dict[int, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        number = len(self)
+        if number == len(self._kind):
+            self._kind = np.concatenate([self._kind, np.zeros_like(self._kind)])
+            self._places = np.concatenate([self._places, np.full_like(self._places, BUCKETS)])
+        kind, found = _of_word(word)
+        self._kind[number] = self._shapes.setdefault(kind, len(self._shapes))
+        self._places[number, : len(found)] = found
+        self[word] = number
+        return number
+
+    def counted(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a text's features and how often; a place may stand there several times.
+
+        Place ``BUCKETS`` is that of no feature.
+        """
+        if len(self) > CACHE_WORDS:
+            self._start()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        kinds = self._kind[numbers]
+        codes, times = np.unique((kinds[:-1] << 32) | kinds[1:], return_counts=True)
+        codes = codes.tolist()
+        missing = [c for c in codes if c not in self._pairs]
+        if missing:
+            names = list(self._shapes)
+            for c in missing:
+                self._pairs[c] = place(f"p{names[c >> 32]} {names[c & 0xFFFFFFFF]}")
+        pairs = np.fromiter(map(self._pairs.__getitem__, codes), np.int32, len(codes))
+        own = self._places[numbers].ravel()
+        repeats, distinct = np.count_nonzero(numbers[1:] == numbers[:-1]), len(set(words))
+        places = np.concatenate([own, pairs, np.array([REPEATS, DISTINCT], np.int32)])
+        counts = np.concatenate([np.ones(len(own), np.int64), times, [repeats, distinct]])
+        return places, counts
+
+
+REPEATS, DISTINCT = place("repeats"), place("distinct")
+
+
+def features(text: str, known: Words) -> tuple[np.ndarray, np.ndarray]:
     """Places and weights; the square root of a share lets a few words count."""
     words = text.split()
     if not words:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    counts: Counter = Counter(words)
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    total: Counter = Counter()
-    for word, n in counts.items():
-        if word not in known:
-            known[word] = _of_word(word)
-        for at in known[word][1]:
-            total[at] += n
-    kinds = [known[w][0] for w in words]
-    for (a, b), n in Counter(zip(kinds, kinds[1:])).items():
-        total[place(f"p{a} {b}")] += n
-    repeats = sum(a == b for a, b in zip(words, words[1:]))
-    total[place("repeats")] += repeats
-    total[place("distinct")] += len(counts)
-    places = np.fromiter(total, np.int32)
-    shares = np.sqrt(np.fromiter(total.values(), np.float32) / len(words))
-    return places, shares
+    places, counts = known.counted(words)
+    places, at = np.unique(places, return_inverse=True)
+    total = np.bincount(at, counts)
+    if places[-1] == BUCKETS:
+        places, total = places[:-1], total[:-1]
+    return places, np.sqrt(total.astype(np.float32) / len(words))
 
 
 @dataclass(frozen=True)
@@ -126,12 +173,56 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, classes:
     return Model(weights, cuts)
 
 
+def _chosen(table: DataFrame, classes: int) -> np.ndarray:
+    """Which features :func:`fit` would use; tasks add up, and what may count comes back, ``BUCKETS`` rows at most.
+
+    Places of the features that every text has are chosen too, so that no document of the sample is without any.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # per feature its documents, weights, squares, and weights of the documents above each threshold
+        sums = np.zeros((classes + 2, BUCKETS))
+        for batch in batches:
+            for grade, places, shares in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at, w = np.frombuffer(places, np.int32), np.frombuffer(shares, np.float32).astype(np.float64)
+                sums[0, at] += 1
+                sums[1, at] += w
+                sums[2, at] += w * w
+                for k in range(min(grade, classes - 1)):
+                    sums[3 + k, at] += w
+        met = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), *(pa.array(x[met]) for x in sums)], ["place", *names])
+
+    names = [f"s{i}" for i in range(classes + 2)]
+    partial = table.select("grade", "places", "shares").mapInArrow(run, ", ".join(["place int", *(f"{x} double" for x in names)]))
+    added = partial.groupBy("place").agg(*(F.sum(x).alias(x) for x in names))
+    rows = added.filter(F.col("s0") >= LEAST_DOCUMENTS).toPandas()
+    of_grade = {r["grade"]: r["count"] for r in table.groupBy("grade").count().collect()}
+    n = sum(of_grade.values())
+    chosen = np.zeros(BUCKETS, bool)
+    chosen[[REPEATS, DISTINCT]] = True
+    for k in range(classes - 1):
+        above = sum(m for grade, m in of_grade.items() if grade > k)
+        if 0 < above < n:
+            total, square, having = (rows[c].to_numpy() for c in ("s1", "s2", f"s{3 + k}"))
+            spread = np.sqrt(np.maximum(square / n - (total / n) ** 2, 1e-12) * (above / n) * (1 - above / n))
+            r = (having - total * (above / n)) / n / np.maximum(spread, 1e-12)
+            # rounding may differ from fit's, which decides; here what is close passes
+            chosen[rows["place"].to_numpy()[np.abs(r) * np.sqrt(n) >= LEAST_Z * (1 - 1e-6)]] = True
+    return chosen
+
+
 def train(docs: DataFrame, ratings: DataFrame, classes: int, id_col: str = "doc_id", text_col: str = "text", most_per_class: int = MOST_PER_CLASS) -> Model:
-    """Fit on a bounded sample of ``ratings`` (doc_id, grade)."""
+    """Fit on a bounded sample of ``ratings`` (doc_id, grade), one text per id: of several the one of smallest digest.
+
+    Tasks extract the features and choose among them; the driver gets the chosen ones.
+    """
     sample = labelled_sample(docs, ratings, classes, id_col, text_col, most_per_class)
+    first = F.min(F.struct(F.sha2("text", 256).alias("digest"), "text", "grade")).alias("first")
+    once = sample.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(first).select("doc_id", "first.text", "first.grade")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict = {}
+        known = Words()
         for batch in batches:
             for i in range(batch.num_rows):
                 name, text, grade = (c[i].as_py() for c in batch.columns)
@@ -139,26 +230,51 @@ def train(docs: DataFrame, ratings: DataFrame, classes: int, id_col: str = "doc_
                 cells = zip((name, grade, places.tobytes(), shares.tobytes()), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in cells], ["doc_id", "grade", "places", "shares"])
 
-    found = sample.select(F.col("doc_id").cast("long"), "text", "grade").mapInArrow(run, "doc_id long, grade int, places binary, shares binary")
-    taken = found.toPandas().sort_values(["doc_id", "places"])  # bounded by most_per_class
+    scratch = Scratch(docs.sparkSession, "quality")
+    found = once.mapInArrow(run, _FEATURES).filter(F.octet_length("places") > 0)
+    table = scratch.write(found, "features")
+    shared = docs.sparkSession.sparkContext.broadcast(_chosen(table, classes))  # BUCKETS flags
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for places, shares in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                places, shares = np.frombuffer(places, np.int32), np.frombuffer(shares, np.float32)
+                used = shared.value[places]
+                kept.append((places[used].tobytes(), shares[used].tobytes()))
+            cells = [pa.array([k[i] for k in kept], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *cells], batch.schema.names)
+
+    taken = table.mapInArrow(narrow, _FEATURES).toPandas().sort_values("doc_id")  # most_per_class texts of chosen features
+    scratch.release(table)
     rows = [(np.frombuffer(p, np.int32), np.frombuffer(s, np.float32)) for p, s in zip(taken["places"], taken["shares"], strict=True)]
     return fit(rows, taken["grade"].to_numpy(), classes)
 
 
+_FEATURES = "doc_id long, grade int, places binary, shares binary"
+
+
 def score(docs: DataFrame, model: Model, least_grade: int = 1, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, expected_grade, tail (probability of ``least_grade`` or more), kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, cuts = shared.value.weights.astype(np.float64), shared.value.thresholds
-        known: dict = {}
+        cuts, known = shared.value.thresholds, Words()
+        used = np.flatnonzero(shared.value.weights)
+        weights = shared.value.weights[used].astype(np.float64)
+        # of a text's features only those with a weight are looked at; all others are counted in a last cell
+        cell = np.full(BUCKETS + 1, len(used), np.int64)
+        cell[used] = np.arange(len(used))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 rows = batch.slice(at, 500)
                 expected, tail = [], []
                 for text in rows.column(1).to_pylist():
-                    places, shares = features(text, known)
-                    above = sigmoid((weights[places] * shares).sum() - cuts) if len(places) else np.zeros(len(cuts))
+                    words, above = text.split(), np.zeros(len(cuts))
+                    if words:
+                        places, counts = known.counted(words)
+                        total = np.bincount(cell[places], counts, len(used) + 1)[:-1]
+                        above = sigmoid((weights * np.sqrt(total / len(words))).sum() - cuts)
                     expected.append(float(above.sum()) if np.isfinite(cuts).all() else 0.0)
                     tail.append(float(above[least_grade - 1]))
                 cells = [rows.column(0), pa.array(expected, pa.float64()), pa.array(tail, pa.float64())]

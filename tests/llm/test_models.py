@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,6 +89,66 @@ def test_quality(documents, labels):
     assert quality.quality(documents(*rows).filter("doc_id < 0"), labels).collect() == []
 
 
+def plain_features(text):
+    """The features counted one by one, as text."""
+    found = Counter()
+    words = text.split()
+    kinds = [quality.shape(w) for w in words]
+    for word, kind in zip(words, kinds):
+        found["s" + kind] += 1
+        found[f"n{min(len(word), 20)}"] += 1
+        letters = "".join(c for c in word.lower() if c.isalpha())
+        if letters:
+            found["w" + letters] += 1
+    for i in range(1, len(words)):
+        found[f"p{kinds[i - 1]} {kinds[i]}"] += 1
+    if words:
+        found["repeats"] += sum(a == b for a, b in zip(words, words[1:]))
+        found["distinct"] += len(set(words))
+    total = Counter()
+    for name, n in found.items():
+        total[training.place(name)] += n
+    return {at: (n / len(words)) ** 0.5 for at, n in total.items()}
+
+
+@pytest.mark.parametrize("most", [3, 300_000])
+def test_features_are_those_counted_one_by_one(monkeypatch, most):
+    monkeypatch.setattr(quality, "CACHE_WORDS", most)
+    known = quality.Words()
+    for text in ["", " ", "one", "a a a b, a", "Ärger über 12,5 % -- x_y ÉCOLE ß ǅ", "中文 中文 abc ABC aBc 3rd", *(t for _, t in corpus(30)[0])]:
+        places, shares = quality.features(text, known)
+        wanted = plain_features(text)
+        assert len(set(places.tolist())) == len(places) and set(places.tolist()) == set(wanted)
+        assert np.allclose(shares, [wanted[p] for p in places.tolist()], rtol=1e-6)
+
+
+def test_quality_fits_and_scores_as_a_plain_loop(documents, labels):
+    """Training on every feature of the sample, by the driver alone, gives the same model; so do plain sums the same scores."""
+    rows, known = corpus()
+    learned = [(i, g) for i, q, t in known for g in [0 if not q else 1 if t else 2] if zlib.crc32(str(i).encode()) % 5]
+    words = quality.Words()
+    # a repeated id counts once, by the text of smallest digest
+    other = "another text of the same id"
+    texts = {i: t for i, t in rows} | {learned[0][0]: min(rows[learned[0][0]][1], other, key=lambda t: hashlib.sha256(t.encode()).hexdigest())}
+    plain = quality.fit([quality.features(texts[i], words) for i, _ in learned], np.array([g for _, g in learned]), 3)
+    docs = documents(*rows, *[(learned[0][0], t) for t in (other, other)])
+    model = quality.train(docs, quality.given_grades(labels), 3)
+    assert set(np.flatnonzero(plain.weights)) == set(np.flatnonzero(model.weights))
+    assert np.allclose(plain.weights, model.weights, atol=1e-4) and np.allclose(plain.thresholds, model.thresholds, atol=1e-4)
+    got = {r["doc_id"]: r for r in quality.score(documents(*rows), model).collect()}
+    for i, text in rows[::7]:
+        x = sum(model.weights[at] * share for at, share in plain_features(text).items())
+        above = [1 / (1 + np.exp(cut - x)) for cut in model.thresholds]
+        assert np.isclose(got[i]["expected_grade"], sum(above), atol=1e-5) and np.isclose(got[i]["tail"], above[0], atol=1e-5)
+
+
+def test_one_grade_only_and_long_texts_of_new_words(documents, labels):
+    docs = documents((1, "x y z"), (2, None), (3, " ".join(f"w{i}" for i in range(30_000))))
+    good = labels.withColumn("quality", labels["quality"] * 0 + 1).withColumn("toxic", labels["toxic"] * 0)
+    got = sorted(tuple(r) for r in quality.quality(docs, good).select("doc_id", "expected_grade", "kept").collect())
+    assert [g[:2] for g in got] == [(1, 0.0), (2, 0.0), (3, 0.0)]
+
+
 def test_thresholds_are_ordered():
     draw = np.random.default_rng(0)
     grades = draw.integers(0, 4, 400)
