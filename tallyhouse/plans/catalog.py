@@ -1322,8 +1322,7 @@ def st_daily_totals(spark, folder):
     spans = _in_spans(_batches(spark, folder))
     totals = drops.daily_totals(_delivered(spark, [*spans, _too_late(spans[0])]))
     path, mark = scratch_path(spark, "totals"), scratch_path(spark, "mark")
-    drops.update_table(totals, path, mark)
-    return shown(drops.current_rows(spark, path, "event_date"))
+    return shown(drops.merge_totals(totals, path, mark, "event_date", most_deltas=3).read())
 
 
 @query("st_dedup")

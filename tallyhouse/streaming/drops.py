@@ -226,14 +226,34 @@ def merge_stream(
     rows = with_event_date(stream)
     order = change_time() if newest_by is None else newest_by
     table = MergeTable(stream.sparkSession, path, rows.schema, key, order, part="event_date")
+    return _merged(rows, table, checkpoint, "append", most_deltas)
 
+
+def merge_totals(
+    totals: DataFrame, path: str, checkpoint: str, key: str, most_deltas: int = 8
+) -> MergeTable:
+    """Run an aggregating stream into a table that is merged when read; returns that table.
+
+    A trigger writes the rows it changed, and a later trigger's row of a key replaces an earlier one's. What a
+    reader meets is one base and at most ``most_deltas`` folders, however many triggers there were. A repeated trigger
+    changes nothing.
+    """
+    # all equally new, of which the later trigger's counts
+    table = MergeTable(totals.sparkSession, path, totals.schema, key, F.lit(0))
+    return _merged(totals, table, checkpoint, "update", most_deltas)
+
+
+def _merged(
+    rows: DataFrame, table: MergeTable, checkpoint: str, mode: str, most_deltas: int
+) -> MergeTable:
     def merge(batch: DataFrame, trigger: int) -> None:
         # the batch belongs to a session of its own, the table to the caller's
         table.append(batch, trigger + 1)
         table.compact_when_due(most_deltas)
 
     (
-        rows.writeStream.option("checkpointLocation", checkpoint)
+        rows.writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
         .foreachBatch(merge)
         .trigger(availableNow=True)
         .start()

@@ -51,6 +51,22 @@ def test_daily_totals_keep_late_rows_and_drop_too_late_ones(spark, tmp_path):
     assert got[-1] == (date(2024, 11, 7), 2)
 
 
+def test_totals_merged_when_read_stay_few_folders(spark, tmp_path):
+    three_days(spark, tmp_path / "in")
+    path, mark = str(tmp_path / "out"), str(tmp_path / "mark")
+    wanted = [(date(2024, 11, 1), 3), (date(2024, 11, 2), 2), (date(2024, 11, 6), 1), (date(2024, 11, 7), 1)]
+    for _ in range(2):  # the second time nothing is new
+        stream = drops.read_drops(spark, str(tmp_path / "in"), PATTERN, files_per_trigger=1)
+        table = drops.merge_totals(drops.daily_totals(stream), path, mark, "event_date", most_deltas=2)
+        assert tuples(table.read().select("event_date", "transaction_count")) == wanted
+    table.clean()
+    assert 1 <= len([f for f in os.listdir(path) if "=" in f]) <= 2
+    put(spark, tmp_path / "in", "2024-11-09", [at("2024-11-07 11:00:00", "f")], 6_000)
+    stream = drops.read_drops(spark, str(tmp_path / "in"), PATTERN, files_per_trigger=1)
+    table = drops.merge_totals(drops.daily_totals(stream), path, mark, "event_date", most_deltas=2)
+    assert tuples(table.read().select("event_date", "transaction_count")) == [*wanted[:3], (date(2024, 11, 7), 2)]
+
+
 def test_one_trigger_equals_a_batch_job(spark, tmp_path):
     three_days(spark, tmp_path / "in")
     stream = drops.read_drops(spark, str(tmp_path / "in"), PATTERN)
