@@ -51,17 +51,23 @@ def conform_raw(
     currency: str = CURRENCY,
     source_system: str = SOURCE_SYSTEM,
     load_ts: datetime | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Conformed transactions: names changed, money exact, constants added, no row dropped."""
-    moment = parsed_time(raw, "transaction_date")
-    renamed = raw.withColumn("transaction_date", moment).withColumnsRenamed(RENAMED)
-    typed = {c: money(c) for c in MONEY_COLUMNS}
+    """Conformed transactions: names changed, money exact, constants added, no row dropped.
+
+    With ``columns`` only these, from raw rows that need not have more.
+    """
+    kept = columns or SILVER_ORDER
+    if "transaction_timestamp" in kept:
+        raw = raw.withColumn("transaction_date", parsed_time(raw, "transaction_date"))
+    renamed = raw.withColumnsRenamed(RENAMED)
+    typed = {c: money(c) for c in MONEY_COLUMNS if c in kept}
     added = {
         "currency": F.lit(currency),
         "loaded_at": audit_time(load_ts),
         "source_system": F.lit(source_system),
     }
-    return renamed.withColumns(typed | added).select(*SILVER_ORDER)
+    return renamed.withColumns(typed | added).select(*kept)
 
 
 def conform_batch(

@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import fields
 from datetime import datetime
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators import dimensions
-from tallyhouse.operators.conform import conform_raw
+from tallyhouse.operators.conform import RENAMED, conform_raw
 from tallyhouse.operators.fact import Dimensions, build_fact
-from tallyhouse.session import stage
+from tallyhouse.session import sent_when_small, stage
 from tallyhouse.sources import files, tables, testtables
 
 
+def sent_members(dims: Dimensions) -> Dimensions:
+    """Written dimensions; those of bounded size are broadcast, whatever Spark's threshold, so facts are not shuffled."""
+    return Dimensions(**{f.name: sent_when_small(getattr(dims, f.name)) for f in fields(dims)})
+
+
 class Warehouse:
     """Conformed table, dimensions and fact of one raw table.
 
     A layer is computed when first asked for and written to the shared folder. The joins and
     distinct passes of the build thus run once, and every report is a narrow scan of the fact.
+    ``narrow`` makes the raw table with some of its columns and all of its rows, for what needs no more.
     """
 
-    def __init__(self, raw: DataFrame, load_ts: datetime | None = None) -> None:
+    def __init__(
+        self, raw: DataFrame, load_ts: datetime | None = None, narrow: Callable[..., DataFrame] | None = None
+    ) -> None:
         self.raw = raw
         self.load_ts = load_ts
+        self.narrow = narrow or raw.select
 
     @property
     def spark(self) -> SparkSession:
@@ -34,6 +45,13 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return stage(conform_raw(self.raw, load_ts=self.load_ts), "silver")
 
+    def silver_of(self, *columns: str) -> DataFrame:
+        """Some columns of all conformed rows: of the written table if there is one, else not written first."""
+        if "silver" in self.__dict__:
+            return self.silver.select(*columns)
+        back = {new: old for old, new in RENAMED.items()}
+        return conform_raw(self.narrow(*(back.get(c, c) for c in columns)), load_ts=self.load_ts, columns=[*columns])
+
     @cached_property
     def customers(self) -> DataFrame:
         return stage(dimensions.dim_customers(self.silver, self.load_ts), "dim_customers")
@@ -41,7 +59,8 @@ class Warehouse:
     @cached_property
     def merchant_names(self) -> DataFrame:
         """Rows per merchant and name, from which merchants and the checks of their names come."""
-        return stage(dimensions.merchant_names(self.silver), "merchant_names")
+        rows = self.silver_of("merchant_id", "merchant_name")
+        return stage(dimensions.merchant_names(rows), "merchant_names")
 
     @cached_property
     def merchants(self) -> DataFrame:
@@ -83,7 +102,8 @@ class Warehouse:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return stage(build_fact(self.silver, self.dims, self.load_ts), "fact")
+        dims = sent_members(self.dims)
+        return stage(build_fact(self.silver, dims, self.load_ts), "fact")
 
 
 _LOADED = datetime(2024, 12, 1)
@@ -94,7 +114,9 @@ def warehouse_of(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse over the test tables of a folder, one per application."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _warehouses:
-        _warehouses[key] = Warehouse(testtables.raw_transactions(spark, folder), _LOADED)
+        raw = testtables.raw_transactions(spark, folder)
+        narrow = partial(testtables.raw_transactions, spark, folder, same_rows=True)
+        _warehouses[key] = Warehouse(raw, _LOADED, narrow)
     return _warehouses[key]
 
 
@@ -145,7 +167,7 @@ def build_warehouse(
     with ThreadPoolExecutor(len(builds)) as pool:
         built = list(pool.map(lambda name: put("gold", name, builds[name]()), builds))
     # written first: sampling the borders of a layout would do the lookups once more
-    fact = stage(build_fact(silver, Dimensions(*built), load_ts), "fact")
+    fact = stage(build_fact(silver, sent_members(Dimensions(*built)), load_ts), "fact")
     # laid out by time, as most reports ask for spans of dates
     laid = tables.clustered(fact, "transaction_timestamp", spread="transaction_id")
     return {

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyhouse.fixed_values import CURRENCY, EST_SHIFT_MINUTES
 from tallyhouse.functions import ids
 from tallyhouse.functions.dates import shift_minutes
+from tallyhouse.session import sent_when_small
 
 DATE_SHIFT_YEARS = 20
 
@@ -24,13 +25,26 @@ def _choose(number: Column, values: list[str]) -> Column:
     return chosen.otherwise(values[-1])
 
 
-def raw_transactions(spark: SparkSession, folder: str, *wanted: str) -> DataFrame:
+#: Key of each parent.
+_PARENT_KEYS = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey"}
+
+
+def _repeats(parent: DataFrame, key: str) -> bool:
+    """Whether a key of a parent repeats, so that a lookup doubles lines."""
+    counted = parent.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return not counted.filter(F.col("count") > 1).isEmpty()
+
+
+def raw_transactions(spark: SparkSession, folder: str, *wanted: str, same_rows: bool = False) -> DataFrame:
     """Raw-shaped transactions, one per order line; all columns, or only the wanted ones.
 
     All parents are looked up by their unique key with left joins, so no line is lost or doubled
     and a parent that no wanted column needs can be left out: Spark cannot know that the keys are
-    unique and would keep the join. Small parents are broadcast by Spark on their measured size,
-    large ones are shuffled, with skewed partitions split at run time.
+    unique and would keep the join. Customers, parts and suppliers of bounded number are broadcast,
+    larger tables are shuffled, with skewed partitions split at run time.
+
+    With ``same_rows`` a parent is left out only if its keys are found to be unique, so that there
+    are as many rows as with all columns whatever the tables hold.
     """
     columns = _raw_columns()
     names = list(wanted) or list(columns)
@@ -39,6 +53,9 @@ def raw_transactions(spark: SparkSession, folder: str, *wanted: str) -> DataFram
     def table(name: str, *kept: str) -> DataFrame:
         return read_table(spark, folder, name).select(*kept)
 
+    if same_rows:
+        parents |= {p for p, k in _PARENT_KEYS.items() if p not in parents and _repeats(table(p, k), k)}
+
     joined = table(
         "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate",
@@ -47,14 +64,14 @@ def raw_transactions(spark: SparkSession, folder: str, *wanted: str) -> DataFram
         placed = table("orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
         if "customer" in parents:
             # orders meet their customers first: a smaller shuffle than lines would be
-            people = table("customer", "c_custkey", "c_mktsegment")
+            people = sent_when_small(table("customer", "c_custkey", "c_mktsegment"))
             placed = placed.join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
         joined = joined.join(placed, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "part" in parents:
-        parts = table("part", "p_partkey", "p_name", "p_type")
+        parts = sent_when_small(table("part", "p_partkey", "p_name", "p_type"))
         joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     if "supplier" in parents:
-        suppliers = table("supplier", "s_suppkey", "s_name")
+        suppliers = sent_when_small(table("supplier", "s_suppkey", "s_name"))
         joined = joined.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     return joined.select(*(columns[name][1].alias(name) for name in names))
 
