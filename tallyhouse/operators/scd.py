@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.conform import audit_time
+from tallyhouse.operators.fact import SPREAD
 from tallyhouse.operators.keys import extend_keys
 from tallyhouse.operators.ordered import carried_forward, with_neighbours, with_positions
 from tallyhouse.session import stage
@@ -158,6 +159,8 @@ def scd2_apply(
 
 #: Versions that may be sent to every task of a point-in-time lookup.
 MOST_BROADCAST = 200_000
+#: Versions of a key that may stand in one row of such a lookup.
+MOST_PER_KEY = 10_000
 
 
 def point_in_time_lookup(
@@ -171,10 +174,11 @@ def point_in_time_lookup(
     """Attributes of the version that was valid when the fact happened; NULL if there is none.
 
     A history of at most ``MOST_BROADCAST`` versions is sent to the facts, which stay where they are, as one
-    sorted array per key.
-    For a longer one, facts and versions are sorted together once and the version is carried
-    forward, so neither a busy key nor a key with many versions multiplies rows. With ``first_version_open`` the first
-    version of a key also covers the time before it. A fact without a time has no version.
+    sorted array per key. A longer one is met in the same form by shuffling the facts once by key, busy keys split at
+    run time. Only if a key has more than ``MOST_PER_KEY`` versions, facts and versions are sorted together and the
+    version is carried forward, so neither a busy key nor a key with many versions multiplies rows. With
+    ``first_version_open`` the first version of a key also covers the time before it. A fact without a time has no
+    version.
     """
     first = versions.groupBy(F.col(natural_key).alias("_key")).agg(
         F.min("effective_start_date").alias("_first")
@@ -192,10 +196,10 @@ def point_in_time_lookup(
             F.col("effective_end_date").cast("timestamp_ntz").alias("until"), *take
         ).alias("_version"),
     )
-    per_key = marks.limit(MOST_BROADCAST + 1).groupBy("_k").count()
+    per_key = marks.groupBy("_k").count()
     total, longest = per_key.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).head()
-    if total <= MOST_BROADCAST:
-        return _sent_to_facts(facts, marks, natural_key, at, take, longest)
+    if total <= MOST_BROADCAST or longest <= MOST_PER_KEY:
+        return _met_by_arrays(facts, marks, natural_key, at, take, longest, total <= MOST_BROADCAST)
     events = facts.select(
         F.col(natural_key).alias("_k"),
         F.col(at).cast("timestamp_ntz").alias("_t"),
@@ -211,10 +215,12 @@ def point_in_time_lookup(
     )
 
 
-def _sent_to_facts(
-    facts: DataFrame, marks: DataFrame, natural_key: str, at: str, take: list[str], longest: int
+def _met_by_arrays(
+    facts: DataFrame, marks: DataFrame, natural_key: str, at: str, take: list[str], longest: int, sent: bool
 ) -> DataFrame:
-    """The lookup with a short history, of ``longest`` versions at most per key: a sorted array per key, searched by halving.
+    """The lookup by a sorted array per key, of ``longest`` versions at most, searched by halving.
+
+    The arrays are sent to the facts, or with ``sent`` false met by a shuffle, in which facts without a key are spread.
 
     A fact meets one row, whatever the versions of its key, and looks at the logarithm of their number. The last
     version that has started holds until its end.
@@ -225,7 +231,12 @@ def _sent_to_facts(
         F.transform("_all", lambda x: x["_version"]).alias("_versions"),
     )
     same = F.col(natural_key) == F.col("_k")
-    met = facts.join(F.broadcast(histories), same, "left")  # bounded by MOST_BROADCAST
+    if sent:
+        met = facts.join(F.broadcast(histories), same, "left")  # bounded by MOST_BROADCAST
+    else:
+        apart = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int")
+        place = F.when(F.col(natural_key).isNull(), apart).otherwise(0)
+        met = facts.join(histories.withColumn("_place", F.lit(0)), same & (place == F.col("_place")), "left")
     moment, begun = F.col(at).cast("timestamp_ntz"), F.col("_begun")
     placed = met.select(*(facts[c] for c in facts.columns), "_starts", "_versions", F.lit(0).alias("_begun"))
     # how many versions have begun, a power of two at a time; a projection each, so that all is compiled

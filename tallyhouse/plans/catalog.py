@@ -710,9 +710,7 @@ def scd2_replay(spark, folder):
 def pit_lookup(spark, folder):
     """Sales by the segment a customer had at the time of the transaction."""
     versions = _customer_versions(spark, folder)
-    silver = warehouse_of(spark, folder).silver.select(
-        "customer_id", "transaction_timestamp", "amount"
-    )
+    silver = warehouse_of(spark, folder).silver_of("customer_id", "transaction_timestamp", "amount")
     found = scd.point_in_time_lookup(
         silver, versions, "customer_id", "transaction_timestamp", ["customer_segment"]
     )
@@ -725,9 +723,7 @@ def pit_lookup(spark, folder):
 def pit_lookup_strict(spark, folder):
     """Transactions per version key, without stretching the first version back."""
     versions = _customer_versions(spark, folder)
-    silver = warehouse_of(spark, folder).silver.select(
-        "transaction_id", "customer_id", "transaction_timestamp"
-    )
+    silver = warehouse_of(spark, folder).silver_of("customer_id", "transaction_timestamp")
     found = scd.point_in_time_lookup(
         silver, versions, "customer_id", "transaction_timestamp", ["customer_key"],
         first_version_open=False,

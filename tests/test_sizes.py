@@ -72,3 +72,21 @@ def long_history(r, keys):
     spans = [(k, f"{k}{i}", START + timedelta(hours=c), None if r.random() < .3 else START + timedelta(hours=c + 30))
              for k, n in keys for i, c in enumerate(sorted(r.sample(range(1000), n)))]
     return spans, [(i, r.choice([None, "none", *(k for k, _ in keys)]), r.choice([None, START + timedelta(hours=r.randrange(-50, 1100))])) for i in range(500)]
+
+
+@pytest.mark.parametrize("first_open", [True, False])
+def test_long_histories_are_met_by_one_shuffle_of_the_facts(spark, monkeypatch, first_open):
+    spans, facts = long_history(random.Random(8), [("hot", 60), ("a", 1), ("b", 5)])
+    dim = spark.createDataFrame(spans, "customer_id string, version string, effective_start_date timestamp, effective_end_date timestamp")
+    df = spark.createDataFrame(facts, "n int, customer_id string, at timestamp_ntz")
+
+    def found():
+        return scd.point_in_time_lookup(df, dim, "customer_id", "at", ["version"], first_open)
+
+    sent = tuples(found())
+    monkeypatch.setattr(scd, "MOST_BROADCAST", 0)
+    carried = []
+    monkeypatch.setattr(scd, "carried_forward", lambda *a, f=scd.carried_forward: carried.append(1) or f(*a))
+    assert tuples(found()) == sent and not carried
+    monkeypatch.setattr(scd, "MOST_PER_KEY", 59)
+    assert tuples(found()) == sent and carried
