@@ -1123,16 +1123,17 @@ def gen_defects(spark, folder):
 # --- files ---------------------------------------------------------------------------------------
 
 
-def _raw_files(spark: SparkSession, folder: str) -> str:
-    path = scratch_path(spark, "raw_csv")
+def _raw_rows(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_transactions(spark, folder)
     columns = schemas.column_types(schemas.RAW_TRANSACTIONS)
-    files.write_raw_csv(
-        raw.withColumn("idx", F.lit(None).cast("bigint")).select(
-            *(F.col(c).cast(t).alias(c) for c, t in columns.items())
-        ),
-        path,
+    return raw.withColumn("idx", F.lit(None).cast("bigint")).select(
+        *(F.col(c).cast(t).alias(c) for c, t in columns.items())
     )
+
+
+def _raw_files(spark: SparkSession, folder: str) -> str:
+    path = scratch_path(spark, "raw_csv")
+    files.write_raw_csv(_raw_rows(spark, folder), path, compressed=True)
     return path
 
 
@@ -1163,11 +1164,10 @@ def src_raw_csv_detected(spark, folder):
 
 def _faulty_files(spark: SparkSession, folder: str) -> str:
     """Files in which every seventh number of points breaks its amount."""
-    text = spark.read.option("header", True).csv(_raw_files(spark, folder))
-    fault = F.pmod(F.col("loyalty_points").cast("bigint"), F.lit(7)) == 3
-    amount = F.when(fault, F.lit("n/a")).otherwise(F.col("product_amount"))
+    fault = F.pmod("loyalty_points", F.lit(7)) == 3
+    amount = F.when(fault, F.lit("n/a")).otherwise(F.col("product_amount").cast("string"))
     path = scratch_path(spark, "raw_csv_faults")
-    text.withColumn("product_amount", amount).write.option("header", True).csv(path)
+    files.write_raw_csv(_raw_rows(spark, folder).withColumn("product_amount", amount), path, compressed=True)
     return path
 
 

@@ -117,16 +117,22 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
     writer.csv(path)
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
-    """Raw transactions as CSV in the raw timestamp format."""
-    (
+#: Lines of a compressed file, which one task reads.
+LINES_PER_FILE = 1_000_000
+
+
+def write_raw_csv(df: DataFrame, path: str, compressed: bool = False) -> None:
+    """Raw transactions as CSV in the raw timestamp format; compressed files hold a bounded number of lines."""
+    writer = (
         df.write.option("header", True)
         .option("encoding", "UTF-8")
         .option("quote", '"')
         .option("escape", '"')
         .option("timestampNTZFormat", RAW_TIMESTAMP_FORMAT)
-        .csv(path)
     )
+    if compressed:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+    writer.csv(path)
 
 
 def write_report(report: DataFrame, path: str, form: str = "json") -> None:

@@ -90,3 +90,19 @@ def test_long_histories_are_met_by_one_shuffle_of_the_facts(spark, monkeypatch,
     assert tuples(found()) == sent and not carried
     monkeypatch.setattr(scd, "MOST_PER_KEY", 59)
     assert tuples(found()) == sent and carried
+
+
+def test_compressed_files_hold_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
+    from tallyhouse.sources import files
+
+    monkeypatch.setattr(files, "LINES_PER_FILE", 25)
+    folder = tables(spark, tmp_path / "in")
+    written = []
+    monkeypatch.setattr(files, "write_raw_csv", lambda df, path, f=files.write_raw_csv, **how: written.append(path) or f(df, path, **how))
+    path = catalog._faulty_files(spark, folder)
+    assert written == [path]  # once, not clean and then faulty
+    assert len(spark.read.text(path).inputFiles()) >= 3 and all(x.endswith(".csv.gz") for x in spark.read.text(path).inputFiles())
+    lines = files.read_raw_csv(spark, path)
+    raw = testtables.raw_transactions(spark, folder)
+    broken = raw.filter(F.pmod("loyalty_points", F.lit(7)) == 3).count()
+    assert (files.good_rows(lines).count(), files.broken_rows(lines).count()) == (raw.count() - broken, broken) and broken
