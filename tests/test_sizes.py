@@ -68,6 +68,14 @@ def test_some_columns_of_all_rows_without_writing_the_layer(spark, tmp_path, twi
     assert counted == tuples(house.silver.groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
 
 
+def test_fan_out_and_lookups_do_not_write_the_conformed_layer(spark, tmp_path):
+    folder = tables(spark, tmp_path)
+    catalog.QUERIES["dq_fanout_uncollapsed"](spark, folder).collect()
+    catalog.QUERIES["pit_lookup"](spark, folder).collect()
+    catalog.QUERIES["pit_lookup_strict"](spark, folder).collect()
+    assert "silver" not in warehouse.warehouse_of(spark, folder).__dict__
+
+
 def long_history(r, keys):
     spans = [(k, f"{k}{i}", START + timedelta(hours=c), None if r.random() < .3 else START + timedelta(hours=c + 30))
              for k, n in keys for i, c in enumerate(sorted(r.sample(range(1000), n)))]
