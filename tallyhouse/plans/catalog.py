@@ -290,7 +290,7 @@ def _customer_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
     last = fact.agg(F.max("date_key")).scalar()
     late = F.col("date_key") > last - 10_000
     first, more = (
-        distinct.daily_bitmaps(part, "customer_key", by=["product_category"])
+        stage(distinct.daily_bitmaps(part, "customer_key", by=["product_category"]), "daily_bitmaps")
         for part in (fact.filter(~late), fact.filter(late | (F.col("date_key") % 7 == 0)))
     )
     return stage(distinct.with_new_days(first, more), "customer_bitmaps")

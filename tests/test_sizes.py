@@ -100,6 +100,18 @@ def test_long_histories_are_met_by_one_shuffle_of_the_facts(spark, monkeypatch,
     assert tuples(found()) == sent and carried
 
 
+def test_bitmaps_of_a_task_are_bounded_in_number(spark, monkeypatch):
+    r = random.Random(9)
+    rows = [(20240101 + r.randrange(9), r.choice("ab"), r.randrange(1, 10**6)) for _ in range(500)]
+    bitmaps = distinct.daily_bitmaps(spark.createDataFrame(rows, "date_key long, kind string, customer_key long"), "customer_key", by=["kind"]).cache()
+    monkeypatch.setattr(distinct, "BITMAPS_PER_TASK", 40)
+    both = distinct.with_new_days(bitmaps, bitmaps)
+    parts = both.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) > 6 and sum(x["count"] for x in parts) == bitmaps.count()
+    got = tuples(distinct.distinct_over(both, "kind"))
+    assert got == sorted((k, len({x[2] for x in rows if x[1] == k})) for k in "ab")
+
+
 def test_compressed_files_hold_a_bounded_number_of_lines(spark, tmp_path, monkeypatch):
     from tallyhouse.sources import files
 
