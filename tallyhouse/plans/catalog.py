@@ -24,7 +24,7 @@ from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
 from tallyhouse.plans.star_load import StarLoad
 from tallyhouse.plans.warehouse import build_warehouse, load_bronze, warehouse_of
-from tallyhouse.session import scratch_path, stage
+from tallyhouse.session import scratch_path, sent_when_small, stage
 from tallyhouse.sources import files, tables
 from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table, zone_plan
 from tallyhouse.streaming import drops
@@ -1274,6 +1274,8 @@ def snk_view(spark, folder):
 
 
 SPANS, FILES = 4, 2
+#: Rows of a delivered file, which one task writes.
+ROWS_PER_FILE = 250_000
 
 
 def _in_spans(batches: DataFrame) -> list[DataFrame]:
@@ -1283,8 +1285,15 @@ def _in_spans(batches: DataFrame) -> list[DataFrame]:
     return [batches.filter(span == i) for i in range(SPANS)]
 
 
-def _delivered(spark: SparkSession, parts: list[DataFrame], count: int = FILES) -> DataFrame:
-    """A stream that takes one part, of so many files, per trigger."""
+def _most_rows(parts: list[DataFrame]) -> int:
+    """Rows of the largest part."""
+    numbered = reduce(DataFrame.union, [p.select(F.lit(i).alias("part")) for i, p in enumerate(parts)])
+    return numbered.groupBy("part").count().agg(F.max("count")).head()[0] or 0
+
+
+def _delivered(spark: SparkSession, parts: list[DataFrame], most: int = 0, count: int = FILES) -> DataFrame:
+    """A stream that takes one part, of so many files, per trigger; more files for ``most`` rows in a part."""
+    count = max(count, -(-most // ROWS_PER_FILE))
     path = scratch_path(spark, "delivered")
     for part in parts:
         part.repartition(count).write.mode("append").parquet(path)
@@ -1316,9 +1325,11 @@ def st_ingest(spark, folder):
 def st_daily_totals(spark, folder):
     """Totals over five triggers; the last one brings rows that the watermark drops."""
     spans = _in_spans(_batches(spark, folder))
-    totals = drops.daily_totals(_delivered(spark, [*spans, _too_late(spans[0])]))
+    most = _most_rows(spans)
+    totals = drops.daily_totals(_delivered(spark, [*spans, _too_late(spans[0])], most))
     path, mark = scratch_path(spark, "totals"), scratch_path(spark, "mark")
-    return shown(drops.merge_totals(totals, path, mark, "event_date", most_deltas=3).read())
+    state = drops.state_partitions(spark, most)
+    return shown(drops.merge_totals(totals, path, mark, "event_date", most_deltas=3, partitions=state).read())
 
 
 @query("st_dedup")
@@ -1327,9 +1338,11 @@ def st_dedup(spark, folder):
     spans = _in_spans(_batches(spark, folder))
     again = [s.filter(F.pmod(F.col("amount") * 100, F.lit(5)) == 0) for s in spans]
     parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], again)), again[-1]]
-    unique = drops.without_repeats(_delivered(spark, parts))
+    most = _most_rows(parts)
+    unique = drops.without_repeats(_delivered(spark, parts, most))
     path, mark = scratch_path(spark, "unique"), scratch_path(spark, "mark")
-    drops.append_to_files(unique.select("transaction_id", "batch_day", "amount"), path, mark)
+    kept = unique.select("transaction_id", "batch_day", "amount")
+    drops.append_to_files(kept, path, mark, partitions=drops.state_partitions(spark, most))
     return spark.read.parquet(path).groupBy("batch_day").agg(
         metrics.rows(), metrics.summed("amount", "total_amount")
     )
@@ -1337,8 +1350,9 @@ def st_dedup(spark, folder):
 
 @query("st_lookup")
 def st_lookup(spark, folder):
-    dim = warehouse_of(spark, folder).merchants
-    stream = _delivered(spark, _in_spans(_batches(spark, folder)))
+    dim = sent_when_small(warehouse_of(spark, folder).merchants)
+    spans = _in_spans(_batches(spark, folder))
+    stream = _delivered(spark, spans, _most_rows(spans))
     keyed = drops.with_dimension(stream, dim, "merchant_id", "merchant_id", "merchant_key")
     path, mark = scratch_path(spark, "keyed"), scratch_path(spark, "mark")
     drops.append_to_files(keyed.select("merchant_key", "transaction_id", "amount"), path, mark)
@@ -1355,7 +1369,7 @@ def st_lookup_changing(spark, folder):
     Facts from two days before the announcement on find their merchant.
     """
     batches = _batches(spark, folder)
-    dim = warehouse_of(spark, folder).merchants.select("merchant_id", "merchant_key")
+    dim = sent_when_small(warehouse_of(spark, folder).merchants).select("merchant_id", "merchant_key")
     kind = F.pmod("merchant_key", F.lit(3))
     firsts = batches.groupBy("merchant_id").agg(F.min("transaction_timestamp").alias("first_event"))
     days = F.when(kind == 1, 1).otherwise(10)
@@ -1384,12 +1398,15 @@ def st_lookup_changing(spark, folder):
     last = spark.range(1).select(*(
         (end if f.name == "transaction_timestamp" else F.lit(None)).cast(f.dataType).alias(f.name) for f in batches.schema
     ))
+    spans = _in_spans(batches)
+    most = _most_rows(spans)
     keyed = drops.with_changing_dimension(
-        _delivered(spark, [*_in_spans(batches), last], FILES), dim.filter(kind == 0), _delivered(spark, told, 1),
+        _delivered(spark, [*spans, last], most), dim.filter(kind == 0), _delivered(spark, told, count=1),
         "merchant_id", "merchant_id", "merchant_key",
     )
     path, mark = scratch_path(spark, "keyed"), scratch_path(spark, "mark")
-    drops.append_to_files(keyed.select("merchant_key", "transaction_id", "amount"), path, mark)
+    rows = keyed.select("merchant_key", "transaction_id", "amount")
+    drops.append_to_files(rows, path, mark, partitions=drops.state_partitions(spark, most))
     return spark.read.parquet(path).filter(F.col("transaction_id").isNotNull()).groupBy("merchant_key").agg(
         metrics.rows(), metrics.summed("amount", "total_amount")
     )
@@ -1403,7 +1420,7 @@ def st_upsert(spark, folder):
     parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], late)), late[-1]]
     path, mark = scratch_path(spark, "merged"), scratch_path(spark, "mark")
     # compacted once on the way
-    table = drops.merge_stream(_delivered(spark, parts), path, mark, most_deltas=4)
+    table = drops.merge_stream(_delivered(spark, parts, _most_rows(parts)), path, mark, most_deltas=4)
     return table.read().groupBy("event_date").agg(
         metrics.rows(), metrics.summed("amount", "total_amount")
     )
@@ -1417,7 +1434,7 @@ def st_upsert_partitions(spark, folder):
     parts = [spans[0], *(s.unionByName(r) for s, r in zip(spans[1:], late)), late[-1]]
     path, mark = scratch_path(spark, "upserted"), scratch_path(spark, "mark")
     # a correction never changes the event's time
-    drops.upsert_stream(_delivered(spark, parts), path, mark, keys_stay=True)
+    drops.upsert_stream(_delivered(spark, parts, _most_rows(parts)), path, mark, keys_stay=True)
     return spark.read.parquet(path).groupBy("event_date").agg(
         metrics.rows(), metrics.summed("amount", "total_amount")
     )

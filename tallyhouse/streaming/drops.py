@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -18,6 +20,8 @@ from tallyhouse.sources.files import CORRUPT, day_of_path
 
 # a row may be a day late and files may come in another order: one day would be just enough
 LATENESS = "2 days"
+#: Rows of a trigger for which a stream's state has a partition.
+ROWS_PER_STATE = 250_000
 
 
 def read_drops(
@@ -142,10 +146,38 @@ def with_changing_dimension(
     return joined.select(*stream.columns, F.coalesce(take, "_found").alias(take))
 
 
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions of the state of a stream that takes so many rows per trigger.
+
+    Every trigger loads and commits each of them, even one without rows, so a session's shuffle partitions, meant for
+    batch work, may cost far more than the rows do.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_STATE))
+
+
+@contextmanager
+def _state_in(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """A stream started within has state of so many partitions; None leaves it to the session.
+
+    A stream takes the session's settings when it starts, and keeps this one in its checkpoint.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or before))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def append_to_files(
-    stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None
+    stream: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
+    partitions: int | None = None,
 ) -> None:
-    """Run an append stream over everything available, into Parquet files."""
+    """Run an append stream over everything available, into Parquet files.
+
+    ``partitions`` of its state, if it has one, as by :func:`state_partitions`.
+    """
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -154,7 +186,9 @@ def append_to_files(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.start(path).awaitTermination()
+    with _state_in(stream.sparkSession, partitions):
+        query = writer.start(path)
+    query.awaitTermination()
 
 
 def update_table(
@@ -230,33 +264,34 @@ def merge_stream(
 
 
 def merge_totals(
-    totals: DataFrame, path: str, checkpoint: str, key: str, most_deltas: int = 8
+    totals: DataFrame, path: str, checkpoint: str, key: str, most_deltas: int = 8, partitions: int | None = None
 ) -> MergeTable:
     """Run an aggregating stream into a table that is merged when read; returns that table.
 
     A trigger writes the rows it changed, and a later trigger's row of a key replaces an earlier one's. What a
     reader meets is one base and at most ``most_deltas`` folders, however many triggers there were. A repeated trigger
-    changes nothing.
+    changes nothing. ``partitions`` are those of the state, as by :func:`state_partitions`.
     """
     # all equally new, of which the later trigger's counts
     table = MergeTable(totals.sparkSession, path, totals.schema, key, F.lit(0))
-    return _merged(totals, table, checkpoint, "update", most_deltas)
+    return _merged(totals, table, checkpoint, "update", most_deltas, partitions)
 
 
 def _merged(
-    rows: DataFrame, table: MergeTable, checkpoint: str, mode: str, most_deltas: int
+    rows: DataFrame, table: MergeTable, checkpoint: str, mode: str, most_deltas: int, partitions: int | None = None
 ) -> MergeTable:
     def merge(batch: DataFrame, trigger: int) -> None:
         # the batch belongs to a session of its own, the table to the caller's
         table.append(batch, trigger + 1)
         table.compact_when_due(most_deltas)
 
-    (
+    writer = (
         rows.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(merge)
         .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    with _state_in(rows.sparkSession, partitions):
+        query = writer.start()
+    query.awaitTermination()
     return table

@@ -13,6 +13,7 @@ from tallyhouse import session
 from tallyhouse.operators import distinct, scd
 from tallyhouse.plans import catalog, warehouse
 from tallyhouse.sources import testtables
+from tallyhouse.streaming import drops
 
 START = datetime(2024, 1, 1)
 
@@ -126,3 +127,23 @@ def test_compressed_files_hold_a_bounded_number_of_lines(spark, tmp_path, monkey
     raw = testtables.raw_transactions(spark, folder)
     broken = raw.filter(F.pmod("loyalty_points", F.lit(7)) == 3).count()
     assert (files.good_rows(lines).count(), files.broken_rows(lines).count()) == (raw.count() - broken, broken) and broken
+
+
+def test_files_and_state_of_streams_follow_the_rows(spark, tmp_path, monkeypatch):
+    """Not the session's shuffle partitions, of which each would cost every trigger."""
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 10)
+    monkeypatch.setattr(drops, "ROWS_PER_STATE", 3)
+    rows = [(f"T{i}", START + timedelta(hours=i)) for i in range(40)] * 2
+    part = spark.createDataFrame(rows, "transaction_id string, transaction_timestamp timestamp_ntz")
+    assert catalog._most_rows([part, part.limit(7)]) == 80 and catalog._most_rows([part.limit(0)]) == 0
+    made = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda *a, f=catalog.scratch_path: made.append(f(*a)) or made[-1])
+    stream = catalog._delivered(spark, [part, part], 80)
+    assert len(spark.read.parquet(made[0]).inputFiles()) == 16
+    state = drops.state_partitions(spark, 80)
+    assert state == 27 and drops.state_partitions(spark, 0) == spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    drops.append_to_files(drops.without_repeats(stream), str(tmp_path / "out"), str(tmp_path / "mark"), partitions=state)
+    assert len([p for p in (tmp_path / "mark/state/0").iterdir() if p.name.isdigit()]) == state
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert tuples(spark.read.parquet(str(tmp_path / "out")).select("transaction_id")) == sorted({(r[0],) for r in rows})
