@@ -40,22 +40,24 @@ LATE_DAY = Defects(late=fixed.LATE_SHARE, null_updated=fixed.NULL_UPDATED_SHARE)
 RENAME_DAY = Defects(renamed=fixed.RENAME_SHARE, zone_shifted=fixed.TIME_ZONE_SHARE)
 
 
-def _share(total: Column, share: float) -> Column:
+def _share(total: Column, share: float | Column) -> Column:
     return F.floor(total * share).cast("bigint")
 
 
-def with_segments(sequenced: DataFrame, defects: Defects) -> DataFrame:
+def with_segments(sequenced: DataFrame, defects: Defects | list[Defects], kind: Column | None = None) -> DataFrame:
     """Adds ``segment``: clean rows come first, then one block of ids per defect.
 
-    Needs ``sequence`` (1..n of the day) and ``day_rows`` (n).
+    Needs ``sequence`` (1..n of the day) and ``day_rows`` (n). Of several ``defects``, those of a row are
+    numbered by ``kind``, from 0.
     """
     n, seq = F.col("day_rows"), F.col("sequence")
-    blocks = [
-        ("late", _share(n, defects.late)),
-        ("null_updated", _share(n, defects.null_updated)),
-        ("renamed", _share(n, defects.renamed)),
-        ("zone_shifted", _share(n, defects.zone_shifted)),
-    ]
+
+    def share(name: str) -> float | Column:
+        if isinstance(defects, Defects):
+            return getattr(defects, name)
+        return F.element_at(F.array(*(F.lit(getattr(d, name)) for d in defects)), (kind + 1).cast("int"))
+
+    blocks = [(name, _share(n, share(name))) for name in ("late", "null_updated", "renamed", "zone_shifted")]
     border = n
     for _, size in blocks:
         border = border - size
@@ -86,15 +88,23 @@ def _product(u: Column, category: Column) -> Column:
     return chosen
 
 
+_LABELS = [
+    "merchant", "time", "update", "a1", "a2", "category", "status", "customer", "product", "fee", "cashback", "points",
+    "method", "device", "location",
+]
+
+
 def fill_rows(
     segmented: DataFrame, n_customers: int = 1000, n_merchants: int = 500, seed: int = 42
 ) -> DataFrame:
     """Batch rows for (``day``, ``sequence``, ``segment``); keeps ``day`` and ``segment``."""
     spark = segmented.sparkSession
     day, seq, segment = F.col("day"), F.col("sequence"), F.col("segment")
+    # each drawn once: a draw costs more than all that is made of it
+    segmented = segmented.withColumns({f"_u_{label}": draws.uniform(seed, label, day, seq) for label in _LABELS})
 
     def u(label: str) -> Column:
-        return draws.uniform(seed, label, day, seq)
+        return F.col(f"_u_{label}")
 
     named = min(n_merchants, len(fixed.NAMED_MERCHANTS))
     merchant = F.when(segment == "renamed", draws.whole_number(u("merchant"), 1, named)).otherwise(

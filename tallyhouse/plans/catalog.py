@@ -24,7 +24,7 @@ from tallyhouse.operators.ordered import with_positions
 from tallyhouse.plans import reports
 from tallyhouse.plans.star_load import StarLoad
 from tallyhouse.plans.warehouse import build_warehouse, load_bronze, warehouse_of
-from tallyhouse.session import scratch_path, sent_when_small, stage
+from tallyhouse.session import compiled_methods, scratch_path, sent_when_small, stage
 from tallyhouse.sources import files, tables
 from tallyhouse.sources.testtables import event_batches, raw_transactions, read_table, zone_plan
 from tallyhouse.streaming import drops
@@ -1033,6 +1033,10 @@ def inc_rename_scd2(spark, folder):
 # --- generator: one synthetic row per event ------------------------------------------------------
 
 
+#: Synthetic rows that one task draws.
+ROWS_PER_DRAWING_TASK = 200_000
+
+
 @shared
 def _generated(spark: SparkSession, folder: str) -> DataFrame:
     """Synthetic days as large as the days of the events, defects by day of month modulo 3."""
@@ -1049,13 +1053,11 @@ def _generated(spark: SparkSession, folder: str) -> DataFrame:
     )
     plans = [generate.CLEAN_DAY, generate.LATE_DAY, generate.RENAME_DAY]
     kind = F.pmod(F.dayofmonth("day") - 1, F.lit(3))
-    segmented = [
-        generate.with_segments(sequenced.filter(kind == i), plan) for i, plan in enumerate(plans)
-    ]
-    rows = generate.fill_rows(
-        segmented[0].unionByName(segmented[1]).unionByName(segmented[2])
-    )
-    return stage(rows, "generated")
+    # few narrow columns that become many: the work is in the draws, so tasks are made for it
+    tasks = max(spark.sparkContext.defaultParallelism, -(-events.count() // ROWS_PER_DRAWING_TASK))
+    dealt = sequenced.repartition(tasks, "day", "sequence")
+    with compiled_methods(spark):
+        return stage(generate.fill_rows(generate.with_segments(dealt, plans, kind)), "generated")
 
 
 def _is_moved() -> Column:

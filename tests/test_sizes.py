@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
+from functools import reduce
 
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
 from tallyhouse import session
-from tallyhouse.operators import distinct, scd
+from tallyhouse.operators import distinct, generate, scd
 from tallyhouse.plans import catalog, warehouse
 from tallyhouse.sources import testtables
 from tallyhouse.streaming import drops
@@ -147,3 +148,17 @@ def test_files_and_state_of_streams_follow_the_rows(spark, tmp_path, monkeypatch
     assert len([p for p in (tmp_path / "mark/state/0").iterdir() if p.name.isdigit()]) == state
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert tuples(spark.read.parquet(str(tmp_path / "out")).select("transaction_id")) == sorted({(r[0],) for r in rows})
+
+
+def test_generated_days_are_drawn_in_one_pass_by_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "ROWS_PER_DRAWING_TASK", 4)
+    events = [(START + timedelta(hours=i), i) for i in range(100)] + [(None, 100)]
+    spark.createDataFrame(events, "ts timestamp_ntz, event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    plans = []
+    monkeypatch.setattr(catalog, "stage", lambda df, name, f=catalog.stage: plans.append(plan_of(df)) or f(df, name))
+    rows = catalog._generated(spark, str(tmp_path))
+    assert "Union" not in plans[-1] and "REPARTITION_BY_NUM, [plan_id" in plans[-1] and ", 26)" in plans[-1]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+    kinds = [generate.CLEAN_DAY, generate.LATE_DAY, generate.RENAME_DAY]
+    wanted = [generate.generate_batch(spark, f"2024-01-0{d}", 24 if d < 5 else 4, kinds[(d - 1) % 3]) for d in range(1, 6)]
+    assert tuples(rows) == tuples(reduce(lambda a, b: a.unionByName(b), wanted).select(*rows.columns))
