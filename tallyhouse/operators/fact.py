@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
@@ -87,8 +87,14 @@ def with_measures(rows: DataFrame) -> DataFrame:
     )
 
 
-def build_fact(silver: DataFrame, dims: Dimensions, load_ts: datetime | None = None) -> DataFrame:
-    """One fact row per conformed transaction: six lookups, measures, flags, audit columns."""
+def build_fact(
+    silver: DataFrame, dims: Dimensions, load_ts: datetime | None = None, keep: dict[str, Column] | None = None
+) -> DataFrame:
+    """One fact row per conformed transaction: six lookups, measures, flags, audit columns.
+
+    ``keep`` are columns of the conformed rows to have beside those of the fact.
+    """
+    silver = silver.withColumns({f"_keep_{c}": value for c, value in (keep or {}).items()})
     rows = silver.withColumn("_day", date_key(F.col("transaction_timestamp")))
     for name, (dim, natural, key) in dims.natural_keys().items():
         if name == "dim_date":
@@ -112,4 +118,4 @@ def build_fact(silver: DataFrame, dims: Dimensions, load_ts: datetime | None = N
         else:
             value = F.lit(None)
         columns.append(value.cast(kind).alias(name))
-    return rows.select(*columns)
+    return rows.select(*columns, *(F.col(f"_keep_{c}").alias(c) for c in keep or {}))

@@ -90,42 +90,60 @@ class MergeTable:
         else:
             stored.repartitionByRange("_digest").sortWithinPartitions("_digest").write.mode("overwrite").parquet(path)
 
-    def append(self, changes: DataFrame, sequence: int) -> bool:
-        """Write a batch of changes; False if the batch is there already."""
+    def append(self, changes: DataFrame, sequence: int, unique: bool = False) -> bool:
+        """Write a batch of changes; False if the batch is there already.
+
+        With ``unique``, for changes known to have one row per key, they are written without being shuffled.
+        """
         if sequence < 1:
             raise ValueError("sequences begin at 1")
         base, deltas = self._live()
         if sequence in deltas or base is not None and sequence <= base:
             return False
-        newest = latest_per_key(changes.filter(F.col(self.key).isNotNull()).select(*self.schema.names), self.key, self._at)
+        newest = changes.filter(F.col(self.key).isNotNull()).select(*self.schema.names)
+        if not unique:
+            newest = latest_per_key(newest, self.key, self._at)
         delta = self._with_digest(newest).sortWithinPartitions("_digest")
         delta.write.mode("overwrite").parquet(f"{self.path}/delta={sequence:012d}")
         return True
 
     # --- reading ---------------------------------------------------------------------------------
 
-    def _deltas(self, sequences: list[int]) -> DataFrame:
-        """The newest row per key of the deltas, with its digest."""
+    def _deltas(self, sequences: list[int], *columns: str) -> DataFrame:
+        """The newest row per key of the deltas, with its digest; all columns, or the key and some."""
         stored = StructType([*self._stored.fields]).add("delta", "long")
         paths = [f"{self.path}/delta={n:012d}" for n in sequences]
         rows = self.spark.read.schema(stored).option("basePath", self.path).parquet(*paths)
+        kept = list(dict.fromkeys([self.key, *(columns or self._stored.names)]))
+        if len(sequences) == 1:
+            # a delta has one row per key
+            return rows.select(*kept)
+        if columns:
+            # so none are equally new, and content that is not asked for need not settle which is taken
+            order = F.struct(self._at.alias("at"), F.col("delta"))
+            newest = rows.groupBy(self.key).agg(F.max_by(F.struct(*kept), order).alias("row"))
+            return newest.select("row.*")
         return latest_per_key(rows, self.key, self._at, "delta").drop("delta")
 
     def changes(self, sequence: int) -> DataFrame:
         """The rows that a batch brought, as long as its folder is there."""
         return self._deltas([sequence]).select(*self.schema.names)
 
-    def read(self, upto: int | None = None) -> DataFrame:
-        """All rows, as of the folders that are complete now; with ``upto``, as of that sequence."""
+    def read(self, upto: int | None = None, columns: list[str] | None = None) -> DataFrame:
+        """All rows, as of the folders that are complete now; with ``upto``, as of that sequence.
+
+        With ``columns`` only these, so that rows met in deltas are shuffled with no others.
+        """
         base, deltas = self._live(upto)
+        wanted = columns or self.schema.names
         if base is None and not deltas:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.createDataFrame([], self.schema).select(*wanted)
         if base is None:
-            return self._deltas(deltas).select(*self.schema.names)
+            return self._deltas(deltas, *(columns or ())).select(*wanted)
         stored = self.spark.read.schema(self._stored).parquet(f"{self.path}/base={base:012d}")
         if not deltas:
-            return stored.select(*self.schema.names)
-        return self._merged(stored, self._deltas(deltas))
+            return stored.select(*wanted)
+        return self._merged(stored, self._deltas(deltas)).select(*wanted)
 
     def _merged(self, stored: DataFrame, changes: DataFrame) -> DataFrame:
         columns = self.schema.names

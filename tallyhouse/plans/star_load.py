@@ -19,12 +19,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyhouse import schemas
+from tallyhouse import schemas, session
 from tallyhouse.operators import dimensions
 from tallyhouse.operators.conform import conform_batch
 from tallyhouse.operators.fact import SILVER_KEYS, Dimensions, build_fact
@@ -123,6 +124,18 @@ class StarLoad:
             built.append(dimensions.shaped(rows, schema, extra.get(dim), load_ts))
         return Dimensions(*built, dimensions.dim_date(self.spark))
 
+    def _sent(self, dims: Dimensions, upto: int) -> Dimensions:
+        """Dimensions up to a load, those of bounded size with a broadcast hint, so that facts are not shuffled.
+
+        The lines of members that loads have written are at least as many as the members, and counting them is free.
+        """
+        found = [dims.customers, dims.merchants, dims.payment_methods, dims.transaction_status, dims.location]
+        lines = [self._rows(dim, _MEMBER).filter(F.col("batch") <= upto).select(F.lit(dim).alias("dim")) for dim in _FORMS]
+        counted = dict(reduce(DataFrame.union, lines).groupBy("dim").count().collect())
+        return Dimensions(
+            *(F.broadcast(d) if counted.get(dim, 0) <= session.MOST_SENT else d for dim, d in zip(_FORMS, found)), dims.date
+        )
+
     # --- loads -----------------------------------------------------------------------------------
 
     def load(self, batch: DataFrame, batch_id: str, load_ts: datetime | None = None) -> bool:
@@ -148,9 +161,10 @@ class StarLoad:
         return True
 
     def _add_facts(self, rows: DataFrame, sequence: int, load_ts: datetime | None) -> None:
-        facts = build_fact(rows, self._dims(sequence, load_ts), load_ts)
-        moments = rows.select("transaction_id", change_time().alias("changed_at"), "event_date")
-        self.fact.append(facts.join(moments, "transaction_id"), sequence)
+        # the rows are unique on their id, and members on their key, so facts need not be shuffled once more
+        dims = self._sent(self._dims(sequence, load_ts), sequence)
+        facts = build_fact(rows, dims, load_ts, {"changed_at": change_time(), "event_date": F.col("event_date")})
+        self.fact.append(facts, sequence, unique=True)
 
     def load_members(self, dim: str, members: DataFrame, batch_id: str, load_ts: datetime | None = None) -> bool:
         """Load members of a fed dimension (``natural``, ``name``) and give waiting facts their keys."""
@@ -177,8 +191,10 @@ class StarLoad:
 
     # --- reading ---------------------------------------------------------------------------------
 
-    def star(self, load_ts: datetime | None = None) -> dict[str, DataFrame | Dimensions]:
-        """The fact and the dimensions as of the last finished load."""
+    def star(
+        self, load_ts: datetime | None = None, columns: list[str] | None = None
+    ) -> dict[str, DataFrame | Dimensions]:
+        """The fact, or some of its columns, and the dimensions as of the last finished load."""
         upto = self.committed()
-        fact = self.fact.read(upto).select(*schemas.column_types(schemas.FACT_TRANSACTIONS))
-        return {"fact": fact, "dims": self._dims(upto, load_ts)}
+        fact = self.fact.read(upto, columns or [*schemas.column_types(schemas.FACT_TRANSACTIONS)])
+        return {"fact": fact, "dims": self._sent(self._dims(upto, load_ts), upto)}

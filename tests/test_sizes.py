@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse import session
 from tallyhouse.operators import distinct, generate, scd
+from tallyhouse.operators.merge_on_read import MergeTable
 from tallyhouse.plans import catalog, warehouse
 from tallyhouse.sources import testtables
 from tallyhouse.streaming import drops
@@ -162,3 +163,17 @@ def test_generated_days_are_drawn_in_one_pass_by_tasks_of_bounded_rows(spark, tm
     kinds = [generate.CLEAN_DAY, generate.LATE_DAY, generate.RENAME_DAY]
     wanted = [generate.generate_batch(spark, f"2024-01-0{d}", 24 if d < 5 else 4, kinds[(d - 1) % 3]) for d in range(1, 6)]
     assert tuples(rows) == tuples(reduce(lambda a, b: a.unionByName(b), wanted).select(*rows.columns))
+
+
+def test_rows_known_to_be_unique_are_not_shuffled_and_some_columns_are_read(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1, 5, "x"), ("b", 2, 6, "y"), (None, 3, 7, "z")], "id string, at int, n int, wide string")
+    table = MergeTable(spark, str(tmp_path / "t"), rows.schema, "id", "at")
+    assert table.append(rows, 1, unique=True) and not table.append(rows, 1, unique=True)
+    assert "Exchange" not in plan_of(table.changes(1)) and tuples(table.changes(1)) == [("a", 1, 5, "x"), ("b", 2, 6, "y")]
+    again = [("a", 1, 8, "later"), ("b", 1, 9, "older"), ("c", None, 4, None), ("c", 0, 3, "q")]
+    table.append(spark.createDataFrame(again, rows.schema), 2)
+    narrow = table.read(columns=["n", "id"])
+    assert tuples(narrow) == [(3, "c"), (6, "b"), (8, "a")] == sorted((r["n"], r["id"]) for r in table.read().collect())
+    assert "wide" not in plan_of(narrow)
+    table.compact()
+    assert tuples(table.read(columns=["n"])) == [(3,), (6,), (8,)]
