@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Scratch, whole_text
+from tallyhouse.llm.common import Scratch, bounded_batches, whole_text
 from tallyhouse.llm.components import components
 
 #: Distinct words whose hashes a worker remembers.
@@ -266,8 +266,8 @@ def _index(shared: DataFrame, percent: int) -> DataFrame:
             short = b - a - least(n, percent) + 1
             if short > 0:
                 rows.append((int(owner[a]), n, np.sort(every[a:b]).tobytes(), every[a : a + short].tobytes()))
-        for at in range(0, len(rows), 2000):
-            cells = zip(*rows[at : at + 2000], strict=True)
+        for at in range(0, len(rows), 200):
+            cells = zip(*rows[at : at + 200], strict=True)
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, kind) for x, kind in zip(cells, kinds, strict=True)],
@@ -530,15 +530,16 @@ def near_duplicates(
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     parts = _parts_of(spark)
-    shared = scratch.write(_shared(_described(docs, id_col, text_col, width, parts, row_col), parts), "shared")
-    documents = scratch.write(shared.filter("bucket IS NULL").select("doc_id", "class", "n", "row"), "documents")
-    index = scratch.write(_index(shared.filter("bucket IS NOT NULL"), percent), "index")
-    scratch.release(shared)
-    postings = scratch.write(_postings(index), "postings")
-    links = scratch.write(_first_links(index, postings, percent), "first")
-    roots = components(links, scratch)
-    more = scratch.write(_full_links(index, postings, roots, percent, scratch), "more")
-    final = components(links.union(more), scratch)
+    with bounded_batches(spark):
+        shared = scratch.write(_shared(_described(docs, id_col, text_col, width, parts, row_col), parts), "shared")
+        documents = scratch.write(shared.filter("bucket IS NULL").select("doc_id", "class", "n", "row"), "documents")
+        index = scratch.write(_index(shared.filter("bucket IS NOT NULL"), percent), "index")
+        scratch.release(shared)
+        postings = scratch.write(_postings(index), "postings")
+        links = scratch.write(_first_links(index, postings, percent), "first")
+        roots = components(links, scratch)
+        more = scratch.write(_full_links(index, postings, roots, percent, scratch), "more")
+        final = components(links.union(more), scratch)
     scratch.release(index, postings, links, more)
     return _named(documents, final, id_col, row_col)
 

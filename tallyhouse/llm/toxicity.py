@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Scratch, whole_text
+from tallyhouse.llm.common import Scratch, bounded_batches, whole_text, with_row_key, without_rows
 from tallyhouse.llm.training import BUCKETS, MOST_PER_CLASS, Adam, associated_counts, held_out, labelled_sample, place, sigmoid
 
 MOST_WORDS = 40
@@ -206,19 +206,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
-    """``docs`` with all their columns, less those that score ``threshold`` or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    text_at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                rows = batch.slice(at, 500)
-                keep = [scorer(text or "")[0] < threshold for text in rows.column(text_at).to_pylist()]
-                yield rows.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    """``docs`` with all their columns, less those that score ``threshold`` or more.
+
+    Texts go to Python in bounded batches and do not come back: what is written is the numbers of rows that leave.
+    """
+    keyed, key = with_row_key(docs)
+    toxic = score(keyed, model, key, text_col).filter(F.col("score") >= threshold)
+    with bounded_batches(docs.sparkSession):
+        return without_rows(keyed, toxic.select(F.col("doc_id").alias(key)), key)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, most_per_class: int = MOST_PER_CLASS) -> DataFrame:
