@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import Scratch, whole_text, word_count
+from tallyhouse.llm.common import Scratch, bounded_batches, whole_text, word_count
 
 #: Weights of sources in their order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -126,13 +126,12 @@ def mix(
     # rows without an id are drawn by their text, so that they spread over the buckets
     drawn = F.coalesce(F.col(id_col).cast("string"), F.md5(whole_text(text_col).cast("binary")))
     digits = F.md5(drawn.cast("binary"))
-    rows = scratch.write(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
-            digits.alias("hash"), row.cast("long").alias("row"),
-        ).withColumn("bucket", F.substring("hash", 1, BUCKET_DIGITS)),
-        "sizes",
+    sizes = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
+        digits.alias("hash"), row.cast("long").alias("row"),
     )
+    with bounded_batches(docs.sparkSession):
+        rows = scratch.write(sizes.withColumn("bucket", F.substring("hash", 1, BUCKET_DIGITS)), "sizes")
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = buckets.withColumn("start", F.coalesce(F.sum("in_bucket").over(running), F.lit(0)))

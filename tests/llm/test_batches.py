@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from texts import documents, words  # noqa: F401
 
-from tallyhouse.llm import common, exact_dedup, jaccard_join, toxicity
+from tallyhouse.llm import common, exact_dedup, jaccard_join, mixing, toxicity
 
 ARROW, PARQUET = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
 
@@ -27,7 +27,7 @@ def run(operator, docs, spark):
     if operator == "keep_clean":
         weights = toxicity.Model(toxicity.np.zeros(toxicity.BUCKETS, "float32"))
         return toxicity.keep_clean(docs, weights)
-    return {"near": jaccard_join.near_duplicates, "exact": exact_dedup.exact_duplicates}[operator](docs)
+    return {"near": jaccard_join.near_duplicates, "exact": exact_dedup.exact_duplicates, "mix": mixing.mix}[operator](docs)
 
 
 @pytest.mark.parametrize(
@@ -35,6 +35,7 @@ def run(operator, docs, spark):
     [
         ("near", {"shared", "documents", "index", "postings", "first", "more"}),
         ("exact", {"shared", "recipes"}),
+        ("mix", {"sizes"}),
         ("keep_clean", {"keys"}),
     ],
 )
